@@ -252,7 +252,7 @@ MI_NEIGHBORS = 3
 
 def score_mutual_info_classif(df: DataFrame, keys=("feature",), value="value", label=_LABEL,
                               n_neighbors: int = MI_NEIGHBORS, scale: bool = True,
-                              key: str = "row_id") -> DataFrame:
+                              key: str = "row_id", per_row: bool = False) -> DataFrame:
     """kNN mutual information between a continuous feature and a class label (Ross, 2014).
 
     In one dimension the distance to the k-th same-class neighbour of x_i is
@@ -305,9 +305,13 @@ def score_mutual_info_classif(df: DataFrame, keys=("feature",), value="value", l
     # (reversed when r = 0); ordering endpoints before (0) or after (2) equal values does that.
     vals = base.select(*k, F.col("x").alias("pt"), F.lit(1).alias("_o"), F.lit(0).alias("sgn"))
     r0 = F.col("r") == 0
+    # x +/- r can round past the neighbour that defines r; a value within a
+    # relative 1e-11 of an endpoint is taken to lie at distance r (excluded).
+    tol = F.lit(1e-11) * (F.abs(F.col("x")) + F.col("r"))
     ends = []
-    for sgn, pt in ((1, F.col("x") + F.col("r")), (-1, F.col("x") - F.col("r"))):
+    for sgn, pt in ((1, F.col("x") + F.col("r") - tol), (-1, F.col("x") - F.col("r") + tol)):
         before = ~r0 if sgn == 1 else r0
+        pt = F.when(r0, F.col("x")).otherwise(pt)
         ends.append(rows.select(*k, pt.alias("pt"),
                                 F.when(before, F.lit(0)).otherwise(F.lit(2)).alias("_o"),
                                 F.lit(sgn).alias("sgn"), "y", "_pos", "k_i", "n_c"))
@@ -319,6 +323,8 @@ def score_mutual_info_classif(df: DataFrame, keys=("feature",), value="value", l
          .groupBy(*k, "y", "_pos")
          .agg(F.sum(F.col("sgn") * F.col("below")).alias("m"),
               F.first("k_i").alias("k_i"), F.first("n_c").alias("n_c")))
+    if per_row:  # (keys, class, position, k_i, n_c, m), for tests
+        return m.join(rows.select(*k, "y", "_pos", "x", "r"), k + ["y", "_pos"], "inner")
     agg = m.groupBy(*k).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(digamma_int(F.col("k_i"))).alias("psi_k"),
