@@ -27,7 +27,8 @@ class Query:
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(spark, sf_dir)
         if self.rounded:
-            df = df.withColumns({c: F.round(F.col(c).cast("double"), DIGITS) for c in self.rounded})
+            # "+ 0.0" turns a rounded -0.0 into 0.0 so both engines print the same value
+            df = df.withColumns({c: F.round(F.col(c).cast("double"), DIGITS) + F.lit(0.0) for c in self.rounded})
         return df
 
     def oracle(self) -> str | None:
@@ -35,7 +36,7 @@ class Query:
             return None
         if not self.rounded:
             return self.sql
-        rep = ", ".join(f"round(CAST({c} AS DOUBLE), {DIGITS}) AS {c}" for c in self.rounded)
+        rep = ", ".join(f"round(CAST({c} AS DOUBLE), {DIGITS}) + 0.0 AS {c}" for c in self.rounded)
         return f"SELECT * REPLACE ({rep}) FROM (\n{self.sql}\n) _q"
 
 
