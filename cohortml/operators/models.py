@@ -308,8 +308,11 @@ def embed_rf(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, seed: i
     return [float(v) for v in fit_rf(df, n_estimators, max_depth, seed=seed).model.featureImportances.toArray()]
 
 
-def embed_gbt(df: DataFrame, n_estimators: int = 50, seed: int = 42) -> list[float]:
-    return [float(v) for v in fit_gdbt(df, n_estimators, seed=seed).model.featureImportances.toArray()]
+def embed_gbt(df: DataFrame, n_estimators: int = 50, seed: int = 42, **kw) -> list[float]:
+    """Importance from the second-order boosting job (share of splits per feature)."""
+    from cohortml.operators.boosting import fit_xgboost, split_gain_importance
+    m = fit_xgboost(df, n_estimators=n_estimators, seed=seed, **kw)
+    return split_gain_importance(m.model, n_features(df))
 
 
 def embed_ada(df: DataFrame, n_estimators: int = 20) -> list[float]:

@@ -105,17 +105,29 @@ class FittedPipeline:
             d = take_indices(d, self.keep1)
         if self.cfg.second_filter:
             sf = self.cfg.second_filter
-            imp = embedded_importances(d, sf.get("method", "l1_svc"), **{k: v for k, v in sf.items()
-                                                                         if k not in ("method", "threshold")})
+            kw = {k: v for k, v in sf.items() if k not in ("method", "threshold")}
+            if sf.get("method") == "hsic":
+                if not isinstance(sf.get("threshold", 20), int):
+                    raise ValueError("with hsic the threshold must be an integer number of features")
+                kw["num_feat"] = sf.get("threshold", 20)
+            imp = embedded_importances(d, sf.get("method", "l1_svc"), **kw)
             self.importances2 = imp
-            tbl = MD.importance_table(d, imp)
-            kept = S.threshold_select(tbl, sf.get("threshold", "mean")).where("selected").select("feature").collect()
-            self.keep2 = sorted(r[0] for r in kept) or [int(np.argmax(np.abs(imp)))]
+            if sf.get("method") == "hsic":  # the threshold is the number of features; selected = nonzero
+                self.keep2 = [i for i, v in enumerate(imp) if v > 0] or [int(np.argmax(imp))]
+            else:
+                tbl = MD.importance_table(d, imp)
+                kept = (S.threshold_select(tbl, sf.get("threshold", "mean")).where("selected")
+                        .select("feature").collect())
+                self.keep2 = sorted(r[0] for r in kept) or [int(np.argmax(np.abs(imp)))]
             d = take_indices(d, self.keep2)
         if self.cfg.learner:
             from cohortml.operators.project import fit_pca
             lt = self.cfg.learner
-            self.pca = fit_pca(d, int(lt.get("n_components", 2)), kernel=lt.get("type", "pca"))
+            if lt.get("type") == "symbolic":
+                from cohortml.operators.symbolic import learn_symbolic
+                self.pca = learn_symbolic(d, int(lt.get("n_components", 2)))
+            else:
+                self.pca = fit_pca(d, int(lt.get("n_components", 2)), kernel=lt.get("type", "pca"))
             d = self.pca.transform(d)
         if self.cfg.resampler:
             d = resample(d, self.cfg.resampler)

@@ -59,7 +59,7 @@ for _name, (_m, _kw) in {"embed_l1_logistic": ("l1_logistic", {"C": 0.5}),
                           "embed_l1_svc": ("l1_svc", {"C": 0.5, "steps": 10}),
                           "embed_rf": ("rf", {"n_estimators": 30}),
                           "embed_ada": ("ada", {"n_estimators": 5}),
-                          "embed_xgb": ("xgb", {"n_estimators": 10})}.items():
+                          "embed_xgb": ("xgb", {"n_estimators": 4, "max_depth": 3})}.items():
     register(_name)(_embed_query(_m, **_kw))
 
 
