@@ -1,0 +1,3 @@
+"""cohortml: supervised feature discovery on Spark DataFrames."""
+
+__version__ = "0.1.0"
