@@ -50,7 +50,8 @@ def main() -> None:
     spark = get_spark(master=f"local[{cpus}]", partitions=int(cpus))
     reg = load_all()
     times = {}
-    for name in HEADLINE:
+    only = [x for x in os.environ.get("BENCH_ONLY", "").split(",") if x]
+    for name in (only or HEADLINE):
         build = (lambda s, d: flagship(s, d)) if name == "flagship" else reg[name].spark
 
         def once():

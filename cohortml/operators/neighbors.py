@@ -99,6 +99,40 @@ def _candidate_cells(query: DataFrame, vec: str, pivots_b, radii_b, k_bound: int
     return query.mapInPandas(fn, out_schema)
 
 
+QUERY_CHUNK = 256
+
+
+def _cell_topk(k: int, key: str, vec: str, ref_cols: list[str], exclude_self: bool):
+    """Per (cell, query chunk): exact distances of the chunk's queries to the cell's rows
+    (NumPy, at most QUERY_CHUNK x cell size pairs) and the k nearest per query."""
+    def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        cols = [key, "nn_key", "_d2", *ref_cols]
+        if not len(q) or not len(r):
+            return pd.DataFrame({c: [] for c in cols})
+        xq = np.array(q[vec].tolist(), dtype=float).reshape(len(q), -1)
+        xr = np.array(r["_rx"].tolist(), dtype=float).reshape(len(r), -1)
+        d2 = ((xq[:, None, :] - xr[None, :, :]) ** 2).sum(-1)
+        qk = q[key].to_numpy()
+        rk = r["nn_key"].to_numpy()
+        if exclude_self:
+            d2 = np.where(qk[:, None] == rk[None, :], np.inf, d2)
+        kk = min(k, len(r))
+        # order by (distance, reference key): lexsort per query row
+        out_q, out_r, out_d = [], [], []
+        for i in range(len(q)):
+            idx = np.lexsort((rk, d2[i]))[:kk]
+            idx = idx[np.isfinite(d2[i, idx])]
+            out_q.append(np.full(len(idx), i))
+            out_r.append(idx)
+            out_d.append(d2[i, idx])
+        qi, ri, dd = np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
+        res = pd.DataFrame({key: qk[qi], "nn_key": rk[ri], "_d2": dd})
+        for c in ref_cols:
+            res[c] = r[c].to_numpy()[ri] if len(ri) else r[c].to_numpy()[:0]
+        return res
+    return fn
+
+
 def knn_join(query: DataFrame, ref: DataFrame, k: int, key: str = "row_id", vec: str = "x",
              exclude_self: bool = False, ref_cols=(), n_pivots: int | None = None) -> DataFrame:
     """Exact k nearest reference rows of every query row.
@@ -106,9 +140,14 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, key: str = "row_id", vec:
     Returns ``(key, nn_key, dist, nn_rank, *ref_cols)``; ``nn_key`` and
     ``ref_cols`` come from the reference side. With ``exclude_self`` a query
     row never matches the reference row with the same key.
+
+    Candidate (query, cell) pairs come from the pivot bounds; queries of a
+    cell are dealt into chunks of at most ``QUERY_CHUNK`` rows by key hash,
+    the cell's rows are sent to each of its chunks, and every (cell, chunk)
+    group is scored with NumPy. The final top-k per query runs over at most
+    k rows per candidate cell.
     """
     spark = query.sparkSession
-    ref_cols = list(ref_cols)
     r = ref.select(F.col(key).alias("nn_key"), F.col(vec).alias("_rx"), *ref_cols)
     ref_cols = r.columns[2:]  # names of the carried reference columns
     pivots = choose_pivots(ref.select(key, vec), key, vec, n_pivots)
@@ -120,12 +159,17 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, key: str = "row_id", vec:
     radii_b = spark.sparkContext.broadcast(radii)
     cand = _candidate_cells(query.select(key, vec), vec, pivots_b, radii_b,
                             int(k) + (1 if exclude_self else 0))
-    pairs = cand.join(cells.drop("dpiv"), "cell", "inner")
-    if exclude_self:
-        pairs = pairs.where(F.col(key) != F.col("nn_key"))
-    pairs = pairs.select(key, "cell", "nn_key", *ref_cols, sq_dist(F.col(vec), F.col("_rx")).alias("_d2"))
-    w_cell = Window.partitionBy(key, "cell").orderBy("_d2", "nn_key")  # at most one cell's rows
-    top_cell = pairs.withColumn("_r", F.row_number().over(w_cell)).where(F.col("_r") <= k).drop("_r")
+    per_cell = cand.groupBy("cell").agg(F.count(F.lit(1)).alias("_nq"))
+    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_nq") / F.lit(QUERY_CHUNK))).cast("int")
+    cand = (cand.join(per_cell, "cell", "inner")
+            .withColumn("_qc", F.pmod(hash_int("qc", key), n_chunks.cast("long")).cast("int")).drop("_nq"))
+    chunks = per_cell.select("cell", F.explode(F.sequence(F.lit(0), n_chunks - F.lit(1))).alias("_qc"))
+    refs = cells.drop("dpiv").join(chunks, "cell", "inner")
+    out_fields = [query.schema[key], Tp.StructField("nn_key", ref.schema[key].dataType),
+                  Tp.StructField("_d2", Tp.DoubleType())] + [r.schema[c] for c in ref_cols]
+    top_cell = (cand.groupBy("cell", "_qc")
+                .cogroup(refs.groupBy("cell", "_qc"))
+                .applyInPandas(_cell_topk(int(k), key, vec, ref_cols, exclude_self), Tp.StructType(out_fields)))
     w = Window.partitionBy(key).orderBy("_d2", "nn_key")  # at most k rows per candidate cell
     top = top_cell.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
     return top.select(key, "nn_key", F.sqrt("_d2").alias("dist"), "nn_rank", *ref_cols)
