@@ -354,3 +354,102 @@ def score(df: DataFrame, function: str, keys=("feature",), **kw) -> DataFrame:
     if function not in SCORERS:
         raise ValueError(f"unknown score function {function!r}")
     return SCORERS[function](df, keys, **kw)
+
+
+# ------------------------------------------------------------ mutual information (continuous y)
+def _count_in_ball(rows, k, ids, c, r, vals, rel_tol=1e-11):
+    """Per row: #values v with |v - c| < r (or v == c when r == 0), via running counts over
+    the merged list of values and interval ends (a relative band guards the ends)."""
+    r0 = F.col(r) == 0
+    tol = F.lit(rel_tol) * (F.abs(F.col(c)) + F.col(r))
+    v = vals.select(*k, F.col("v").alias("pt"), F.lit(1).alias("_o"), F.lit(0).alias("sgn"))
+    ends = []
+    for sgn, pt in ((1, F.col(c) + F.col(r) - tol), (-1, F.col(c) - F.col(r) + tol)):
+        before = ~r0 if sgn == 1 else r0
+        pt = F.when(r0, F.col(c)).otherwise(pt)
+        ends.append(rows.select(*k, *ids, pt.alias("pt"), F.when(before, 0).otherwise(2).alias("_o"),
+                                F.lit(sgn).alias("sgn")))
+    evs = v.unionByName(ends[0], allowMissingColumns=True).unionByName(ends[1], allowMissingColumns=True)
+    counted = running_totals(evs, k, ["pt", "_o"], {"below": F.when(F.col("sgn") == 0, 1).otherwise(0)},
+                             peers=True)
+    return (counted.where(F.col("sgn") != 0).groupBy(*k, *ids)
+            .agg(F.sum(F.col("sgn") * F.col("below")).alias("cnt")))
+
+
+def _window_bounds(rows, k, ids, c, r, vals, rel_tol=1e-9):
+    """Sorted positions [lo, hi] of the values within [c - r, c + r] (slightly widened)."""
+    widen = F.lit(rel_tol) * (F.abs(F.col(c)) + F.col(r)) + F.lit(1e-300)
+    v = vals.select(*k, F.col("v").alias("pt"), F.lit(1).alias("_o"), F.lit(0).alias("sgn"))
+    lo = rows.select(*k, *ids, (F.col(c) - F.col(r) - widen).alias("pt"), F.lit(0).alias("_o"),
+                     F.lit(-1).alias("sgn"))
+    hi = rows.select(*k, *ids, (F.col(c) + F.col(r) + widen).alias("pt"), F.lit(2).alias("_o"),
+                     F.lit(1).alias("sgn"))
+    evs = v.unionByName(lo, allowMissingColumns=True).unionByName(hi, allowMissingColumns=True)
+    counted = running_totals(evs, k, ["pt", "_o"], {"below": F.when(F.col("sgn") == 0, 1).otherwise(0)},
+                             peers=True)
+    e = counted.where(F.col("sgn") != 0)
+    return e.groupBy(*k, *ids).agg(
+        (F.max(F.when(F.col("sgn") == -1, F.col("below"))) + F.lit(1)).alias("lo"),
+        F.max(F.when(F.col("sgn") == 1, F.col("below"))).alias("hi"))
+
+
+def score_mutual_info_regression(df: DataFrame, keys=("feature",), value="value", label=_LABEL,
+                                 n_neighbors: int = MI_NEIGHBORS, key: str = "row_id") -> DataFrame:
+    """kNN mutual information of two continuous variables (Kraskov et al., 2004), exact.
+
+    With x and y scaled by their population std, eps_i is the distance to the
+    k-th neighbour in max-norm; MI = psi(n) + psi(k) - <psi(n_x + 1) + psi(n_y + 1)>
+    with n_x = #{j != i : |x_j - x_i| < eps_i}. An upper bound of eps_i comes
+    from the k neighbours on each side in x order and in y order (groups of at
+    most 4k rows); the exact neighbours are then searched only among rows
+    inside the smaller of the two value windows of that radius.
+    """
+    k = _keys(keys)
+    K = int(n_neighbors)
+    base = df.select(*k, key, F.col(value).cast("double").alias("x"), F.col(label).cast("double").alias("y"))
+    sd = base.groupBy(*k).agg(F.stddev_pop("x").alias("_sx"), F.stddev_pop("y").alias("_sy"))
+    base = (base.join(sd, k, "inner")
+            .withColumn("x", F.when(F.col("_sx") > 0, F.col("x") / F.col("_sx")).otherwise(F.col("x")))
+            .withColumn("y", F.when(F.col("_sy") > 0, F.col("y") / F.col("_sy")).otherwise(F.col("y")))
+            .drop("_sx", "_sy"))
+    one = F.lit(1).cast("bigint")
+    rows = running_totals(base, k, ["x", key], {"px": one})
+    rows = running_totals(rows, k, ["y", key], {"py": one}).checkpoint(eager=True)
+    cheb = lambda: F.greatest(F.abs(F.col("x") - F.col("_xj")), F.abs(F.col("y") - F.col("_yj")))
+    # 1) upper bound from order neighbours (each row visits the K positions on each side)
+    offs = F.explode(F.array(*[F.lit(d) for d in range(-K, K + 1) if d != 0])).alias("_d")
+    near = []
+    for pcol in ("px", "py"):
+        sent = rows.select(*k, F.col(key).alias("_kj"), F.col("x").alias("_xj"), F.col("y").alias("_yj"),
+                           F.col(pcol), offs)
+        sent = sent.select(*k, "_kj", "_xj", "_yj", (F.col(pcol) + F.col("_d")).alias(pcol))
+        near.append(rows.select(*k, key, "x", "y", pcol).join(sent, k + [pcol], "inner")
+                    .select(*k, key, "_kj", cheb().alias("_dist")))
+    cand = near[0].unionByName(near[1]).dropDuplicates(k + [key, "_kj"])
+    ub = cand.groupBy(*k, key).agg(F.element_at(F.array_sort(F.collect_list("_dist")), K).alias("ub"))
+    r = rows.join(ub, k + [key], "inner")
+    # 2) exact neighbours inside the smaller value window
+    wx = _window_bounds(r, k, [key], "x", "ub", rows.select(*k, F.col("x").alias("v")))
+    wy = _window_bounds(r, k, [key], "y", "ub", rows.select(*k, F.col("y").alias("v")))
+    w = (wx.withColumnsRenamed({"lo": "lox", "hi": "hix"}).join(wy.withColumnsRenamed({"lo": "loy", "hi": "hiy"}),
+                                                                 k + [key], "inner"))
+    use_x = (F.col("hix") - F.col("lox")) <= (F.col("hiy") - F.col("loy"))
+    w = w.select(*k, key, use_x.alias("_ux"),
+                 F.explode(F.when(use_x, F.sequence("lox", "hix")).otherwise(F.sequence("loy", "hiy"))).alias("_p"))
+    pts = rows.select(*k, F.col(key).alias("_kj"), F.col("x").alias("_xj"), F.col("y").alias("_yj"), "px", "py")
+    jx = w.where("_ux").join(pts.withColumnRenamed("px", "_p").drop("py"), k + ["_p"], "inner")
+    jy = w.where(~F.col("_ux")).join(pts.withColumnRenamed("py", "_p").drop("px"), k + ["_p"], "inner")
+    pairs = jx.unionByName(jy).where(F.col(key) != F.col("_kj")).join(rows.select(*k, key, "x", "y"), k + [key])
+    eps = pairs.groupBy(*k, key).agg(F.element_at(F.array_sort(F.collect_list(cheb())), K).alias("eps"))
+    e = rows.join(eps, k + [key], "inner")
+    nx = _count_in_ball(e, k, [key], "x", "eps", rows.select(*k, F.col("x").alias("v")))
+    ny = _count_in_ball(e, k, [key], "y", "eps", rows.select(*k, F.col("y").alias("v")))
+    cnt = (nx.withColumnRenamed("cnt", "nx").join(ny.withColumnRenamed("cnt", "ny"), k + [key], "inner"))
+    agg = cnt.groupBy(*k).agg(F.count(F.lit(1)).alias("n"),
+                              F.avg(digamma_int(F.col("nx"))).alias("psx"),
+                              F.avg(digamma_int(F.col("ny"))).alias("psy"))
+    mi = digamma_int(F.col("n")) + digamma_int(F.lit(K)) - F.col("psx") - F.col("psy")
+    return agg.select(*k, "n", F.greatest(mi, F.lit(0.0)).alias("score"), F.lit(None).cast("double").alias("pvalue"))
+
+
+SCORERS["mutual_info_regression"] = score_mutual_info_regression

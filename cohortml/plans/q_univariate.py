@@ -266,3 +266,39 @@ SELECT feature, importance,
 def q_threshold_select(spark, sf):
     imp = U.correlation(binary(spark, sf)).select("feature", F.col("r").alias("importance"))
     return S.threshold_select(imp, "1.25*mean").select("feature", "importance", "selected")
+
+
+# regression target: the first embedding coordinate; features: the other 63
+TREG = f"""(SELECT m.row_id, m.feature, m.value, t.value AS label
+   FROM {M} m JOIN (SELECT row_id, value FROM {M} _t0 WHERE feature = 0) t ON m.row_id = t.row_id
+  WHERE m.feature > 0)"""
+
+
+def regression_long(spark, sf):
+    m = T.matrix_long(spark, sf)
+    tgt = m.where("feature = 0").select("row_id", F.col("value").alias("label"))
+    return m.where("feature > 0").join(tgt, "row_id", "inner")
+
+
+@register("score_mutual_info_regression", rounded=SCORE_COLS, sql=f"""
+WITH t AS (SELECT feature, row_id,
+                  CASE WHEN stddev_pop(value) OVER (PARTITION BY feature) > 0
+                       THEN value / stddev_pop(value) OVER (PARTITION BY feature) ELSE value END AS x,
+                  CASE WHEN stddev_pop(label) OVER (PARTITION BY feature) > 0
+                       THEN label / stddev_pop(label) OVER (PARTITION BY feature) ELSE label END AS y
+             FROM {TREG} _r),
+p AS (SELECT a.feature, a.row_id, greatest(abs(a.x - b.x), abs(a.y - b.y)) AS d,
+             row_number() OVER (PARTITION BY a.feature, a.row_id ORDER BY greatest(abs(a.x - b.x), abs(a.y - b.y))) AS rk
+        FROM t a JOIN t b ON a.feature = b.feature AND a.row_id <> b.row_id),
+e AS (SELECT p.feature, p.row_id, p.d AS eps, t.x, t.y FROM p JOIN t ON p.feature = t.feature AND p.row_id = t.row_id
+       WHERE rk = 3),
+c AS (SELECT e.feature, e.row_id,
+             sum(CASE WHEN (e.eps > 0 AND abs(b.x - e.x) < e.eps) OR (e.eps = 0 AND b.x = e.x) THEN 1 ELSE 0 END) - 1 AS nx,
+             sum(CASE WHEN (e.eps > 0 AND abs(b.y - e.y) < e.eps) OR (e.eps = 0 AND b.y = e.y) THEN 1 ELSE 0 END) - 1 AS ny
+        FROM e JOIN t b ON b.feature = e.feature GROUP BY e.feature, e.row_id)
+SELECT feature, count(*) AS n,
+       greatest(0.0, {sql_digamma_int('count(*)')} + {sql_digamma_int('3')}
+                - avg({sql_digamma_int('nx + 1')}) - avg({sql_digamma_int('ny + 1')})) AS score
+  FROM c GROUP BY feature""")
+def q_score_mutual_info_regression(spark, sf):
+    return U.score_mutual_info_regression(regression_long(spark, sf)).select("feature", "n", "score")

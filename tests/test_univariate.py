@@ -114,3 +114,23 @@ def test_threshold_parse():
     assert S.parse_threshold("1.25*mean") == ("mean", 1.25)
     assert S.parse_threshold("median") == ("median", 1.0)
     assert S.parse_threshold(0.3) == ("value", 0.3)
+
+
+def test_mutual_info_regression_brute(spark):
+    from cohortml.functions.special import digamma_int_np
+    rng = np.random.default_rng(8)
+    n = 120
+    x = rng.normal(size=n)
+    y = np.sin(x) + 0.3 * rng.normal(size=n)
+    x = np.round(x, 2)  # some ties
+    xs, ys = x / x.std(), y / y.std()
+    d = np.maximum(np.abs(xs[:, None] - xs[None, :]), np.abs(ys[:, None] - ys[None, :]))
+    np.fill_diagonal(d, np.inf)
+    eps = np.sort(d, axis=1)[:, 2]
+    nx = np.array([np.sum(np.abs(xs - xs[i]) < eps[i]) if eps[i] > 0 else np.sum(xs == xs[i]) for i in range(n)])
+    ny = np.array([np.sum(np.abs(ys - ys[i]) < eps[i]) if eps[i] > 0 else np.sum(ys == ys[i]) for i in range(n)])
+    mi = max(0.0, digamma_int_np([n])[0] + digamma_int_np([3])[0] - digamma_int_np(nx).mean()
+             - digamma_int_np(ny).mean())
+    pdf = pd.DataFrame({"row_id": np.arange(n), "feature": 0, "value": x, "label": y})
+    got = U.score_mutual_info_regression(spark.createDataFrame(pdf)).first()["score"]
+    assert abs(got - mi) < 1e-9
