@@ -8,6 +8,7 @@ the width of the data. Feature rankings are tables of one row per feature.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -167,3 +168,57 @@ def roc_compare_missing(phi: DataFrame, labels: DataFrame, feature=None) -> Data
             .unionByName(m.select("row_id", "label", F.lit("without").alias("variant"),
                                   F.col("prob_without").alias("prob"))))
     return roc_curve(both, ["variant"]).join(m_auc(both, ["variant"]), "variant", "inner")
+
+
+# ------------------------------------------------------------ model-agnostic attributions
+def permutation_attributions(predict, rows: DataFrame, background: DataFrame, n_perm: int = 4,
+                             n_background: int = 100, seed: int = 42, key: str = "row_id",
+                             vec: str = "x") -> DataFrame:
+    """Permutation-sampling attributions of any model's class-1 probability.
+
+    For a feature order pi, phi_pi[t] += f(x on pi[:t+1], background elsewhere)
+    - f(x on pi[:t], background elsewhere); every order is used with its
+    reverse, and the result is averaged over orders and background rows (a
+    hash sample of ``n_background`` rows, as the library subsamples). By
+    construction ``base + sum(phi) = f(x)`` with ``base`` = mean f(background).
+
+    ``predict(df)`` maps ``(row_id, x, label)`` to ``(row_id, ..., prob)``.
+    The background rows and the orders are bounded literal arrays; the
+    expansion rows x background x orders x (d + 1) is one batch for ``predict``.
+    """
+    import random
+
+    from cohortml.functions.hashing import hash_int
+    d = int(rows.select(F.size(vec)).first()[0])
+    bg_rows = background.orderBy(hash_int(seed, key), F.col(key)).limit(int(n_background)).select(vec).collect()
+    bg = F.array(*[F.array(*[F.lit(float(v)) for v in r[0]]) for r in bg_rows])
+    r = random.Random(seed)
+    orders = []
+    for _ in range(int(n_perm)):
+        o = list(range(d))
+        r.shuffle(o)
+        orders += [o, o[::-1]]
+    # position of each feature in each order (inverse permutation)
+    inv = F.array(*[F.array(*[F.lit(int(p)) for p in np.argsort(o)]) for o in orders])
+    perm = F.array(*[F.array(*[F.lit(int(f)) for f in o]) for o in orders])
+    e = (rows.select(key, vec)
+         .select(key, vec, F.posexplode(bg).alias("_b", "_bx"))
+         .select("*", F.explode(F.sequence(F.lit(0), F.lit(len(orders) - 1))).alias("_p"))
+         .select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_t")))
+    pos = F.element_at(inv, F.col("_p") + 1)
+    mixed = F.transform(F.col(vec), lambda v, j: F.when(F.element_at(pos, j + 1) < F.col("_t"), v)
+                        .otherwise(F.element_at(F.col("_bx"), j + 1)))
+    batch = e.select(key, "_b", "_p", "_t", F.xxhash64(key, "_b", "_p", "_t").alias("_pid"), mixed.alias("_mx"))
+    scored = predict(batch.select(F.col("_pid").alias("row_id"), F.col("_mx").alias("x"), F.lit(0).alias("label")))
+    f = batch.join(scored.select(F.col("row_id").alias("_pid"), "prob"), "_pid", "inner")
+    w = Window.partitionBy(key, "_b", "_p").orderBy("_t")  # d + 1 rows per (row, background, order)
+    steps = f.select(key, "_b", "_p", "_t", (F.col("prob") - F.lag("prob").over(w)).alias("_diff"))
+    steps = steps.where(F.col("_t") > 0).withColumn(
+        "feature", F.element_at(F.element_at(perm, F.col("_p") + 1), F.col("_t")))
+    phi = steps.groupBy(key, "feature").agg(F.avg("_diff").alias("shap"))
+    bg_df = rows.sparkSession.createDataFrame([(i, [float(v) for v in rr[0]]) for i, rr in enumerate(bg_rows)],
+                                              "row_id long, x array<double>")
+    base = predict(bg_df.withColumn("label", F.lit(0))).select(F.avg("prob")).scalar()
+    vals = rows.select(key, F.posexplode(vec).alias("feature", "value"))
+    return phi.join(vals, [key, "feature"], "inner").select(key, "feature", "value", "shap",
+                                                            base.alias("base_value"))

@@ -65,3 +65,11 @@ def q_visual_report(spark, sf):
 
 
 _ = S
+
+
+@register("shap_permutation")
+def q_shap_permutation(spark, sf):
+    from cohortml.operators.explain import permutation_attributions
+    tr, te = split_vectors(spark, sf)
+    fp = P.FittedPipeline(P.build_pipeline(family="gdbt", params={"n_estimators": 10, "max_depth": 3})).fit(tr)
+    return permutation_attributions(fp.predict, te, tr, n_perm=1, n_background=5)

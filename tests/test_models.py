@@ -56,3 +56,16 @@ def test_label_missing():
         columns = ["a"]
     with pytest.raises(ValueError):
         cast_label(D(), None, "y")
+
+
+def test_permutation_attributions_add_up(spark, separable):
+    from pyspark.sql import functions as F
+
+    from cohortml.operators.explain import permutation_attributions
+    tr, te = separable
+    fp = P.FittedPipeline(P.build_pipeline(family="rf", params={"n_estimators": 10})).fit(tr)
+    rows = te.limit(8)
+    phi = permutation_attributions(fp.predict, rows, tr, n_perm=2, n_background=6)
+    tot = phi.groupBy("row_id").agg((F.first("base_value") + F.sum("shap")).alias("s"))
+    got = tot.join(fp.predict(rows).select("row_id", "prob"), "row_id").toPandas()
+    assert len(got) == 8 and np.allclose(got["s"], got["prob"], atol=1e-9)
