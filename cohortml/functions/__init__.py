@@ -1,0 +1,12 @@
+"""Column helpers shared by the operators."""
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def safe_corr(x, y) -> Column:
+    """Pearson correlation aggregate that is null (not an error under ANSI mode) when either
+    variable has no spread: cov_pop / (sd_pop(x) sd_pop(y))."""
+    x = F.col(x) if isinstance(x, str) else x
+    y = F.col(y) if isinstance(y, str) else y
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortml.session import ensure_checkpoint_dir, shuffle_partitions
+from cohortml.session import ensure_checkpoint_dir
 
 _BLK = "_blk"
 
@@ -38,7 +38,6 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, sums: di
     """
     keys = list(keys)
     order_cols = _as_cols(order)
-    nb = n_blocks or shuffle_partitions(df.sparkSession)
     tmp = {name: f"_v_{name}" for name in sums}
     base = df.select("*", *[(e if isinstance(e, Column) else F.col(e)).alias(tmp[n])
                            for n, e in sums.items()])
@@ -47,7 +46,11 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence, sums: di
     # checkpoint folder): both branches below, and any recomputation after an
     # executor loss, then see the same blocks.
     ensure_checkpoint_dir(df.sparkSession)
-    blocks = (base.repartitionByRange(nb, *_as_cols(keys), *order_cols)
+    # Without an explicit count, adaptive execution sizes the blocks by bytes
+    # (coalescing merges neighbouring ranges, so block ids stay in order).
+    ranged = (base.repartitionByRange(int(n_blocks), *_as_cols(keys), *order_cols) if n_blocks
+              else base.repartitionByRange(*_as_cols(keys), *order_cols))
+    blocks = (ranged
               .withColumn(_BLK, F.spark_partition_id())
               .checkpoint(eager=True))
     w = Window.partitionBy(_BLK, *keys).orderBy(*order_cols)

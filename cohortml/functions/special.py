@@ -19,11 +19,9 @@ from pyspark.sql import functions as F
 _EPS = 1e-16
 _TINY = 1e-300
 _MAX_IT = 400
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
-
-
 def lgamma(x) -> np.ndarray:
-    return _lgamma(np.asarray(x, dtype=float)).astype(float)
+    x = np.asarray(x, dtype=float)
+    return np.array([math.lgamma(v) for v in x.ravel()], dtype=float).reshape(x.shape)
 
 
 def _betacf(a, b, x):

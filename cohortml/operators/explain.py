@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortml.functions import safe_corr
+
 from cohortml.functions.ordered import row_numbers
 
 EPS64 = 2.220446049250313e-16  # machine epsilon of float64 (log-loss clipping)
@@ -92,7 +94,7 @@ def shap_interactions(phi: DataFrame, feature=None) -> DataFrame:
     pos = pos.select("row_id", "phi_ref", ((F.col("p") - F.lit(1)) / F.lit(inc)).cast("long").alias("chunk"))
     others = phi.where(F.col("feature") != ref_f).select("row_id", "feature", "value")
     j = others.join(pos, "row_id", "inner")
-    per_chunk = j.groupBy("feature", "chunk").agg(F.corr("phi_ref", "value").alias("c"),
+    per_chunk = j.groupBy("feature", "chunk").agg(safe_corr("phi_ref", "value").alias("c"),
                                                   F.sum(F.abs("value")).alias("_absx"))
     valid = F.col("c").isNotNull() & ~F.isnan("c")  # a chunk without spread has no correlation
     score = per_chunk.groupBy("feature").agg(F.sum(F.when(valid, F.abs("c")).otherwise(F.lit(0.0)))

@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortml.functions import safe_corr
+
 OPS = ("add", "sub", "mul", "div")
 
 
@@ -63,7 +65,7 @@ def _fitness(df: DataFrame, progs, vec: str, label: str, batch: int = 100):
     out = []
     y = F.col(label).cast("double")
     for i in range(0, len(progs), batch):
-        row = df.agg(*[F.corr(to_column(p, vec), y).alias(f"c{j}") for j, p in enumerate(progs[i:i + batch])]).first()
+        row = df.agg(*[safe_corr(to_column(p, vec), y).alias(f"c{j}") for j, p in enumerate(progs[i:i + batch])]).first()
         out += [abs(v) if v is not None and v == v else 0.0 for v in row]
     return out
 
@@ -112,7 +114,7 @@ def learn_symbolic(df: DataFrame, n_components: int = 2, population: int = 40, g
     pairs = [(a, b) for a in range(len(hof)) for b in range(a + 1, len(hof))]
     corr = np.eye(len(hof))
     if pairs:
-        row = df.agg(*[F.corr(cols[a], cols[b]).alias(f"p{k}") for k, (a, b) in enumerate(pairs)]).first()
+        row = df.agg(*[safe_corr(cols[a], cols[b]).alias(f"p{k}") for k, (a, b) in enumerate(pairs)]).first()
         for k, (a, b) in enumerate(pairs):
             v = row[k]
             corr[a, b] = corr[b, a] = abs(v) if v is not None and v == v else 0.0

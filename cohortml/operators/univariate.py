@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortml.functions import safe_corr
+
 from cohortml.functions.ordered import mid_ranks, running_totals
 from cohortml.functions.special import digamma_int, pvalue_chi2, pvalue_f, pvalue_r
 
@@ -41,7 +43,7 @@ def correlation(df: DataFrame, keys: Sequence[str] = ("feature",), value: str =
     """Signed Pearson r, row count and a constant flag per key."""
     k = _keys(keys)
     return (df.groupBy(*k)
-            .agg(F.corr(F.col(value), F.col(label).cast("double")).alias("r"),
+            .agg(safe_corr(F.col(value), F.col(label).cast("double")).alias("r"),
                  F.count(F.lit(1)).alias("n"),
                  (F.min(value) == F.max(value)).alias("_const")))
 
@@ -68,7 +70,7 @@ def score_f_regression(df: DataFrame, keys=("feature",), value="value", label=_L
     """F = r^2 / (1 - r^2) * (n - 2) with its F(1, n-2) tail."""
     c = correlation(df, keys, value, label)
     r2 = F.pow(F.coalesce("r", F.lit(0.0)), 2)
-    f = r2 / (F.lit(1.0) - r2) * (F.col("n") - F.lit(2))
+    f = F.try_divide(r2, F.lit(1.0) - r2) * (F.col("n") - F.lit(2))
     out = c.select(*_keys(keys), "n", f.alias("score"))
     return out.withColumn("pvalue", pvalue_f(F.col("score"), F.lit(1.0), F.col("n") - F.lit(2))
                           if with_pvalue else F.lit(None).cast("double"))
@@ -94,7 +96,7 @@ def score_spearman(df: DataFrame, keys=("feature",), value="value", label=_LABEL
                              F.sum(F.col("cnt") * F.col("rxc") * F.col("rxc")).alias("sxx"),
                              (F.count(F.lit(1)) <= 1).alias("_const"))
     j = agg.join(syy, k, "inner")
-    rho = F.col("sxy") / F.sqrt(F.col("sxx") * F.col("syy"))
+    rho = F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx") * F.col("syy")))  # null for a constant feature
     out = j.select(*k, "n", "_const", rho.alias("rho"))
     out = out.select(*k, "n", "_const", F.abs(F.coalesce("rho", F.lit(0.0))).alias("score"),
                      (pvalue_r(F.col("rho"), F.col("n")) if with_pvalue else F.lit(None).cast("double"))
@@ -112,18 +114,18 @@ def kruskal_stats(df: DataFrame, keys=("feature",), value="value", label=_LABEL)
     k = _keys(keys)
     d3 = _value_label_counts(df, k, value, label)
     ranked = mid_ranks(d3, k, value, "cnt", "rank")
-    per_class = ranked.groupBy(*k, label).agg(F.sum(F.col("rank") * F.col("cnt")).alias("R"),
-                                              F.sum("cnt").alias("n_g"))
-    cls = per_class.groupBy(*k).agg(F.sum(F.col("R") * F.col("R") / F.col("n_g")).alias("srn"),
-                                    F.sum("n_g").alias("n"), F.count(F.lit(1)).alias("n_classes"))
-    ties = ranked.groupBy(*k).agg(
-        F.sum((F.col("ties") * F.col("ties") - F.lit(1.0)) * F.col("cnt")).alias("tie_sum"),
-        (F.min(value) == F.max(value)).alias("_const"))
-    j = cls.join(ties, k, "inner")
+    # one pass over the ranked table: class rank sums and, per class, its share of the tie term
+    per_class = ranked.groupBy(*k, label).agg(
+        F.sum(F.col("rank") * F.col("cnt")).alias("R"), F.sum("cnt").alias("n_g"),
+        F.sum((F.col("ties") * F.col("ties") - F.lit(1.0)) * F.col("cnt")).alias("_ts"),
+        F.min(value).alias("_mn"), F.max(value).alias("_mx"))
+    j = per_class.groupBy(*k).agg(F.sum(F.col("R") * F.col("R") / F.col("n_g")).alias("srn"),
+                                  F.sum("n_g").alias("n"), F.count(F.lit(1)).alias("n_classes"),
+                                  F.sum("_ts").alias("tie_sum"), (F.min("_mn") == F.max("_mx")).alias("_const"))
     n = F.col("n").cast("double")
     h = F.lit(12.0) / (n * (n + F.lit(1.0))) * F.col("srn") - F.lit(3.0) * (n + F.lit(1.0))
     corr = F.lit(1.0) - F.col("tie_sum") / (n * n * n - n)
-    return j.select(*k, "n", "n_classes", "_const", (h / corr).alias("H"))
+    return j.select(*k, "n", "n_classes", "_const", F.try_divide(h, corr).alias("H"))
 
 
 def score_kruskal(df: DataFrame, keys=("feature",), value="value", label=_LABEL,
@@ -153,7 +155,7 @@ def score_f_classif(df: DataFrame, keys=("feature",), value="value", label=_LABE
         F.first("n").alias("n"), F.count(F.lit(1)).alias("n_classes"))
     d1 = F.col("n_classes") - F.lit(1)
     d2 = F.col("n") - F.col("n_classes")
-    f = (F.col("ssb") / d1) / (F.col("ssw") / d2)
+    f = F.try_divide(F.try_divide(F.col("ssb"), d1), F.try_divide(F.col("ssw"), d2))
     out = a.select(*k, "n", "n_classes", f.alias("score"), (F.col("ssw") == 0).alias("_deg"))
     out = out.withColumn("pvalue", pvalue_f(F.col("score"), d1, d2) if with_pvalue
                          else F.lit(None).cast("double")).drop("n_classes")
@@ -167,7 +169,7 @@ def score_chi2(df: DataFrame, keys=("feature",), value="value", label=_LABEL,
     g = df.groupBy(*k, label).agg(F.sum(value).alias("o"), F.count(F.lit(1)).alias("n_c"))
     tot = g.groupBy(*k).agg(F.sum("o").alias("t"), F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("K"))
     j = g.join(tot, k, "inner").withColumn("e", F.col("n_c") / F.col("n") * F.col("t"))
-    a = j.groupBy(*k).agg(F.sum(F.pow(F.col("o") - F.col("e"), 2) / F.col("e")).alias("score"),
+    a = j.groupBy(*k).agg(F.sum(F.try_divide(F.pow(F.col("o") - F.col("e"), 2), F.col("e"))).alias("score"),
                           F.first("K").alias("K"), F.first("n").alias("n"))
     return a.select(*k, "n", "score",
                     (pvalue_chi2(F.col("score"), F.col("K") - F.lit(1)) if with_pvalue
