@@ -150,6 +150,12 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, key: str = "row_id", vec:
     spark = query.sparkSession
     r = ref.select(F.col(key).alias("nn_key"), F.col(vec).alias("_rx"), *ref_cols)
     ref_cols = r.columns[2:]  # names of the carried reference columns
+    # Exact duplicates cannot be split by pivots; only the k (+1 for self) smallest keys of a
+    # repeated vector can ever be chosen, so the rest are dropped (block-wise numbering,
+    # safe when one vector holds a large share of the rows).
+    from cohortml.functions.ordered import row_numbers
+    keep = int(k) + (1 if exclude_self else 0)
+    r = row_numbers(r, ["_rx"], ["nn_key"], "_dup").where(F.col("_dup") <= keep).drop("_dup")
     pivots = choose_pivots(ref.select(key, vec), key, vec, n_pivots)
     pivots_b = spark.sparkContext.broadcast(pivots)
     cells = _assign_cells(r, "_rx", pivots_b)
@@ -204,9 +210,13 @@ def _synthesize(base: DataFrame, pool: DataFrame, n_new: int, k: int, key: str,
     nn = knn_join(base, pool, k, key, vec, exclude_self=True, ref_cols=[F.col(vec).alias("_nx")])
     kk = F.least(F.lit(int(k)), F.lit(int(k)))
     pos = row_numbers(base.select(key, vec).withColumn("_h", hash_int(seed, key)), [], ["_h", key], "_pos")
-    per, extra = divmod(int(n_new), int(nb))
-    reps = pos.select(key, vec, F.explode(F.sequence(F.lit(0), F.lit(per) + F.when(F.col("_pos") <= extra, 1)
-                                                     .otherwise(0) - F.lit(1))).alias("replica"))
+    # synthetic sample s belongs to base position (s mod n_b) + 1 as replica s div n_b: the
+    # samples are generated in parallel by a range, and a base row with many replicas is a
+    # hot join key that adaptive skew handling splits
+    synth = base.sparkSession.range(int(n_new)).select(
+        ((F.col("id") % F.lit(int(nb))) + F.lit(1)).alias("_pos"),
+        (F.col("id") / F.lit(int(nb))).cast("int").alias("replica"))
+    reps = synth.join(pos.select(key, vec, "_pos"), "_pos", "inner").drop("_pos")
     reps = reps.withColumn("nn_rank", (F.pmod(hash_int(seed, key, "replica"), kk) + F.lit(1)).cast("int"))
     j = reps.join(nn.select(key, "nn_rank", "_nx"), [key, "nn_rank"], "inner")
     u = hash_uniform(f"{seed}:gap", key, "replica")

@@ -52,3 +52,18 @@ def test_tomek_is_subset_and_keeps_minority(spark):
     out = N.rs_tomek(df).toPandas()
     assert set(out.row_id) <= set(range(len(y)))
     assert (out.label == 1).sum() == (y == 1).sum()
+
+
+def test_knn_with_hot_exact_duplicates(spark):
+    rng = np.random.default_rng(4)
+    n = 240
+    x = rng.normal(size=(n, 3))
+    x[: n // 3] = x[0]  # a third of the rows are one exact vector
+    pdf = pd.DataFrame({"row_id": np.arange(n), "x": [list(map(float, r)) for r in x], "label": 0})
+    df = spark.createDataFrame(pdf, "row_id long, x array<double>, label int")
+    got = N.knn_join(df, df, 3, exclude_self=True, n_pivots=8).toPandas()
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    np.fill_diagonal(d2, np.inf)
+    for i in list(range(0, n, 11)) + [0, 1, 5]:
+        exp = sorted(range(n), key=lambda j: (d2[i, j], j))[:3]
+        assert got[got.row_id == i].sort_values("nn_rank").nn_key.tolist() == exp
