@@ -155,8 +155,13 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, key: str = "row_id", vec:
     # safe when one vector holds a large share of the rows).
     from cohortml.functions.ordered import row_numbers
     keep = int(k) + (1 if exclude_self else 0)
-    r = row_numbers(r, ["_rx"], ["nn_key"], "_dup").where(F.col("_dup") <= keep).drop("_dup")
-    pivots = choose_pivots(ref.select(key, vec), key, vec, n_pivots)
+    r = r.checkpoint(eager=True)  # several passes below read the reference rows
+    reps = r.groupBy("_rx").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > keep)
+    if reps.limit(1).count() > 0:  # trim only when some vector repeats more than k+1 times
+        hot = r.join(reps.select("_rx"), "_rx", "left_semi")
+        trimmed = row_numbers(hot, ["_rx"], ["nn_key"], "_dup").where(F.col("_dup") <= keep).drop("_dup")
+        r = r.join(reps.select("_rx"), "_rx", "left_anti").unionByName(trimmed.select(*r.columns))
+    pivots = choose_pivots(r.select(F.col("nn_key").alias(key), F.col("_rx").alias(vec)), key, vec, n_pivots)
     pivots_b = spark.sparkContext.broadcast(pivots)
     cells = _assign_cells(r, "_rx", pivots_b)
     radii = np.full(len(pivots), -np.inf)  # an empty cell keeps -inf and is never a candidate
@@ -230,6 +235,7 @@ def rs_smote(df: DataFrame, key="row_id", vec="x", label="label", k: int = SMOTE
     Output ``(key, replica, label, x)``: originals have ``replica = -1``,
     synthetic rows carry the key of their base row.
     """
+    df = df.checkpoint(eager=True)  # multi-pass: read the input once
     c, mino, majo = _counts(df, label)
     minority = df.where(F.col(label) == mino)
     new = _synthesize(minority, minority, c[majo] - c[mino], k, key, vec, label, mino, seed)
@@ -239,6 +245,7 @@ def rs_smote(df: DataFrame, key="row_id", vec="x", label="label", k: int = SMOTE
 
 def danger_rows(df: DataFrame, key="row_id", vec="x", label="label", m: int = BORDERLINE_M) -> DataFrame:
     """Minority rows with at least half, but not all, of their m neighbours in another class."""
+    df = df.checkpoint(eager=True)  # multi-pass: read the input once
     c, mino, _ = _counts(df, label)
     minority = df.where(F.col(label) == mino)
     nn = knn_join(minority, df, m, key, vec, exclude_self=True, ref_cols=[F.col(label).alias("_nl")])
@@ -250,6 +257,7 @@ def danger_rows(df: DataFrame, key="row_id", vec="x", label="label", m: int = BO
 def rs_borderline(df: DataFrame, key="row_id", vec="x", label="label", k: int = SMOTE_K,
                   m: int = BORDERLINE_M, seed=42) -> DataFrame:
     """Borderline SMOTE: synthetic rows only from minority rows in danger."""
+    df = df.checkpoint(eager=True)  # multi-pass: read the input once
     c, mino, majo = _counts(df, label)
     minority = df.where(F.col(label) == mino)
     base = danger_rows(df, key, vec, label, m)
@@ -269,6 +277,7 @@ def tomek_links(df: DataFrame, key="row_id", vec="x", label="label") -> DataFram
 
 def rs_tomek(df: DataFrame, key="row_id", vec="x", label="label", remove: str = "majority") -> DataFrame:
     """Drop link members: non-minority ones (default) or both (``remove='all'``)."""
+    df = df.checkpoint(eager=True)  # multi-pass: read the input once
     links = tomek_links(df, key, vec, label)
     members = df.join(links.select(key).distinct(), key, "left_semi")
     if remove == "all":

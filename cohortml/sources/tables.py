@@ -135,7 +135,7 @@ def imbalanced_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("doc_id").alias("row_id"),
         F.col("n_chars").cast("double").alias("f1"),
-        F.size(F.expr(r"regexp_extract_all(text, '\\S+', 0)")).cast("double").alias("f2"),
+        F.regexp_count(F.col("text"), F.lit(r"\S+")).cast("double").alias("f2"),
         F.size(F.split(F.col("text"), "\n")).cast("double").alias("f3"),
         F.col("toxic").cast("int").alias("label"))
 
