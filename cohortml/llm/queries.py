@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortml.llm import exact_dedup
+from cohortml.llm import exact_dedup, packing, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +14,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixture_packing": lambda s, d: packing.pack(documents(s, d)),
     "op4_exact_dedup": lambda s, d: exact_dedup.exact_dedup(documents(s, d)),
+    "op8_token_counts": lambda s, d: token_counts.token_counts(documents(s, d)),
 }
 
 ORACLES: dict[str, str] = {
