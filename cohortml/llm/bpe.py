@@ -3,8 +3,8 @@
 A text is cut at safe boundaries: before a single space that is followed by something that is not
 white space. The pre-tokenizer always starts a new piece there (every pattern either holds no white
 space, or one leading space, or white space alone), so the ids of a text are the ids of its pieces,
-one after the other. Distinct pieces go to the tokenizers library in batches of bounded bytes, and
-a bounded table per worker process remembers them. Where the argument does not hold (another
+one after the other. Distinct pieces of a batch go to the tokenizers library in calls of bounded
+bytes, and a bounded table per worker process remembers the short ones, which recur most. Where the argument does not hold (another
 pre-tokenizer, a normaliser, or a special string inside the text) the library gets the whole text.
 """
 
@@ -25,7 +25,8 @@ _CUT = re.compile(r" (?=\S)")
 class PieceEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, table_bytes: int = 96 << 20, batch_bytes: int = 1 << 20):
+    def __init__(self, path: str, table_bytes: int = 128 << 20, batch_bytes: int = 1 << 20,
+                 keep_chars: int = 8):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
@@ -36,7 +37,7 @@ class PieceEncoder:
         self.cuttable = (conf.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.table_bytes, self.batch_bytes = table_bytes, batch_bytes
+        self.table_bytes, self.batch_bytes, self.keep_chars = table_bytes, batch_bytes, keep_chars
         self._forget()
 
     def _forget(self):
@@ -59,10 +60,12 @@ class PieceEncoder:
             yield struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, table, pieces, lead):
+        """Fill the table with the pieces that it lacks; the long ones among them come back."""
         new = list(pieces.difference(table))
-        for piece, ids in zip(new, self._library_ids(lead + p for p in new), strict=True):
-            table[piece] = ids
-            self.held += 200 + len(piece) + len(ids)
+        table.update(zip(new, self._library_ids(lead + p for p in new), strict=True))
+        long = [p for p in new if len(p) > self.keep_chars]
+        self.held += 200 * (len(new) - len(long))
+        return long
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.held > self.table_bytes:
@@ -78,11 +81,14 @@ class PieceEncoder:
             heads.add(head)
             rest.update(p)
             cuts.append((head, p))
-        self._learn(self.heads, heads, "")
-        self._learn(self.rest, rest, " ")
+        passing = [(self.heads, self._learn(self.heads, heads, "")), (self.rest, self._learn(self.rest, rest, " "))]
         direct = self._library_ids(whole)
         get, join = self.rest.__getitem__, b"".join
-        return [next(direct) if c is None else self.heads[c[0]] + join(map(get, c[1])) for c in cuts]
+        out = [next(direct) if c is None else self.heads[c[0]] + join(map(get, c[1])) for c in cuts]
+        for table, long in passing:
+            for p in long:
+                del table[p]
+        return out
 
 
 def encoder(tokenizer: str) -> PieceEncoder:
