@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortml.llm import exact_dedup, packing, sp_codec, token_counts
+from cohortml.llm import exact_dedup, packing, simhash, sp_codec, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_bk_trees": lambda s, d: simhash.simhash_dedup(documents(s, d), 3, 3),
     "op2_mixture_packing": lambda s, d: packing.pack(documents(s, d)),
     "op3_sentencepiece": lambda s, d: sp_codec.encode_decode(documents(s, d)),
     "op4_exact_dedup": lambda s, d: exact_dedup.exact_dedup(documents(s, d)),
