@@ -36,6 +36,10 @@ class PieceEncoder:
         pre = conf.get("pre_tokenizer") or {}
         self.cuttable = (conf.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
+        import numpy as np
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # the byte of a space
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.table_bytes, self.batch_bytes, self.keep_chars = table_bytes, batch_bytes, keep_chars
         self._forget()
@@ -43,26 +47,47 @@ class PieceEncoder:
     def _forget(self):
         self.heads, self.rest, self.held = {}, {}, 0
 
-    def _library_ids(self, strings):
-        """Ids of each string, encoded in batches of about ``batch_bytes``."""
+    def _batches(self, strings):
+        """The strings in lists of about ``batch_bytes`` characters."""
         batch, size = [], 0
         for s in strings:
             batch.append(s)
             size += len(s)
             if size >= self.batch_bytes:
-                yield from self._one_batch(batch)
+                yield batch
                 batch, size = [], 0
-        yield from self._one_batch(batch)
-
-    def _one_batch(self, batch):
-        for e in self.library.encode_batch_fast(batch, add_special_tokens=False) if batch else ():
-            ids = e.ids
-            yield struct.pack(f"<{len(ids)}I", *ids)
+        if batch:
+            yield batch
+
+    def _each(self, strings):
+        """Ids of each string by itself."""
+        for batch in self._batches(strings):
+            for e in self.library.encode_batch_fast(batch, add_special_tokens=False):
+                ids = e.ids
+                yield struct.pack(f"<{len(ids)}I", *ids)
+
+    def _words(self, words):
+        """Ids of each `` word``: one call for many, cut again where a token begins with a space."""
+        import numpy as np
+        for batch in self._batches(words):
+            raw = np.array(self.library.encode_batch_fast([" " + " ".join(batch)], add_special_tokens=False)[0].ids,
+                           dtype="<u4")
+            cut = np.flatnonzero(self.opens[raw])
+            if len(cut) != len(batch):
+                yield from self._each(" " + w for w in batch)
+                continue
+            cut, raw = (cut * 4).tolist(), raw.tobytes()
+            cut.append(len(raw))
+            for i, j in zip(cut, cut[1:]):
+                yield raw[i:j]
 
-    def _learn(self, table, pieces, lead):
+    def _learn(self, table, pieces, words: bool):
         """Fill the table with the pieces that it lacks; the long ones among them come back."""
         new = list(pieces.difference(table))
-        table.update(zip(new, self._library_ids(lead + p for p in new), strict=True))
+        plain = [p for p in new if p and " " not in p] if words else []
+        odd = [p for p in new if not p or " " in p] if words else new
+        table.update(zip(plain, self._words(plain), strict=True))
+        table.update(zip(odd, self._each((" " if words else "") + p for p in odd), strict=True))
         long = [p for p in new if len(p) > self.keep_chars]
         self.held += 200 * (len(new) - len(long))
         return long
@@ -81,8 +106,8 @@ class PieceEncoder:
             heads.add(head)
             rest.update(p)
             cuts.append((head, p))
-        passing = [(self.heads, self._learn(self.heads, heads, "")), (self.rest, self._learn(self.rest, rest, " "))]
-        direct = self._library_ids(whole)
+        passing = [(self.heads, self._learn(self.heads, heads, False)), (self.rest, self._learn(self.rest, rest, True))]
+        direct = self._each(whole)
         get, join = self.rest.__getitem__, b"".join
         out = [next(direct) if c is None else self.heads[c[0]] + join(map(get, c[1])) for c in cuts]
         for table, long in passing:
