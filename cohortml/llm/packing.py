@@ -149,9 +149,10 @@ def mixture(docs: DataFrame, source: str = "source", least: float = 1 / 1024) ->
     At most ``1 / least`` sources come back, whatever the size of the corpus.
     """
     size = F.octet_length(text_of()).cast("double") + F.lit(1.0)
-    per = docs.groupBy(F.coalesce(F.col(source), F.lit(OTHER)).alias("s")).agg(F.sum(size).alias("b"))
-    rows = per.join(F.broadcast(per.agg(F.sum("b").alias("t")))).where(F.col("b") >= F.lit(least) * F.col("t"))
-    shares = {r["s"]: r["b"] / r["t"] for r in rows.collect() if r["s"] != OTHER}
+    per = materialise(docs.groupBy(F.coalesce(F.col(source), F.lit(OTHER)).alias("s")).agg(F.sum(size).alias("b")))
+    total = per.agg(F.sum("b")).first()[0] or 1.0
+    rows = per.where(F.col("b") >= F.lit(least * total)).collect()
+    shares = {r["s"]: r["b"] / total for r in rows if r["s"] != OTHER}
     return shares | {OTHER: max(0.0, 1.0 - sum(shares.values()))}
 
 
