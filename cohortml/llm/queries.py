@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortml.llm import exact_dedup, packing, passages, secret_scan, simhash, sp_codec, token_counts
+from cohortml.llm import exact_dedup, packing, passages, pii, quality, secret_scan, simhash, sp_codec, token_counts
+
+
+#: The key of the registered query only; a user passes a secret of their own.
+PII_KEY = "registered query"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +24,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": lambda s, d: exact_dedup.exact_dedup(documents(s, d)),
     "op10_passage_automata": lambda s, d: passages.cut_repeats(documents(s, d)),
     "op6_entropy_secrets": lambda s, d: secret_scan.secret_spans(documents(s, d)),
+    "op7_feistel_pseudonyms": lambda s, d: pii.pseudonymise(documents(s, d), PII_KEY),
     "op8_token_counts": lambda s, d: token_counts.token_counts(documents(s, d)),
+    "op9_line_quality": lambda s, d: quality.quality(documents(s, d)),
 }
 
 ORACLES: dict[str, str] = {
