@@ -35,6 +35,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of this library through Spark's own file systems."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def worker_state(key, make):
     """``make()`` once per Python worker process and ``key``; later tasks in the same process reuse it.
 
