@@ -33,13 +33,6 @@ def hash_uniform(seed, *cols) -> Column:
     return hash_int(seed, *cols).cast("double") / F.lit(_SCALE)
 
 
-def hash_normal(seed, *cols) -> Column:
-    """Standard normal value (Box-Muller on two hashed uniforms)."""
-    u1 = hash_uniform(f"{seed}:n1", *cols)
-    u2 = hash_uniform(f"{seed}:n2", *cols)
-    return F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - u1)) * F.cos(F.lit(6.283185307179586) * u2)
-
-
 def sql_hash_int(seed, *exprs: str) -> str:
     """DuckDB twin of :func:`hash_int` for oracle SQL."""
     inner = " || ':' || ".join([f"'{seed}'"] + [f"CAST({e} AS VARCHAR)" for e in exprs])

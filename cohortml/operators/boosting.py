@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from cohortml.functions.hashing import hash_uniform
 
+#: Defaults of ``n_bins`` (quantile bins per feature) and ``min_child_weight`` (least Hessian sum of a child).
 N_BINS = 32
 MIN_CHILD_WEIGHT = 1.0
 
@@ -83,7 +84,7 @@ class BoostedTrees:
 
 def fit_xgboost(df: DataFrame, n_estimators: int = 100, max_depth: int = 3, learning_rate: float = 0.1,
                 reg_alpha: float = 0.0, reg_lambda: float = 1.0, subsample: float = 1.0, gamma: float = 0.0,
-                seed: int = 42, n_bins: int = N_BINS, **_):
+                seed: int = 42, n_bins: int = N_BINS, min_child_weight: float = MIN_CHILD_WEIGHT, **_):
     from cohortml.operators.models import FittedModel
     d0 = df.select("row_id", "x", F.col("label").cast("double").alias("y"))
     qs = [i / n_bins for i in range(1, n_bins)]
@@ -102,7 +103,7 @@ def fit_xgboost(df: DataFrame, n_estimators: int = 100, max_depth: int = 3, lear
         cur = rows.withColumn("g", p - F.col("y")).withColumn("h", p * (F.lit(1.0) - p))
         if subsample < 1.0:
             cur = cur.where(hash_uniform(f"{seed}:{t}", "row_id") < F.lit(float(subsample)))
-        tree = {"splits": {}, "leaves": {}}
+        tree = {"splits": {}, "leaves": {}, "gains": {}}
         cur = cur.withColumn("node", F.lit(0))
         for level in range(int(max_depth)):
             hist = (cur.select("node", "g", "h", F.posexplode("b").alias("f", "bin"))
@@ -122,7 +123,7 @@ def fit_xgboost(df: DataFrame, n_estimators: int = 100, max_depth: int = 3, lear
                     gl, hl = np.cumsum(G)[:-1], np.cumsum(H)[:-1]
                     gt, ht = G.sum(), H.sum()
                     gr, hr = gt - gl, ht - hl
-                    ok = (hl > 1e-12) & (hr > 1e-12)
+                    ok = (hl >= max(min_child_weight, 1e-12)) & (hr >= max(min_child_weight, 1e-12))
                     if not ok.any():
                         continue
                     gain = 0.5 * (_soft(gl, reg_alpha) ** 2 / (hl + reg_lambda)
@@ -134,6 +135,7 @@ def fit_xgboost(df: DataFrame, n_estimators: int = 100, max_depth: int = 3, lear
                         best = (float(gain[j]), int(f), j)
                 if best is not None:
                     new_splits[nid] = (best[1], best[2])
+                    tree["gains"][nid] = best[0] + gamma
             if not new_splits:
                 break
             tree["splits"].update(new_splits)
@@ -151,10 +153,12 @@ def fit_xgboost(df: DataFrame, n_estimators: int = 100, max_depth: int = 3, lear
 
 
 def split_gain_importance(model: BoostedTrees, n_features: int) -> list[float]:
-    """Number of splits per feature, normalised (a simple importance for the embedded filter)."""
-    cnt = np.zeros(n_features)
+    """Mean loss reduction of a feature's splits, normalised to one."""
+    gain, count = np.zeros(n_features), np.zeros(n_features)
     for t in model.trees:
-        for f, _ in t["splits"].values():
-            cnt[f] += 1
-    s = cnt.sum()
-    return [float(v) for v in (cnt / s if s > 0 else cnt)]
+        for node, (f, _) in t["splits"].items():
+            gain[f] += t["gains"][node]
+            count[f] += 1
+    mean = gain / np.maximum(count, 1)
+    s = mean.sum()
+    return [float(v) for v in (mean / s if s > 0 else mean)]

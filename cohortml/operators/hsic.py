@@ -6,9 +6,10 @@ with K_k a Gaussian kernel (sigma = 1) on the z-scored feature k and L a
 delta kernel on the class (``1/n_c`` for a pair in class c) or a Gaussian
 kernel on the z-scored target; every kernel is centred and scaled to unit
 Frobenius norm. Rows are dealt into blocks of ``B`` rows by a hashed order
-(``M`` independent orders). Each block is a grouped pandas function of at
-most ``B`` rows that returns its ``d x d`` Gram contribution and its ``d``
-kernel-target products; Spark sums them (ML ``Summarizer``). The small
+(``M`` independent orders); every row is in exactly one block of each order. A
+grouped pandas function sums the ``d x d`` Gram contributions and the ``d``
+kernel-target products of up to 64 blocks; Spark sums the groups. The driver
+holds the ``d x d`` matrix, whose size is the width and not the rows. The small
 nonnegative lasso path runs on the driver until ``num_feat`` features are
 active; importance = a / a of the first feature to enter.
 """
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 from cohortml.functions.hashing import hash_int
 from cohortml.functions.ordered import row_numbers
 
-MAX_FEATURES = 2000
-MAX_SINGLE_BLOCK = 2000
+#: Kernel values of one block (features x rows x rows) that ``B=0`` aims at: 128 MB of doubles.
+BLOCK_VALUES = 16_000_000
+#: Blocks whose Gram matrices are summed inside one task.
+BLOCKS_PER_GROUP = 64
 
 
 def _centre_norm(K: np.ndarray) -> np.ndarray:
@@ -37,20 +40,23 @@ def _centre_norm(K: np.ndarray) -> np.ndarray:
 
 
 def _block_stats(mode: str, d: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf["x"].tolist(), dtype=float).reshape(len(pdf), d).T  # (d, B)
+    """Sum over the blocks of one group: a row per feature, with its Gram row and its target product."""
+    def one(x, y):
         K = np.exp(-((x[:, :, None] - x[:, None, :]) ** 2) / 2.0)
         Kn = _centre_norm(K).reshape(d, -1)
-        y = pdf["y"].to_numpy()
         if mode == "classification":
             same = y[:, None] == y[None, :]
-            counts = pd.Series(y).map(pd.Series(y).value_counts()).to_numpy(dtype=float)
-            L = np.where(same, 1.0 / counts[:, None], 0.0)
+            L = same / same.sum(axis=1)[:, None]
         else:
             L = np.exp(-((y[:, None] - y[None, :]) ** 2) / 2.0)
         Ln = _centre_norm(L[None, :, :]).reshape(-1)
-        stats = np.concatenate([(Kn @ Kn.T).ravel(), Kn @ Ln])
-        return pd.DataFrame({"s": [stats.tolist()]})
+        return np.column_stack([Kn @ Kn.T, Kn @ Ln])
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros((d, d + 1))
+        for _, block in pdf.groupby("_b"):
+            total += one(np.array(block["x"].tolist(), dtype=float).reshape(len(block), d).T, block["y"].to_numpy())
+        return pd.DataFrame({"i": np.arange(d, dtype="int32"), "s": list(total)})
     return fn
 
 
@@ -68,7 +74,8 @@ def nonneg_lasso_path(Q: np.ndarray, b: np.ndarray, num_feat: int, steps: int =
     for lam in lam_max * np.logspace(0, -4, steps):
         for _ in range(sweeps):
             prev = a.copy()
-            for k in range(d):
+            # only coordinates that are positive or would become so can move
+            for k in np.flatnonzero((a > 0) | (b - lam - Q @ a > 0)):
                 r = b[k] - lam - (Q[k] @ a - Q[k, k] * a[k])
                 a[k] = max(0.0, r / diag[k])
             if np.max(np.abs(a - prev)) < 1e-12:
@@ -86,8 +93,6 @@ def hsic_importances(df: DataFrame, num_feat: int = 20, B: int = 20, M: int = 1,
     if int(num_feat) != num_feat or num_feat <= 0:
         raise ValueError("HSIC selection needs an integer number of features")
     d = int(df.select(F.size(vec)).first()[0])
-    if d > MAX_FEATURES:
-        raise ValueError(f"HSIC Lasso builds a d x d Gram matrix; d={d} exceeds {MAX_FEATURES}, filter first")
     stats = (df.select(F.posexplode(vec).alias("i", "v")).groupBy("i")
              .agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect())  # one row per feature
     mean, sd = np.zeros(d), np.ones(d)
@@ -101,24 +106,25 @@ def hsic_importances(df: DataFrame, num_feat: int = 20, B: int = 20, M: int = 1,
         ys = z.agg(F.avg("y").alias("m"), F.stddev_pop("y").alias("s")).first()
         z = z.withColumn("y", (F.col("y") - F.lit(ys["m"])) / F.lit(ys["s"] or 1.0))
     n = z.count()
-    if B == 0:  # one block holding every row
-        if n > MAX_SINGLE_BLOCK:
-            raise ValueError(f"B=0 means one n x n kernel; n={n} > {MAX_SINGLE_BLOCK}, give a block size")
-        B, M = n, 1
+    if B == 0:  # the default of the method: one block, or blocks whose kernels stay near BLOCK_VALUES
+        B, M = max(20, int((BLOCK_VALUES / max(d, 1)) ** 0.5)), 1
+    n_blocks = max(1, -(-n // int(B)))
     parts = []
     for m in range(int(M)):
         pos = row_numbers(z.withColumn("_h", hash_int(f"{seed}:{m}", "row_id")), [], ["_h", "row_id"], "_p")
-        full = (n // B) * B  # rows past the last full block are left out
-        blocks = pos.where(F.col("_p") <= full).withColumn("_b", ((F.col("_p") - 1) / B).cast("long"))
+        # blocks of at most B rows whose sizes differ by one at most: every row is in one of them
+        blocks = pos.withColumn("_b", F.floor((F.col("_p") - 1) * F.lit(n_blocks) / F.lit(n)).cast("long"))
         parts.append(blocks.withColumn("_m", F.lit(m)).select("_m", "_b", "x", "y"))
     allb = parts[0]
     for p in parts[1:]:
         allb = allb.unionByName(p)
-    per_block = allb.groupBy("_m", "_b").applyInPandas(_block_stats(mode, d), "s array<double>")
-    total = (per_block.select(array_to_vector("s").alias("v"))
-             .select(Summarizer.sum(F.col("v")).alias("t")).first()["t"].toArray())
-    Q = total[: d * d].reshape(d, d)
-    b = total[d * d:]
+    grouped = allb.withColumn("_g", F.floor(F.col("_b") / F.lit(BLOCKS_PER_GROUP)))
+    per_group = grouped.groupBy("_m", "_g").applyInPandas(_block_stats(mode, d), "i int, s array<double>")
+    rows = (per_group.groupBy("i").agg(Summarizer.sum(array_to_vector("s")).alias("t")).collect())  # one row per feature
+    total = np.zeros((d, d + 1))
+    for r in rows:
+        total[r["i"]] = r["t"].toArray()
+    Q, b = total[:, :d], total[:, d]
     a, order = nonneg_lasso_path(Q, b, int(num_feat))
     chosen = [k for k in order if a[k] > 0][: int(num_feat)]
     imp = np.zeros(d)

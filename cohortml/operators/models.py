@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortml.functions.hashing import hash_normal, hash_uniform
+from cohortml.functions.hashing import hash_uniform
 from cohortml.operators.prep import balanced_weights
 
 FAMILIES = ("svc", "logistic", "rf", "mlp", "xgboost", "et", "ada", "gdbt", "knn")
@@ -100,21 +100,36 @@ def random_fourier(n_in: int, n_out: int, gamma: float, seed=42):
     return apply
 
 
-def fit_svc(df: DataFrame, C: float = 1.0, kernel: str = "linear", n_components: int = 64, **_) -> FittedModel:
-    """Linear SVC; rbf through random Fourier features (gamma = 1/d). Probabilities by a
-    logistic fit of the label on the margin of held-out (hash half) rows."""
+def fit_svc(df: DataFrame, C: float = 1.0, kernel: str = "linear", n_components: int = 64,
+            calibration_folds: int = 3, **_) -> FittedModel:
+    """Linear SVC on all rows; rbf through ``n_components`` random Fourier features (gamma = 1/d).
+
+    Probabilities are a logistic fit of the label on out-of-fold margins: ``calibration_folds``
+    further fits, each scoring the hash fold that it has not seen."""
     d = with_weights(df)
     extra = {}
     if kernel == "rbf":
         nf = n_features(d)
         extra["rff"] = random_fourier(nf, int(n_components), 1.0 / nf)
+        extra["rff_args"] = [nf, int(n_components), 1.0 / nf]
         d = extra["rff"](d, "x")
-    half = hash_uniform("platt", "row_id") < 0.5
-    fit_part, cal_part = d.where(half), d.where(~half)
-    svc = LinearSVC(featuresCol="features", labelCol="label", weightCol="weight",
-                    regParam=1.0 / (C * _sum_w(fit_part)), maxIter=200)
-    model = svc.fit(to_ml(fit_part))
-    margins = model.transform(to_ml(cal_part)).select("label", vector_to_array("rawPrediction")[1].alias("m"))
+    fold = F.floor(hash_uniform("platt", "row_id") * F.lit(int(calibration_folds)))
+
+    def fit(rows):
+        return LinearSVC(featuresCol="features", labelCol="label", weightCol="weight",
+                         regParam=1.0 / (C * _sum_w(rows)), maxIter=200).fit(to_ml(rows))
+
+    margins = None
+    for k in range(int(calibration_folds)):
+        held = d.where(fold == k)
+        part = d.where(fold != k)
+        if part.select("label").distinct().count() < 2:
+            continue  # too few rows to leave a fold out
+        m = fit(part).transform(to_ml(held)).select("label", vector_to_array("rawPrediction")[1].alias("m"))
+        margins = m if margins is None else margins.unionByName(m)
+    model = fit(d)
+    if margins is None:
+        margins = model.transform(to_ml(d)).select("label", vector_to_array("rawPrediction")[1].alias("m"))
     platt = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, maxIter=100).fit(
         margins.withColumn("features", array_to_vector(F.array("m"))))
     extra["platt"] = (float(platt.coefficients[0]), float(platt.intercept))
@@ -164,16 +179,14 @@ def fit_gdbt(df: DataFrame, n_estimators: int = 50, learning_rate: float = 0.1,
 def fit_ada(df: DataFrame, n_estimators: int = 50, learning_rate: float = 0.1, **_) -> FittedModel:
     """Discrete SAMME on decision stumps: one weighted stump fit per round; the
     weights are updated with a column expression (no row leaves Spark)."""
-    d = to_ml(df.select("row_id", "x", "label")).withColumn("weight", F.lit(1.0))
+    d = to_ml(df.select("row_id", "x", "label")).withColumn("weight", F.lit(1.0)).checkpoint(eager=True)
+    tree = DecisionTreeClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxDepth=1)
+    columns = d.columns
     stumps = []
     for _i in range(int(n_estimators)):
-        tot = float(d.agg(F.sum("weight")).first()[0])
-        d = d.withColumn("weight", F.col("weight") / F.lit(tot))
-        stump = DecisionTreeClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                                       maxDepth=1).fit(d)
-        pred = stump.transform(d).select("row_id", "prediction")
-        d2 = d.join(pred, "row_id", "inner").withColumn("wrong", (F.col("prediction") != F.col("label")).cast("double"))
-        err = float(d2.agg(F.sum(F.col("weight") * F.col("wrong"))).first()[0])
+        stump = tree.fit(d)
+        d2 = stump.transform(d).select(*columns, (F.col("prediction") != F.col("label")).cast("double").alias("wrong"))
+        err = float(d2.agg(F.sum(F.col("weight") * F.col("wrong")) / F.sum("weight")).first()[0])
         if err <= 0:
             stumps.append((stump, 1.0))
             break
@@ -181,7 +194,10 @@ def fit_ada(df: DataFrame, n_estimators: int = 50, learning_rate: float = 0.1, *
             break
         alpha = float(learning_rate) * math.log((1.0 - err) / err)
         stumps.append((stump, alpha))
-        d = d2.withColumn("weight", F.col("weight") * F.exp(F.lit(alpha) * F.col("wrong"))).drop("prediction", "wrong")
+        # divided by the new mean, so that the weights keep their sum
+        up = math.exp(alpha)
+        d = d2.withColumn("weight", F.col("weight") * F.when(F.col("wrong") > 0, F.lit(up)).otherwise(F.lit(1.0))
+                          / F.lit(err * up + 1.0 - err)).drop("wrong")
         d = d.checkpoint(eager=True)  # cut the growing lineage of the weight updates
     return FittedModel("ada", None, {"n_estimators": n_estimators}, {"stumps": stumps})
 
@@ -309,7 +325,7 @@ def embed_rf(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, seed: i
 
 
 def embed_gbt(df: DataFrame, n_estimators: int = 50, seed: int = 42, **kw) -> list[float]:
-    """Importance from the second-order boosting job (share of splits per feature)."""
+    """Importance from the second-order boosting job: mean gain of a feature's splits, normalised."""
     from cohortml.operators.boosting import fit_xgboost, split_gain_importance
     m = fit_xgboost(df, n_estimators=n_estimators, seed=seed, **kw)
     return split_gain_importance(m.model, n_features(df))
@@ -330,6 +346,3 @@ def importance_table(df: DataFrame, values: list[float]) -> DataFrame:
     """Feature index, importance: a table of one row per feature."""
     return df.sparkSession.createDataFrame([(i, float(v)) for i, v in enumerate(values)],
                                            "feature int, importance double")
-
-
-_ = (hash_normal,)

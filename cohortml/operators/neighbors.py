@@ -47,6 +47,15 @@ def choose_pivots(ref: DataFrame, key: str, vec: str, n_pivots: int | None = Non
     return np.array([r[0] for r in rows], dtype=float)
 
 
+def _pivot_distances(x: np.ndarray, pivots: np.ndarray, values: int = 1 << 22) -> np.ndarray:
+    """Rows x pivots Euclidean distances, row portions at a time: rows x pivots x dimensions never
+    exist at once beyond about ``values`` numbers. Differences, not dot products: the bounds that
+    are built on these must not lose digits."""
+    step = max(1, values // max(1, pivots.size))
+    return np.concatenate([np.sqrt(((x[i:i + step, None, :] - pivots[None, :, :]) ** 2).sum(-1))
+                           for i in range(0, len(x), step)]) if len(x) else np.zeros((0, len(pivots)))
+
+
 def _assign_cells(ref: DataFrame, vec: str, pivots_b) -> DataFrame:
     """Nearest pivot (cell) and the distance to it, per reference row."""
     out_schema = Tp.StructType(ref.schema.fields + [Tp.StructField("cell", Tp.IntegerType()),
@@ -56,7 +65,7 @@ def _assign_cells(ref: DataFrame, vec: str, pivots_b) -> DataFrame:
         piv = pivots_b.value
         for pdf in batches:
             x = np.array(pdf[vec].tolist(), dtype=float).reshape(len(pdf), -1)
-            d = np.sqrt(((x[:, None, :] - piv[None, :, :]) ** 2).sum(-1)) if len(pdf) else np.zeros((0, len(piv)))
+            d = _pivot_distances(x, piv) if len(pdf) else np.zeros((0, len(piv)))
             cell = d.argmin(axis=1) if len(pdf) else np.zeros(0, dtype=int)
             pdf = pdf.copy()
             pdf["cell"] = cell.astype("int32")
@@ -72,12 +81,12 @@ def _candidate_cells(query: DataFrame, vec: str, pivots_b, radii_b, k_bound: int
     def fn(batches):
         piv = pivots_b.value
         radius = radii_b.value
-        dpp = np.sqrt(((piv[:, None, :] - piv[None, :, :]) ** 2).sum(-1))
+        dpp = _pivot_distances(piv, piv)
         for pdf in batches:
             if not len(pdf):
                 continue
             x = np.array(pdf[vec].tolist(), dtype=float).reshape(len(pdf), -1)
-            dq = np.sqrt(((x[:, None, :] - piv[None, :, :]) ** 2).sum(-1))
+            dq = _pivot_distances(x, piv)
             own = dq.argmin(axis=1)
             if k_bound <= dq.shape[1]:
                 rq = np.partition(dq, k_bound - 1, axis=1)[:, k_bound - 1]
@@ -196,7 +205,7 @@ def _counts(df: DataFrame, label: str):
     if len(c) < 2:
         raise ValueError("resampling needs at least two classes")
     minority = min(c, key=lambda v: (c[v], v))
-    majority = max(c, key=lambda v: (c[v], -v if isinstance(v, (int, float)) else 0))
+    majority = max(c, key=lambda v: (c[v], v))  # another class than the minority, equal sizes too
     return c, minority, majority
 
 
@@ -212,8 +221,9 @@ def _synthesize(base: DataFrame, pool: DataFrame, n_new: int, k: int, key: str,
     nb = base.count()
     if n_new <= 0 or nb == 0:
         return base.sparkSession.createDataFrame([], f"{key} long, replica int, {label} int, {vec} array<double>")
+    if pool.count() <= int(k):
+        raise ValueError(f"SMOTE with k={k} needs more than {k} minority rows")
     nn = knn_join(base, pool, k, key, vec, exclude_self=True, ref_cols=[F.col(vec).alias("_nx")])
-    kk = F.least(F.lit(int(k)), F.lit(int(k)))
     pos = row_numbers(base.select(key, vec).withColumn("_h", hash_int(seed, key)), [], ["_h", key], "_pos")
     # synthetic sample s belongs to base position (s mod n_b) + 1 as replica s div n_b: the
     # samples are generated in parallel by a range, and a base row with many replicas is a
@@ -222,7 +232,7 @@ def _synthesize(base: DataFrame, pool: DataFrame, n_new: int, k: int, key: str,
         ((F.col("id") % F.lit(int(nb))) + F.lit(1)).alias("_pos"),
         (F.col("id") / F.lit(int(nb))).cast("int").alias("replica"))
     reps = synth.join(pos.select(key, vec, "_pos"), "_pos", "inner").drop("_pos")
-    reps = reps.withColumn("nn_rank", (F.pmod(hash_int(seed, key, "replica"), kk) + F.lit(1)).cast("int"))
+    reps = reps.withColumn("nn_rank", (F.pmod(hash_int(seed, key, "replica"), F.lit(int(k))) + F.lit(1)).cast("int"))
     j = reps.join(nn.select(key, "nn_rank", "_nx"), [key, "nn_rank"], "inner")
     u = hash_uniform(f"{seed}:gap", key, "replica")
     new = F.zip_with(F.col(vec), F.col("_nx"), lambda a, b: a + u * (b - a))
@@ -297,22 +307,27 @@ def rs_smotetomek(df: DataFrame, key="row_id", vec="x", label="label", k: int =
 
 
 def rs_centroids(df: DataFrame, key="row_id", vec="x", label="label", seed=42) -> DataFrame:
-    """Replace the majority rows by k-means centroids, k = minority size (Spark ML KMeans)."""
+    """Replace the rows of every class but the smallest by k-means centroids, k = its size.
+
+    A class that is as small as the smallest keeps its rows (each would be its own centroid). The
+    centroids are the means of the assigned rows, computed as an aggregate.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    c, mino, majo = _counts(df, label)
-    maj = df.where(F.col(label) != F.lit(mino)).select(array_to_vector(vec).alias("features"))
-    km = KMeans(k=int(c[mino]), seed=seed, featuresCol="features", maxIter=50).fit(maj)
-    used = km.transform(maj).select(F.col("prediction").cast("int").alias("cid")).distinct()
-    # the fitted model holds its centres; read them back as a DataFrame of (cid, vector)
-    cs = (km.transform(maj).select(F.col("prediction").cast("int").alias("cid")).distinct()
-          .join(used, "cid", "left_semi"))
-    centers = df.sparkSession.createDataFrame(
-        [(i, [float(v) for v in cc]) for i, cc in enumerate(km.clusterCenters())], f"cid int, {vec} array<double>")
-    cs = centers.join(cs, "cid", "left_semi")
-    out_maj = cs.select((-F.col("cid") - F.lit(1)).cast("long").alias(key), F.lit(majo).cast("int").alias(label), vec)
-    _ = vector_to_array
-    return df.where(F.col(label) == F.lit(mino)).select(key, F.col(label).cast("int"), vec).unionByName(out_maj)
+    from pyspark.ml.stat import Summarizer
+    df = df.checkpoint(eager=True)  # multi-pass: read the input once
+    c, mino, _ = _counts(df, label)
+    small = [v for v in c if c[v] == c[mino]]
+    out = df.where(F.col(label).isin(small)).select(key, F.col(label).cast("int"), vec)
+    first = 0
+    for v in sorted(x for x in c if x not in small):
+        rows = df.where(F.col(label) == F.lit(v)).select(array_to_vector(vec).alias("features"))
+        assigned = KMeans(k=int(c[mino]), seed=seed, featuresCol="features", maxIter=50).fit(rows).transform(rows)
+        means = assigned.groupBy("prediction").agg(Summarizer.mean(F.col("features")).alias("m"))
+        out = out.unionByName(means.select((-F.col("prediction") - F.lit(1 + first)).cast("long").alias(key),
+                                           F.lit(v).cast("int").alias(label), vector_to_array("m").alias(vec)))
+        first += int(c[mino])
+    return out
 
 
 # ------------------------------------------------------------ kNN classifier

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cohortml.functions import safe_corr
 
-from cohortml.functions.ordered import mid_ranks, running_totals
+from cohortml.functions.ordered import mid_ranks, row_numbers, running_totals
 from cohortml.functions.special import digamma_int, pvalue_chi2, pvalue_f, pvalue_r
 
 _LABEL = "label"
@@ -164,9 +164,12 @@ def score_f_classif(df: DataFrame, keys=("feature",), value="value", label=_LABE
 
 def score_chi2(df: DataFrame, keys=("feature",), value="value", label=_LABEL,
                with_pvalue: bool = True) -> DataFrame:
-    """Sum of (O - E)^2 / E over classes with O = class sum of x, E = class share x total."""
+    """Sum of (O - E)^2 / E over classes with O = class sum of x, E = class share x total.
+    Values are counts: a negative one is an error."""
     k = _keys(keys)
-    g = df.groupBy(*k, label).agg(F.sum(value).alias("o"), F.count(F.lit(1)).alias("n_c"))
+    checked = F.when(F.col(value) < 0, F.raise_error(F.lit("chi-square scores need non-negative values"))
+                     .cast("double")).otherwise(F.col(value))
+    g = df.groupBy(*k, label).agg(F.sum(checked).alias("o"), F.count(F.lit(1)).alias("n_c"))
     tot = g.groupBy(*k).agg(F.sum("o").alias("t"), F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("K"))
     j = g.join(tot, k, "inner").withColumn("e", F.col("n_c") / F.col("n") * F.col("t"))
     a = j.groupBy(*k).agg(F.sum(F.try_divide(F.pow(F.col("o") - F.col("e"), 2), F.col("e"))).alias("score"),
@@ -179,7 +182,10 @@ def score_chi2(df: DataFrame, keys=("feature",), value="value", label=_LABEL,
 # ------------------------------------------------------------ distance correlation
 def score_distancecorr(df: DataFrame, keys=("feature",), value="value", label=_LABEL,
                        classes: Sequence[int] | None = None) -> DataFrame:
-    """Distance correlation of x with an integer label, in O(n log n).
+    """Distance correlation of x with the label, in O(n log n).
+
+    A label of at most 64 integer classes takes the class form below; any other numeric label, and
+    any number of classes, takes :func:`_distancecorr_any`, which gives the same values.
 
     With a_i = mean_j |x_i - x_j| (from prefix counts and sums at x_i), and the
     class-pair sums D_kl = sum_{i in k, j in l} |x_i - x_j| (from per-class
@@ -189,8 +195,8 @@ def score_distancecorr(df: DataFrame, keys=("feature",), value="value", label=_L
     k = _keys(keys)
     if classes is None:
         classes = [r[0] for r in df.select(label).distinct().limit(65).collect()]
-        if len(classes) > 64:
-            raise ValueError("distance correlation here expects an integer class label (<= 64 classes)")
+        if len(classes) > 64 or any(c is None or float(c) != int(c) for c in classes):
+            return _distancecorr_any(df, k, value, label)
     classes = sorted(int(c) for c in classes)
     d3 = (df.groupBy(*k, value, label)
           .agg(F.count(F.lit(1)).cast("double").alias("cnt"), F.sum(value).alias("sv")))
@@ -238,6 +244,11 @@ def score_distancecorr(df: DataFrame, keys=("feature",), value="value", label=_L
         (F.sum(F.col("cnt") * F.col("x") * F.col("x")) / F.first("n")).alias("mxx"),
         (F.sum(F.col("cnt") * F.col("y")) / F.first("n")).alias("my"),
         (F.sum(F.col("cnt") * F.col("y") * F.col("y")) / F.first("n")).alias("myy"))
+    return _dcor(agg, k)
+
+
+def _dcor(agg: DataFrame, k) -> DataFrame:
+    """The correlation from the moments of the two distance matrices."""
     var_x = F.col("mxx") - F.col("mx") * F.col("mx")
     var_y = F.col("myy") - F.col("my") * F.col("my")
     dcov = F.col("m_ab") - F.lit(2.0) * F.col("m_a_b") + F.col("ma") * F.col("mb")
@@ -248,6 +259,61 @@ def score_distancecorr(df: DataFrame, keys=("feature",), value="value", label=_L
     return agg.select(*k, "n", dcor.alias("score"), F.lit(None).cast("double").alias("pvalue"))
 
 
+def _distancecorr_any(df: DataFrame, k, value: str, label: str) -> DataFrame:
+    """Distance correlation with any numeric label, without pairs of rows.
+
+    Distinct points (value, label) with their counts are ranked by value. Two ranks first differ in
+    one binary digit; at that level they lie in the left and the right half of one node. So the sum
+    of |x_i - x_j| |y_i - y_j| over pairs is a sum over levels and nodes, and inside a node, along
+    y, the right half enters by running counts and sums alone: n log n rows, one running total.
+    """
+    pts = (df.groupBy(*k, F.col(value).cast("double").alias("v"), F.col(label).cast("double").alias("y"))
+           .agg(F.count(F.lit(1)).cast("double").alias("w")))
+    pts = row_numbers(pts, k, ["v", "y"], "r")
+    wv, wy = F.col("w") * F.col("v"), F.col("w") * F.col("y")
+    tot = pts.groupBy(*k).agg(F.sum("w").alias("n"), F.sum(wv).alias("T"), F.sum(wy).alias("U"), F.max("r").alias("last"))
+    top = tot.agg(F.max("last")).first()[0] or 1
+    means = running_totals(pts, k, ["v"], {"Cx": F.col("w"), "Sx": wv}, peers=True)
+    means = running_totals(means, k, ["y"], {"Cy": F.col("w"), "Sy": wy}, peers=True).join(tot, k, "inner")
+
+    def mean_distance(x, count, total, whole):
+        # counts and sums up to and including x; equal values add nothing
+        return (x * (F.lit(2.0) * F.col(count) - F.col("n")) - F.lit(2.0) * F.col(total) + F.col(whole)) / F.col("n")
+
+    a, b = mean_distance(F.col("v"), "Cx", "Sx", "T"), mean_distance(F.col("y"), "Cy", "Sy", "U")
+    per = means.select(*k, "n", "w", "v", "y", a.alias("a"), b.alias("b"))
+
+    levels = pts.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(max(int(top - 1).bit_length() - 1, 0)))))
+    levels = levels.withColumn("node", F.expr("shiftright(r - 1, level + 1)"))
+    levels = levels.withColumn("right", F.expr("shiftright(r - 1, level) & 1").cast("double"))
+    right = F.col("w") * F.col("right")
+    sums = {"c0": right, "cx": right * F.col("v"), "cy": right * F.col("y"), "cxy": right * F.col("v") * F.col("y")}
+    node = [*k, "level", "node"]
+    whole = levels.groupBy(*node).agg(*[F.sum(e).alias(f"N{n}") for n, e in sums.items()])
+    run = running_totals(levels, node, ["y"], sums, peers=True).where("right = 0").join(whole, node, "inner")
+    x, y = F.col("v"), F.col("y")
+
+    def part(c0, cx, cy, cxy):
+        """Sum over right points of (x_j - x_i)(y_i - y_j)."""
+        return cx * y - cxy - x * y * c0 + x * cy
+
+    below = part(*[F.col(n) for n in sums])
+    above = part(*[F.col(f"N{n}") - F.col(n) for n in sums])
+    pairs = run.groupBy(*k).agg(F.sum(F.col("w") * (below - above)).alias("pairs"))
+
+    def mean(e):
+        return F.sum(F.col("w") * e) / F.first("n")
+
+    agg = per.groupBy(*k).agg(
+        F.first("n").alias("n"), mean(F.col("a") * F.col("b")).alias("m_a_b"), mean(F.col("a")).alias("ma"),
+        mean(F.col("b")).alias("mb"), mean(F.col("a") * F.col("a")).alias("maa"), mean(F.col("b") * F.col("b")).alias("mbb"),
+        mean(F.col("v")).alias("mx"), mean(F.col("v") * F.col("v")).alias("mxx"),
+        mean(F.col("y")).alias("my"), mean(F.col("y") * F.col("y")).alias("myy"))
+    agg = agg.join(pairs, k, "left").withColumn(
+        "m_ab", F.lit(2.0) * F.coalesce("pairs", F.lit(0.0)) / F.pow("n", F.lit(2.0))).drop("pairs")
+    return _dcor(agg, k)
+
+
 # ------------------------------------------------------------ mutual information (discrete y)
 MI_NEIGHBORS = 3
 

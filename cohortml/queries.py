@@ -54,11 +54,6 @@ def register(name: str, sql: str | None = None, rounded: tuple[str, ...] = ()):
 
 def load_all() -> dict[str, Query]:
     # importing the modules registers their queries
-    from cohortml.plans import q_prep, q_univariate  # noqa: F401
-    for mod in ("q_evaluate", "q_neighbors", "q_explain", "q_models", "q_io", "q_extra"):
-        try:
-            __import__(f"cohortml.plans.{mod}")
-        except ModuleNotFoundError as e:  # a module not written yet
-            if f"cohortml.plans.{mod}" not in str(e):
-                raise
+    from cohortml.plans import (q_evaluate, q_explain, q_extra, q_io, q_models, q_neighbors,  # noqa: F401
+                                q_prep, q_univariate)
     return REGISTRY
