@@ -3,8 +3,8 @@
 The p-value functions run as Arrow-batched pandas UDFs over score tables,
 which have one row per (fold, feature): small, and never the sample rows.
 The numerics are the regularized incomplete beta and gamma functions,
-evaluated by continued fractions (modified Lentz) and series, vectorised
-with NumPy.
+evaluated by their continued fractions, from the far end inwards, and series,
+vectorised with NumPy.
 """
 
 from __future__ import annotations
@@ -17,41 +17,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPS = 1e-16
-_TINY = 1e-300
 _MAX_IT = 400
 def lgamma(x) -> np.ndarray:
     x = np.asarray(x, dtype=float)
     return np.array([math.lgamma(v) for v in x.ravel()], dtype=float).reshape(x.shape)
 
 
-def _betacf(a, b, x):
-    """Continued fraction of the incomplete beta function (arrays)."""
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < _TINY, _TINY, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, _MAX_IT + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        h = h * d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < _TINY, _TINY, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        d = 1.0 / d
-        delta = d * c
-        h = h * delta
-        if np.all(np.abs(delta - 1.0) < _EPS):
-            break
-    return h
+def _terms(*sizes) -> int:
+    """Terms after which the fractions below have converged: they need some multiple of the root."""
+    return 200 + int(12.0 * math.sqrt(max(float(np.max(v)) for v in sizes)))
+
+
+def _beta_fraction(a, b, x):
+    """1 / (1 + d1 / (1 + d2 / (1 + ...))) of the incomplete beta function, from the far end inwards.
+
+    d(2m) = m (b - m) x / ((a + 2m - 1)(a + 2m)), d(2m+1) = -(a + m)(a + b + m) x / ((a + 2m)(a + 2m + 1)).
+    """
+    f = np.ones_like(x)
+    for k in range(2 * _terms(a, b), 0, -1):
+        m = k // 2
+        if k % 2:
+            d = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1.0))
+        else:
+            d = m * (b - m) * x / ((a + 2 * m - 1.0) * (a + 2 * m))
+        f = 1.0 + d / f
+    return 1.0 / f
 
 
 def betainc(a, b, x) -> np.ndarray:
@@ -70,10 +60,10 @@ def betainc(a, b, x) -> np.ndarray:
     direct = x < (a + 1.0) / (a + b + 2.0)
     res = np.empty_like(x)
     if direct.any():
-        res[direct] = front[direct] * _betacf(a[direct], b[direct], x[direct]) / a[direct]
+        res[direct] = front[direct] * _beta_fraction(a[direct], b[direct], x[direct]) / a[direct]
     if (~direct).any():
         i = ~direct
-        res[i] = 1.0 - front[i] * _betacf(b[i], a[i], 1.0 - x[i]) / b[i]
+        res[i] = 1.0 - front[i] * _beta_fraction(b[i], a[i], 1.0 - x[i]) / b[i]
     out[mid] = np.clip(res, 0.0, 1.0)
     return out
 
@@ -108,23 +98,11 @@ def gammaincc(a, x) -> np.ndarray:
     if (~series).any():
         i = ~series
         aa, xx = a[i], x[i]
-        b = xx + 1.0 - aa
-        c = np.full_like(xx, 1.0 / _TINY)
-        d = 1.0 / b
-        h = d.copy()
-        for n in range(1, _MAX_IT + 1):
-            an = -n * (n - aa)
-            b = b + 2.0
-            d = an * d + b
-            d = np.where(np.abs(d) < _TINY, _TINY, d)
-            c = b + an / c
-            c = np.where(np.abs(c) < _TINY, _TINY, c)
-            d = 1.0 / d
-            delta = d * c
-            h = h * delta
-            if np.all(np.abs(delta - 1.0) < _EPS):
-                break
-        res[i] = np.exp(-xx + aa * np.log(xx) - lg[i]) * h
+        last = _terms(aa, xx)
+        f = xx + 2.0 * last + 1.0 - aa
+        for n in range(last, 0, -1):  # x + 2n - 1 - a - n (n - a) / (x + 2n + 1 - a - ...)
+            f = xx + 2.0 * n - 1.0 - aa - n * (n - aa) / f
+        res[i] = np.exp(-xx + aa * np.log(xx) - lg[i]) / f
     out[mid] = np.clip(res, 0.0, 1.0)
     return out
 

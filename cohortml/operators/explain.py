@@ -210,9 +210,12 @@ def permutation_attributions(predict, rows: DataFrame, background: DataFrame, n_
     pos = F.element_at(inv, F.col("_p") + 1)
     mixed = F.transform(F.col(vec), lambda v, j: F.when(F.element_at(pos, j + 1) < F.col("_t"), v)
                         .otherwise(F.element_at(F.col("_bx"), j + 1)))
-    batch = e.select(key, "_b", "_p", "_t", F.xxhash64(key, "_b", "_p", "_t").alias("_pid"), mixed.alias("_mx"))
-    scored = predict(batch.select(F.col("_pid").alias("row_id"), F.col("_mx").alias("x"), F.lit(0).alias("label")))
-    f = batch.join(scored.select(F.col("row_id").alias("_pid"), "prob"), "_pid", "inner")
+    # the place of a row travels through predict as its key, the row's own key last
+    place = F.concat_ws(":", "_b", "_p", "_t", F.col(key).cast("string"))
+    scored = predict(e.select(place.alias("row_id"), mixed.alias("x"), F.lit(0).alias("label")))
+    part = F.split("row_id", ":", 4)
+    f = scored.select(*[part[i].cast("int").alias(n) for i, n in enumerate(("_b", "_p", "_t"))],
+                      part[3].cast(rows.schema[key].dataType).alias(key), "prob")
     w = Window.partitionBy(key, "_b", "_p").orderBy("_t")  # d + 1 rows per (row, background, order)
     steps = f.select(key, "_b", "_p", "_t", (F.col("prob") - F.lag("prob").over(w)).alias("_diff"))
     steps = steps.where(F.col("_t") > 0).withColumn(

@@ -14,6 +14,7 @@ import math
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,12 +189,12 @@ def fit_ada(df: DataFrame, n_estimators: int = 50, learning_rate: float = 0.1, *
         d2 = stump.transform(d).select(*columns, (F.col("prediction") != F.col("label")).cast("double").alias("wrong"))
         err = float(d2.agg(F.sum(F.col("weight") * F.col("wrong")) / F.sum("weight")).first()[0])
         if err <= 0:
-            stumps.append((stump, 1.0))
+            stumps.append((*_stump(stump), 1.0))
             break
         if err >= 0.5:
             break
         alpha = float(learning_rate) * math.log((1.0 - err) / err)
-        stumps.append((stump, alpha))
+        stumps.append((*_stump(stump), alpha))
         # divided by the new mean, so that the weights keep their sum
         up = math.exp(alpha)
         d = d2.withColumn("weight", F.col("weight") * F.when(F.col("wrong") > 0, F.lit(up)).otherwise(F.lit(1.0))
@@ -202,16 +203,24 @@ def fit_ada(df: DataFrame, n_estimators: int = 50, learning_rate: float = 0.1, *
     return FittedModel("ada", None, {"n_estimators": n_estimators}, {"stumps": stumps})
 
 
+def _stump(model) -> tuple:
+    """``(feature, threshold, class at most, class above)`` of a fitted stump; a leaf has feature -1."""
+    root = model._java_obj.rootNode()
+    if model.depth == 0:
+        return -1, 0.0, float(root.prediction()), float(root.prediction())
+    split = root.split()
+    return (int(split.featureIndex()), float(split.threshold()), float(root.leftChild().prediction()),
+            float(root.rightChild().prediction()))
+
+
 def _ada_predict(m: FittedModel, df: DataFrame, vec, key, label) -> DataFrame:
-    d = to_ml(df.select(key, vec, label))
     score = F.lit(0.0)
-    total = sum(a for _, a in m.extra["stumps"]) or 1.0
-    out = d
-    for i, (stump, a) in enumerate(m.extra["stumps"]):
-        out = stump.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}").transform(out)
-        score = score + F.lit(a) * (F.lit(2.0) * F.col(f"_p{i}") - F.lit(1.0))
+    total = sum(s[4] for s in m.extra["stumps"]) or 1.0
+    for feature, threshold, low, high, alpha in m.extra["stumps"]:
+        side = F.lit(low) if feature < 0 else F.when(F.element_at(vec, feature + 1) <= threshold, F.lit(low)).otherwise(F.lit(high))
+        score = score + F.lit(alpha) * (F.lit(2.0) * side - F.lit(1.0))
     prob = F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * score / F.lit(total)))
-    return out.select(key, label, prob.alias("prob")).withColumn("pred", (F.col("prob") > 0.5).cast("int"))
+    return df.select(key, label, prob.alias("prob")).withColumn("pred", (F.col("prob") > 0.5).cast("int"))
 
 
 def fit_knn(df: DataFrame, k: int = 5, weights: str = "uniform", **_) -> FittedModel:
@@ -287,37 +296,43 @@ def embed_l1_logistic(df: DataFrame, C: float = 1.0) -> list[float]:
     return [float(v) for v in lr.fit(to_ml(d)).coefficients.toArray()]
 
 
-def embed_l1_svc(df: DataFrame, C: float = 1.0, steps: int = 30, lr: float = 0.5) -> list[float]:
+def embed_l1_svc(df: DataFrame, C: float = 1.0, steps: int = 500, tol: float = 1e-4) -> list[float]:
     """L1-penalised squared-hinge linear SVC with balanced weights, by proximal gradient.
 
     Each step is one distributed pass: the gradient of the weighted mean
     squared hinge loss is an aggregate over rows; the L1 proximal step
-    (soft threshold) is applied to the small coefficient vector on the driver.
+    (soft threshold) is applied to the small coefficient vector on the driver. The step is the
+    inverse of a bound of the loss's curvature; it ends when no coefficient moves by more than
+    ``tol``, and fails if that does not happen within ``steps`` passes.
     """
     import numpy as np
-    d = with_weights(df).select("x", (F.col("label") * 2 - 1).cast("double").alias("y"), "weight")
+    d = with_weights(df).select("x", (F.col("label") * 2 - 1).cast("double").alias("y"), "weight").checkpoint(eager=True)
     nf = n_features(df)
-    sw = _sum_w(with_weights(df))
+    sw = _sum_w(d)
     lam = 1.0 / (C * sw)
-    w = np.zeros(nf)
-    b = 0.0
+    # the mean squared hinge loss curves by at most 2 mean |(x, 1)|^2; momentum restarts when it overshoots
+    norm = F.aggregate("x", F.lit(1.0), lambda acc, v: acc + v * v)
+    curve = 2.0 * float(d.agg(F.sum(F.col("weight") * norm)).first()[0]) / sw
+    at = now = np.zeros(nf + 1)
+    t = 1.0
     for _ in range(int(steps)):
-        wl = F.array(*[F.lit(float(v)) for v in w])
-        margin = F.aggregate(F.zip_with("x", wl, lambda a, c: a * c), F.lit(b), lambda acc, v: acc + v)
+        wl = F.array(*[F.lit(float(v)) for v in at[:nf]])
+        margin = F.aggregate(F.zip_with("x", wl, lambda a, c: a * c), F.lit(float(at[nf])), lambda acc, v: acc + v)
         slack = F.greatest(F.lit(0.0), F.lit(1.0) - F.col("y") * margin)
-        coef = F.lit(-2.0) * F.col("weight") * F.col("y") * slack / F.lit(sw)
-        g = d.select(coef.alias("c"), "x")
-        parts = (g.select(F.posexplode(F.transform("x", lambda v: v * F.col("c"))).alias("i", "g"))
-                 .groupBy("i").agg(F.sum("g").alias("g")).collect())  # one row per feature
-        gx_list = [0.0] * nf
-        for row in parts:
-            gx_list[row["i"]] = row["g"]
-        agg = {"gx": gx_list, "gb": g.agg(F.sum("c")).first()[0] or 0.0}
-        gx = np.array(agg["gx"], dtype=float)
-        w = w - lr * gx
-        w = np.sign(w) * np.maximum(np.abs(w) - lr * lam, 0.0)
-        b = b - lr * float(agg["gb"])
-    return [float(v) for v in w]
+        coef = F.lit(-2.0 / sw) * F.col("weight") * F.col("y") * slack
+        # one aggregate for weights and intercept
+        g = (d.select(array_to_vector(F.concat(F.transform("x", lambda v: v * coef), F.array(coef))).alias("g"))
+             .select(Summarizer.sum(F.col("g"))).first()[0].toArray())
+        new = at - g / curve
+        new[:nf] = np.sign(new[:nf]) * np.maximum(np.abs(new[:nf]) - lam / curve, 0.0)
+        if float((at - new) @ (new - now)) > 0:
+            t = 1.0
+        after = (1.0 + (1.0 + 4.0 * t * t) ** 0.5) / 2.0
+        at = new + (t - 1.0) / after * (new - now)
+        moved, now, t = float(np.max(np.abs(new - now))), new, after
+        if moved < tol:
+            return [float(v) for v in now[:nf]]
+    raise RuntimeError(f"the L1 SVC moved by {moved:.2g} still after {steps} passes")
 
 
 def embed_rf(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, seed: int = 42) -> list[float]:
@@ -336,8 +351,9 @@ def embed_ada(df: DataFrame, n_estimators: int = 20) -> list[float]:
     m = fit_ada(df, n_estimators=n_estimators)
     nf = n_features(df)
     tot = np.zeros(nf)
-    for stump, a in m.extra["stumps"]:
-        tot += a * stump.featureImportances.toArray()
+    for feature, _, _, _, a in m.extra["stumps"]:
+        if feature >= 0:
+            tot[feature] += a
     s = tot.sum()
     return [float(v) for v in (tot / s if s > 0 else tot)]
 

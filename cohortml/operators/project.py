@@ -1,4 +1,4 @@
-"""Projections: PCA of centred data, rbf kernel PCA by random Fourier features, loadings."""
+"""Projections: PCA of centred data, kernel PCA (linear, or rbf by random Fourier features), loadings."""
 
 from __future__ import annotations
 
@@ -17,8 +17,11 @@ class PCAProjection:
     positive (NumPy-style SVD signs are arbitrary).
     """
 
-    def __init__(self, mean, model, signs, rff=None):
-        self.mean, self.model, self.signs, self.rff = mean, model, signs, rff
+    def __init__(self, mean, model, signs, rff=None, rff_args=None):
+        self.mean, self.model, self.signs, self.rff, self.rff_args = mean, model, signs, rff, rff_args
+
+    def names(self) -> list[str]:
+        return [f"PC{j + 1}" for j in range(len(self.signs))]
 
     def _centre(self, d: DataFrame, vec: str = "x") -> DataFrame:
         if self.rff is not None:
@@ -35,20 +38,24 @@ class PCAProjection:
 
     def loadings(self, spark, names=None) -> DataFrame:
         pc = self.model.pc.toArray() * np.array(self.signs)[None, :]
-        rows = [(f"PC{j + 1}", (names[i] if names else i).__str__(), float(pc[i, j]))
+        rows = [(f"PC{j + 1}", str(names[i] if names and self.rff is None else i), float(pc[i, j]))
                 for j in range(pc.shape[1]) for i in range(pc.shape[0])]
         return spark.createDataFrame(rows, "component string, feature string, loading double")
 
 
-def fit_pca(d: DataFrame, k: int, kernel: str = "pca", vec: str = "x", n_random: int = 64, seed: int = 42):
-    rff = None
-    if kernel == "kpca":
+def fit_pca(d: DataFrame, k: int, kernel: str = "pca", vec: str = "x", n_random: int | None = None, seed: int = 42,
+            kpca_kernel: str = "linear"):
+    """``kernel``: ``pca``, or ``kpca`` with ``kpca_kernel`` ``linear`` (whose coordinates are those
+    of PCA) or ``rbf`` (``n_random`` random Fourier features, at least 64 and four per component)."""
+    rff = rff_args = None
+    if kernel == "kpca" and kpca_kernel == "rbf":
         from cohortml.operators.models import n_features, random_fourier
         nf = n_features(d, vec)
-        rff = random_fourier(nf, int(n_random), 1.0 / nf, seed)
+        rff_args = [nf, int(n_random or max(64, 4 * int(k))), 1.0 / nf, seed]
+        rff = random_fourier(*rff_args)
         d = rff(d, vec)
-    elif kernel != "pca":
-        raise ValueError(f"unknown learner {kernel!r}")
+    elif kernel not in ("pca", "kpca") or kpca_kernel not in ("linear", "rbf"):
+        raise ValueError(f"unknown learner {kernel!r} with kernel {kpca_kernel!r}")
     stats = (d.select(F.posexplode(vec).alias("i", "v")).groupBy("i").agg(F.avg("v").alias("m"))
              .collect())  # one row per feature
     mean = np.zeros(len(stats))
@@ -60,4 +67,4 @@ def fit_pca(d: DataFrame, k: int, kernel: str = "pca", vec: str = "x", n_random:
     model = PCA(k=k, inputCol="_f", outputCol="_p").fit(c)
     pc = model.pc.toArray()
     signs = [1.0 if pc[np.argmax(np.abs(pc[:, j])), j] >= 0 else -1.0 for j in range(k)]
-    return PCAProjection(mean, model, signs, rff)
+    return PCAProjection(mean, model, signs, rff, rff_args)

@@ -74,6 +74,9 @@ class SymbolicFeatures:
     def __init__(self, programs, fitness):
         self.programs, self.fitness = programs, fitness
 
+    def names(self) -> list[str]:
+        return [to_text(p) for p in self.programs]
+
     def transform(self, df: DataFrame, vec: str = "x") -> DataFrame:
         return df.withColumn(vec, F.array(*[to_column(p, vec) for p in self.programs]))
 

@@ -47,7 +47,7 @@ class PipelineConfig:
     first_filter: dict | None = None      # {"function", "mode", "param"}
     second_filter: dict | None = None     # {"method", "threshold", ...}
     learner: dict | None = None           # {"type": "pca"|"kpca", "n_components": k}
-    resampler: str | None = None          # smote | borderline | tomek | smotetomek | centroids
+    resampler: str | dict | None = None   # smote | borderline | tomek | smotetomek | centroids, or {"type", options}
 
 
 RESAMPLERS = ("smote", "borderline", "tomek", "smotetomek", "centroids")
@@ -58,8 +58,9 @@ SECOND = ("l1_logistic", "l1_svc", "rf", "ada", "xgb", "hsic")
 def build_pipeline(**kw) -> PipelineConfig:
     """Validate and assemble a pipeline description (stages in fixed order)."""
     cfg = PipelineConfig(**kw)
-    if cfg.resampler is not None and cfg.resampler not in RESAMPLERS:
-        raise ValueError(f"unknown resampler {cfg.resampler!r}")
+    name = cfg.resampler.get("type") if isinstance(cfg.resampler, dict) else cfg.resampler
+    if name is not None and name not in RESAMPLERS:
+        raise ValueError(f"unknown resampler {name!r}")
     if cfg.learner is not None and cfg.learner.get("type") not in LEARNERS:
         raise ValueError(f"unknown learner {cfg.learner.get('type')!r}")
     if cfg.second_filter is not None and cfg.second_filter.get("method") not in SECOND:
@@ -123,14 +124,18 @@ class FittedPipeline:
         if self.cfg.learner:
             from cohortml.operators.project import fit_pca
             lt = self.cfg.learner
+            options = {k: v for k, v in lt.items() if k not in ("type", "n_components", "kernel")}
             if lt.get("type") == "symbolic":
                 from cohortml.operators.symbolic import learn_symbolic
-                self.pca = learn_symbolic(d, int(lt.get("n_components", 2)))
+                self.pca = learn_symbolic(d, int(lt.get("n_components", 2)), **options)
             else:
-                self.pca = fit_pca(d, int(lt.get("n_components", 2)), kernel=lt.get("type", "pca"))
+                self.pca = fit_pca(d, int(lt.get("n_components", 2)), kernel=lt.get("type", "pca"),
+                                   kpca_kernel=lt.get("kernel", "linear"), **options)
             d = self.pca.transform(d)
         if self.cfg.resampler:
-            d = resample(d, self.cfg.resampler)
+            rs = self.cfg.resampler
+            options = {k: v for k, v in rs.items() if k != "type"} if isinstance(rs, dict) else {}
+            d = resample(d, rs["type"] if isinstance(rs, dict) else rs, **options)
         self.model = MD.fit_family(self.cfg.family, d, **self.cfg.params)
         return self
 
@@ -154,6 +159,17 @@ class FittedPipeline:
     def predict(self, df: DataFrame) -> DataFrame:
         return self.model.predict(self.transform(df))
 
+    def selected(self, n: int) -> list[int]:
+        """Original positions of the ``n`` or fewer features that pass both filters."""
+        kept = list(self.keep1) if self.keep1 is not None else list(range(n))
+        return [kept[i] for i in self.keep2] if self.keep2 is not None else kept
+
+    def input_names(self, names: list[str]) -> list[str]:
+        """Names of the classifier's inputs: the selected features, or the learner's components."""
+        if self.pca is not None:
+            return self.pca.names()
+        return [names[i] for i in self.selected(len(names))]
+
 
 def embedded_importances(d: DataFrame, method: str, **kw) -> list[float]:
     if method == "l1_logistic":
@@ -172,24 +188,19 @@ def embedded_importances(d: DataFrame, method: str, **kw) -> list[float]:
     raise ValueError(f"unknown selection method {method!r}")
 
 
-def resample(d: DataFrame, name: str) -> DataFrame:
+def resample(d: DataFrame, name: str, **options) -> DataFrame:
+    """Resampled ``(row_id, x, label)``; ``options`` go to the resampler (``k``, ``m``, ``seed``, ``remove``)."""
     from cohortml.operators import neighbors as N
-    if name == "smote":
-        out = N.rs_smote(d)
-    elif name == "borderline":
-        out = N.rs_borderline(d)
-    elif name == "tomek":
-        return N.rs_tomek(d)
-    elif name == "smotetomek":
-        out = N.rs_smotetomek(d)
-    elif name == "centroids":
-        return N.rs_centroids(d).select("row_id", "x", "label")
-    else:
+    plain = {"tomek": N.rs_tomek, "centroids": N.rs_centroids}
+    synthetic = {"smote": N.rs_smote, "borderline": N.rs_borderline, "smotetomek": N.rs_smotetomek}
+    if name in plain:
+        return plain[name](d, **options).select("row_id", "x", "label")
+    if name not in synthetic:
         raise ValueError(f"unknown resampler {name!r}")
-    # synthetic rows get fresh negative keys: -(hash of (base key, replica)) - 1
-    key = F.when(F.col("replica") < 0, F.col("row_id")).otherwise(
-        -F.abs(F.xxhash64(F.col("row_id"), F.col("replica"))) - F.lit(1))
-    return out.select(key.alias("row_id"), "x", "label")
+    # written once: synthetic rows get fresh negative keys by their place
+    out = synthetic[name](d, **options).checkpoint(eager=True)
+    key = F.when(F.col("replica") < 0, F.col("row_id")).otherwise(-F.monotonically_increasing_id() - F.lit(1))
+    return out.select(key.alias("row_id"), "x", "label").checkpoint(eager=True)
 
 
 # ------------------------------------------------------------ cross-validation and search

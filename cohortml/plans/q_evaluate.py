@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cohortml.functions.hashing import hash_int, sql_hash_int
 from cohortml.operators import evaluate as E
 from cohortml.queries import register
+from cohortml.sources import files as FS
 from cohortml.sources import tables as T
 
 SC, SM = T.SCORED_SQL, T.SCORED_MODELS_SQL
@@ -291,7 +292,9 @@ MCOLS = ("val_score", "test_acc", "test_f1", "test_mcc", "test_auc")
 
 @register("sink_metrics", rounded=MCOLS, sql=_METRICS + " SELECT * FROM mt")
 def q_metric_table(spark, sf):
-    return E.metric_table(sm(spark, sf))
+    path = FS.scratch_path(spark, "metrics")
+    FS.write_metrics([E.metric_table(sm(spark, sf))], path)
+    return spark.read.parquet(path).drop("family")
 
 
 @register("exclude_mean_rows", rounded=MCOLS,
@@ -384,4 +387,6 @@ def q_concat_columns(spark, sf):
 def q_sink_meta(spark, sf):
     # stacked table with its train/test tag, as written by the stacking step
     meta = E.stack_oof(sm(spark, sf), list(range(T.N_MODELS)))
-    return meta.withColumn("is_test", (F.col("row_id") % 5 == 0).cast("int"))
+    path = FS.scratch_path(spark, "meta")
+    FS.write_table(meta.withColumn("is_test", (F.col("row_id") % 5 == 0).cast("int")), path)
+    return spark.read.parquet(path)

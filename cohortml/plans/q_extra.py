@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortml.operators import models as MD
-from cohortml.operators import select as S
 from cohortml.operators.hsic import hsic_importances
 from cohortml.operators.symbolic import learn_symbolic
 from cohortml.plans import pipeline as P
@@ -64,9 +63,6 @@ def q_visual_report(spark, sf):
     return visual_report(fp, tr, te)["roc"]
 
 
-_ = S
-
-
 @register("shap_permutation")
 def q_shap_permutation(spark, sf):
     from cohortml.operators.explain import permutation_attributions

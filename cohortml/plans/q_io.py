@@ -58,19 +58,37 @@ def q_sink_features(spark, sf):
     return FS.read_csv(spark, path, "feature_name int, score double, pvalue double")
 
 
-def _fitted(spark, sf):
+#: One pipeline per family, and one per learner and kernel.
+SAVED = {
+    "logistic": ("logistic", {"C": 0.5}, None), "svc_rbf": ("svc", {"C": 0.5, "kernel": "rbf"}, None),
+    "rf": ("rf", {"n_estimators": 50}, None), "mlp": ("mlp", {}, None), "xgboost": ("xgboost", {"n_estimators": 3}, None),
+    "et": ("et", {"n_estimators": 50}, None), "ada": ("ada", {"n_estimators": 3}, None),
+    "gdbt": ("gdbt", {"n_estimators": 5}, None), "knn": ("knn", {"k": 5}, None),
+    "pca": ("logistic", {}, {"type": "pca", "n_components": 5}),
+    "kpca_rbf": ("logistic", {}, {"type": "kpca", "kernel": "rbf", "n_components": 3}),
+    "symbolic": ("logistic", {}, {"type": "symbolic", "n_components": 2, "population": 20, "generations": 1}),
+}
+
+
+@register("model_save_load", sql="SELECT * FROM (VALUES " + ", ".join(f"('{n}', TRUE)" for n in sorted(SAVED))
+          + ") t(name, same)")
+def q_model_save_load(spark, sf):
+    """Does every kind of pipeline predict the same before and after, for every test row?"""
     from cohortml.plans import pipeline as P
     from cohortml.plans.q_models import split_vectors
     tr, te = split_vectors(spark, sf)
-    return P.FittedPipeline(P.build_pipeline(family="logistic", params={"C": 0.5})).fit(tr), te
-
-
-@register("model_save_load")
-def q_model_save_load(spark, sf):
-    fp, te = _fitted(spark, sf)
-    path = FS.scratch_path(spark, "model")
-    FS.save_model(fp, path)
-    return FS.load_model(spark, path).predict(te)
+    tr, te = tr.checkpoint(eager=True), te.checkpoint(eager=True)
+    out = None
+    for name, (family, params, learner) in SAVED.items():
+        fp = P.FittedPipeline(P.build_pipeline(family=family, params=params, learner=learner)).fit(tr)
+        path = FS.scratch_path(spark, f"model-{name}")
+        FS.save_model(fp, path)
+        before = fp.predict(te).select("row_id", "prob")
+        after = FS.load_model(spark, path).predict(te).select("row_id", F.col("prob").alias("again"))
+        part = (before.join(after, "row_id", "full").agg(F.bool_and(F.coalesce(
+            F.abs(F.col("prob") - F.col("again")) < 1e-9, F.lit(False))).alias("same")).select(F.lit(name).alias("name"), "same"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("model_manifest")

@@ -39,9 +39,9 @@ FAMILY_PARAMS = {
     "fam_rf": ("rf", {"n_estimators": 50, "max_depth": 4, "min_samples_leaf": 5, "max_samples": 0.8}),
     "fam_mlp": ("mlp", {"hidden": (8,), "learning_rate": 0.03, "batch_size": 32}),
     "fam_et": ("et", {"n_estimators": 50, "max_depth": 4, "min_samples_leaf": 5}),
-    "fam_ada": ("ada", {"n_estimators": 10, "learning_rate": 0.1}),
-    "fam_gdbt": ("gdbt", {"n_estimators": 20, "learning_rate": 0.1, "max_depth": 3}),
-    "fam_xgboost": ("xgboost", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1}),
+    "fam_ada": ("ada", {"n_estimators": 50, "learning_rate": 0.1}),
+    "fam_gdbt": ("gdbt", {"n_estimators": 50, "learning_rate": 0.1, "max_depth": 3}),
+    "fam_xgboost": ("xgboost", {"n_estimators": 50, "max_depth": 3, "learning_rate": 0.1}),
 }
 for _name, (_fam, _params) in FAMILY_PARAMS.items():
     register(_name)(_family_query(_fam, _params))
@@ -56,10 +56,10 @@ def _embed_query(method, **kw):
 
 
 for _name, (_m, _kw) in {"embed_l1_logistic": ("l1_logistic", {"C": 0.5}),
-                          "embed_l1_svc": ("l1_svc", {"C": 0.5, "steps": 10}),
-                          "embed_rf": ("rf", {"n_estimators": 30}),
-                          "embed_ada": ("ada", {"n_estimators": 5}),
-                          "embed_xgb": ("xgb", {"n_estimators": 4, "max_depth": 3})}.items():
+                          "embed_l1_svc": ("l1_svc", {"C": 0.5}),
+                          "embed_rf": ("rf", {"n_estimators": 100}),
+                          "embed_ada": ("ada", {"n_estimators": 50}),
+                          "embed_xgb": ("xgb", {"n_estimators": 50, "max_depth": 3})}.items():
     register(_name)(_embed_query(_m, **_kw))
 
 

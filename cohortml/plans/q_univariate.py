@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from cohortml.functions.special import sql_digamma_int
@@ -28,15 +30,26 @@ TB = f"(SELECT m.row_id, m.feature, m.value, l.label FROM {M} m JOIN {LB} l USIN
 
 
 # ------------------------------------------------------------ scores
-@register("score_pearson", rounded=SCORE_COLS, sql=f"""
+PEARSON_SQL = f"""
 SELECT feature, count(*) AS n,
        CASE WHEN min(value) = max(value) THEN 0.0 ELSE abs(corr(value, CAST(label AS DOUBLE))) END AS score
-  FROM {TB} t GROUP BY feature""")
+  FROM {TB} t GROUP BY feature"""
+
+
+@register("score_pearson", rounded=SCORE_COLS, sql=PEARSON_SQL)
 def q_score_pearson(spark, sf):
     return U.score_pearson(binary(spark, sf), with_pvalue=False).select("feature", "n", "score")
 
 
-@register("pvalue_t", rounded=P_COLS)
+def _t_tail_sql(scores: str) -> str:
+    """Two-sided tail of a correlation over an even number of rows: with an even number of degrees of
+    freedom the t tail is a finite sum in powers of 1 - r * r."""
+    return f"""SELECT feature, n, score, 1 - score * list_sum(list_transform(range(0, (n - 2) // 2),
+       lambda j: exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1.0)) * pow(1 - score * score, j))) AS pvalue
+  FROM ({scores}) _s"""
+
+
+@register("pvalue_t", rounded=P_COLS, sql=_t_tail_sql(PEARSON_SQL))
 def q_pvalue_t(spark, sf):
     return U.score_pearson(binary(spark, sf)).select("feature", "n", "score", "pvalue")
 
@@ -45,16 +58,19 @@ _MID = ("rank() OVER (PARTITION BY feature ORDER BY {c}) "
         "+ (count(*) OVER (PARTITION BY feature, {c}) - 1) / 2.0")
 
 
-@register("score_spearman", rounded=SCORE_COLS, sql=f"""
+SPEARMAN_SQL = f"""
 WITH r AS (SELECT feature, value, {_MID.format(c='value')} AS rx, {_MID.format(c='label')} AS ry FROM {T5} t)
 SELECT feature, count(*) AS n,
        CASE WHEN min(value) = max(value) THEN 0.0 ELSE abs(corr(rx, ry)) END AS score
-  FROM r GROUP BY feature""")
+  FROM r GROUP BY feature"""
+
+
+@register("score_spearman", rounded=SCORE_COLS, sql=SPEARMAN_SQL)
 def q_score_spearman(spark, sf):
     return U.score_spearman(five(spark, sf), with_pvalue=False).select("feature", "n", "score")
 
 
-@register("pvalue_spearman", rounded=P_COLS)
+@register("pvalue_spearman", rounded=P_COLS, sql=_t_tail_sql(SPEARMAN_SQL))
 def q_pvalue_spearman(spark, sf):
     return U.score_spearman(five(spark, sf)).select("feature", "n", "score", "pvalue")
 
@@ -79,10 +95,33 @@ def q_score_kruskal(spark, sf):
     return U.score_kruskal(five(spark, sf)).select("feature", "n", "score", "pvalue")
 
 
-@register("pvalue_chi2", rounded=P_COLS, sql=KRUSKAL_SQL)
+def _by_classes(spark, sf, classes):
+    """LONG rows labelled ``label % classes``."""
+    e = T.read_table(spark, sf, "embeddings")
+    return T.with_label(T.matrix_long(spark, sf), e.select(F.col("vec_id").alias("row_id"),
+                                                          (F.col("label") % classes).cast("int").alias("label")))
+
+
+def _classes_sql(classes):
+    return (f"(SELECT m.*, e.label % {classes} AS label FROM {M} m JOIN embeddings e ON m.row_id = e.vec_id)")
+
+
+def _chi2_tail_sql(classes):
+    # with an even number 2m of degrees of freedom the tail is exp(-H/2) times the first m terms of exp(H/2)
+    m = (classes - 1) // 2
+    terms = " + ".join(f"pow(score / 2, {i}) / {math.factorial(i)}" for i in range(m))
+    return f"""SELECT {classes - 1} AS df, feature, score, exp(-score / 2) * ({terms}) AS pvalue
+  FROM (SELECT feature, score FROM ({KRUSKAL_SQL.replace(T5, _classes_sql(classes))}) q) k"""
+
+
+@register("pvalue_chi2", rounded=("score", "pvalue"), sql=" UNION ALL ".join(_chi2_tail_sql(c) for c in (3, 5, 7)))
 def q_pvalue_chi2(spark, sf):
-    # the chi-square tail with 4 df, as used by Kruskal-Wallis on five classes
-    return U.score_kruskal(five(spark, sf)).select("feature", "n", "score", "pvalue")
+    out = None
+    for classes in (3, 5, 7):
+        part = U.score_kruskal(_by_classes(spark, sf, classes)).select(
+            F.lit(classes - 1).alias("df"), "feature", "score", "pvalue")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("score_distancecorr", rounded=SCORE_COLS, sql=f"""
@@ -103,19 +142,24 @@ def q_score_distancecorr(spark, sf):
     return U.score_distancecorr(five(spark, sf), classes=list(range(5))).select("feature", "n", "score")
 
 
-@register("score_f_classif", rounded=SCORE_COLS, sql=f"""
+F_SQL = f"""
 WITH g AS (SELECT feature, label, count(*) AS ng, avg(value) AS mg, var_pop(value) AS vg FROM {NM} t
             GROUP BY feature, label),
 tt AS (SELECT feature, avg(value) AS m, count(*) AS n FROM {NM} t GROUP BY feature),
 a AS (SELECT g.feature, sum(ng * (mg - m) * (mg - m)) AS ssb, sum(ng * vg) AS ssw,
              any_value(n) AS n, count(*) AS k FROM g JOIN tt USING (feature) GROUP BY g.feature)
 SELECT feature, CAST(n AS BIGINT) AS n,
-       CASE WHEN ssw = 0 THEN 0.0 ELSE (ssb / (k - 1)) / (ssw / (n - k)) END AS score FROM a""")
+       CASE WHEN ssw = 0 THEN 0.0 ELSE (ssb / (k - 1)) / (ssw / (n - k)) END AS score FROM a"""
+
+
+@register("score_f_classif", rounded=SCORE_COLS, sql=F_SQL)
 def q_score_f_classif(spark, sf):
     return U.score_f_classif(T.nonneg_matrix(spark, sf), with_pvalue=False).select("feature", "n", "score")
 
 
-@register("pvalue_f", rounded=P_COLS)
+# three classes: with two numerator degrees of freedom the F tail is a power
+@register("pvalue_f", rounded=P_COLS, sql=f"""
+SELECT feature, n, score, pow((n - 3) / (n - 3 + 2 * score), (n - 3) / 2.0) AS pvalue FROM ({F_SQL}) s""")
 def q_pvalue_f(spark, sf):
     return U.score_f_classif(T.nonneg_matrix(spark, sf)).select("feature", "n", "score", "pvalue")
 

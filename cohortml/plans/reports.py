@@ -10,24 +10,30 @@ from cohortml.operators import explain as X
 from cohortml.plans.pipeline import FittedPipeline
 
 
-def retrieve_features(fp: FittedPipeline, train: DataFrame, test: DataFrame) -> dict:
-    """Univariate report, embedded report, learner loadings, then explanations of train and test.
+def retrieve_features(fp: FittedPipeline, train: DataFrame, test: DataFrame, names: list[str] | None = None,
+                      n_perm: int = 4, n_background: int = 100) -> dict:
+    """Univariate report, embedded report, learner report, then explanations of train and test.
 
-    Explanations are exact for a logistic final model (phi = w (z - mean) in
-    log-odds space on the model's input features)."""
+    ``names``: feature names (by default their positions). Explanations name the selected features,
+    or the components if there is a learner. They are exact for a logistic final model
+    (phi = w (z - mean) in log-odds space); any other model is explained by permutation attributions
+    of its class-1 probability with ``n_perm`` orders and ``n_background`` training rows."""
     spark = train.sparkSession
     out = {}
+    width = int(train.select(F.size("x")).first()[0])
+    names = [str(n) for n in (names or range(width))]
     if fp.scores1 is not None:
         out["first_filter"] = spark.createDataFrame(
-            [(int(r["feature"]), float(r["score"]), r["pvalue"]) for r in fp.scores1 if r["selected"]],
-            "feature_name int, score double, pvalue double")
+            [(names[int(r["feature"])], float(r["score"]), r["pvalue"]) for r in fp.scores1 if r["selected"]],
+            "feature_name string, score double, pvalue double")
     if fp.importances2 is not None:
         base = fp.keep1 if fp.keep1 is not None else list(range(len(fp.importances2)))
         out["second_filter"] = spark.createDataFrame(
-            [(int(base[i]), float(fp.importances2[i])) for i in fp.keep2],
-            "feature_name int, feature_importance double")
+            [(names[int(base[i])], float(fp.importances2[i])) for i in fp.keep2],
+            "feature_name string, feature_importance double")
+    chosen = [names[i] for i in fp.selected(width)]
     if fp.pca is not None:
-        out["learner"] = fp.pca.loadings(spark)
+        out["learner"] = fp.pca.report(spark, chosen) if hasattr(fp.pca, "report") else fp.pca.loadings(spark, chosen)
     both = train.select("row_id", "x", "label").unionByName(test.select("row_id", "x", "label"))
     inp = fp.transform(both)
     if fp.model.family == "logistic":
@@ -35,8 +41,12 @@ def retrieve_features(fp: FittedPipeline, train: DataFrame, test: DataFrame) ->
         long = inp.select("row_id", F.posexplode("x").alias("feature", "value"))
         wl = F.element_at(F.array(*[F.lit(v) for v in w]), F.col("feature") + 1)
         phi = X.linear_attributions(long, wl, float(fp.model.model.intercept))
-        out["shap"] = phi
-        out["shap_mean_abs"] = X.shap_mean_abs(phi)
+    else:
+        phi = X.permutation_attributions(fp.model.predict, inp, fp.transform(train), n_perm, n_background)
+    labels = F.array(*[F.lit(n) for n in fp.input_names(names)])
+    phi = phi.withColumn("feature", F.element_at(labels, F.col("feature") + 1))
+    out["shap"] = phi
+    out["shap_mean_abs"] = X.shap_mean_abs(phi)
     return out
 
 
