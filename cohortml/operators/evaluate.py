@@ -148,11 +148,14 @@ def _desc_cumulative(df, keys, label, prob):
 
 def roc_curve(df: DataFrame, keys=(), label="label", prob="prob") -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, plus the start (inf, 0, 0)."""
-    k = _k(keys)
-    r = _desc_cumulative(df, k, label, prob)
+    return _roc_points(df, _desc_cumulative(df, _k(keys), label, prob), _k(keys))
+
+
+def _roc_points(df: DataFrame, r: DataFrame, k) -> DataFrame:
+    """The curve from the running counts ``r``."""
     pts = r.select(*k, F.col("score").alias("threshold"), _ratio(F.col("fps"), F.col("N")).alias("fpr"),
                    _ratio(F.col("tps"), F.col("P")).alias("tpr"))
-    start_src = df.select(*k).distinct() if k else df.sparkSession.range(1).select()
+    start_src = r.select(*k).distinct() if k else df.sparkSession.range(1).select()
     start = start_src.select(*k, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
                              F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
@@ -271,8 +274,9 @@ def roc_mean_by_family(df: DataFrame, family="model", fold="fold", label="label"
     """
     g = int(grid_points)
     keys = [family, fold]
-    roc = roc_curve(df, keys, label, prob)
-    pts = roc.groupBy(*keys, "fpr").agg(F.min("tpr").alias("lo"), F.max("tpr").alias("hi"))
+    # one ranking of the scores feeds the curve, the grid and the area
+    ranked = _desc_cumulative(df, keys, label, prob)
+    pts = _roc_points(df, ranked, keys).groupBy(*keys, "fpr").agg(F.min("tpr").alias("lo"), F.max("tpr").alias("hi"))
     # cell = smallest grid index i with x_i >= fpr
     c = F.ceil(F.col("fpr") * F.lit(g - 1)).cast("int")
     c = (F.when((c > 0) & (grid_x(c - F.lit(1), g) >= F.col("fpr")), c - F.lit(1))
@@ -281,7 +285,7 @@ def roc_mean_by_family(df: DataFrame, family="model", fold="fold", label="label"
              .groupBy(*keys, "i")
              .agg(F.max(F.struct(F.col("fpr").alias("a"), F.col("hi").alias("y"))).alias("L"),
                   F.min(F.struct(F.col("fpr").alias("b"), F.col("lo").alias("y"))).alias("R")))
-    grid = (df.select(*keys).distinct()
+    grid = (ranked.select(*keys).distinct()
             .select(*keys, F.explode(F.sequence(F.lit(0), F.lit(g - 1))).alias("i")))
     gc = grid.join(cells, keys + ["i"], "left").withColumn("x", grid_x(F.col("i"), g))
     w_up = Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
@@ -294,7 +298,12 @@ def roc_mean_by_family(df: DataFrame, family="model", fold="fold", label="label"
     agg = interp.groupBy(family, "i").agg(F.first("x").alias("fpr"), F.avg("tpr").alias("mean_tpr"),
                                           F.stddev_pop("tpr").alias("std_tpr"))
     mean = F.when(F.col("i") == g - 1, F.lit(1.0)).otherwise(F.col("mean_tpr"))
-    aucs = m_auc(df, keys, label, prob).groupBy(family).agg(F.avg("auc").alias("mean_auc"),
+    # a negative row is below the positives before it, and half below those of its own score
+    won = F.sum(F.col("neg") * (F.col("tps") - F.col("pos") / F.lit(2.0)))
+    area = ranked.groupBy(*keys).agg(won.alias("won"), F.first("P").alias("P"), F.first("N").alias("N"))
+    area = area.select(*keys, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("won") / (F.col("P") * F.col("N")))
+                       .alias("auc"))
+    aucs = area.groupBy(family).agg(F.avg("auc").alias("mean_auc"),
                                                             F.stddev_pop("auc").alias("std_auc"))
     out = agg.select(family, F.col("i").alias("grid_index"), "fpr", mean.alias("mean_tpr"), "std_tpr")
     out = (out.withColumn("tpr_upper", F.least(F.col("mean_tpr") + F.col("std_tpr"), F.lit(1.0)))

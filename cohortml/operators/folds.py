@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortml.functions import bounded
 from cohortml.functions.hashing import hash_int, sql_hash_int
 from cohortml.functions.ordered import row_numbers
 
@@ -31,10 +32,15 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "row_id",
         raise ValueError("test_size must lie in (0, 1)")
     if label not in df.columns:
         raise ValueError(f"label column {label!r} missing")
-    p = _class_positions(df, label, key, seed)
+    # only keys and labels are ranked; what comes of it is the last test row of each class
+    p = _class_positions(df.select(key, label), label, key, seed)
     n_test = F.round(F.lit(float(test_size)) * F.col("_n_c"))
-    return (p.withColumn("split", F.when(F.col("_rn") <= n_test, F.lit("test")).otherwise(F.lit("train")))
-            .drop("_rn", "_n_c"))
+    last = (p.where(F.col("_rn") == n_test)
+            .select(F.col(label).alias("_l"), F.struct(hash_int(seed, key).alias("h"), F.col(key).alias("k")).alias("_last")))
+    out = df.join(bounded(last), df[label] == F.col("_l"), "left")
+    at = F.struct(hash_int(seed, key).alias("h"), F.col(key).alias("k"))
+    return (out.withColumn("split", F.when(at <= F.col("_last"), F.lit("test")).otherwise(F.lit("train")))
+            .drop("_l", "_last"))
 
 
 def stratified_kfold(df: DataFrame, k: int = 10, label: str = "label", key: str = "row_id",
@@ -47,15 +53,6 @@ def stratified_kfold(df: DataFrame, k: int = 10, label: str = "label", key: str
             .drop("_rn", "_n_c"))
 
 
-def explode_training_folds(df: DataFrame, k: int, fold: str = "fold", name: str = "train_fold") -> DataFrame:
-    """Copy each row into the ``k - 1`` folds whose training part it belongs to.
-
-    Per-fold statistics then become one grouped job keyed by ``train_fold``.
-    """
-    folds = F.filter(F.sequence(F.lit(0), F.lit(int(k) - 1)), lambda f: f != F.col(fold))
-    return df.withColumn(name, F.explode(folds))
-
-
 def split_sql(table_sql: str, label: str = "label", key: str = "row_id",
               test_size: float = 0.2, seed=SEED) -> str:
     h = sql_hash_int(seed, key)

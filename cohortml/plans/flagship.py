@@ -11,7 +11,7 @@ from cohortml.sources import tables as T
 def flagship(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     labels = T.label_five(spark, sf_dir)
     split = folds.stratified_split(labels)
-    long = T.with_label(T.matrix_long(spark, sf_dir), split)
+    long = T.labelled_long(spark, sf_dir, split)
     train = long.where("split = 'train'")
     scaled = prep.standard_scale(train, train)
     scores = univariate.score_kruskal(scaled)

@@ -18,11 +18,11 @@ P_COLS = ("score", "pvalue")
 
 
 def five(spark, sf):
-    return T.with_label(T.matrix_long(spark, sf), T.label_five(spark, sf))
+    return T.labelled_long(spark, sf, T.label_five(spark, sf))
 
 
 def binary(spark, sf):
-    return T.with_label(T.matrix_long(spark, sf), T.label_binary(spark, sf))
+    return T.labelled_long(spark, sf, T.label_binary(spark, sf))
 
 
 T5 = f"(SELECT m.row_id, m.feature, m.value, l.label FROM {M} m JOIN {L5} l USING (row_id))"
@@ -98,8 +98,8 @@ def q_score_kruskal(spark, sf):
 def _by_classes(spark, sf, classes):
     """LONG rows labelled ``label % classes``."""
     e = T.read_table(spark, sf, "embeddings")
-    return T.with_label(T.matrix_long(spark, sf), e.select(F.col("vec_id").alias("row_id"),
-                                                          (F.col("label") % classes).cast("int").alias("label")))
+    return T.labelled_long(spark, sf, e.select(F.col("vec_id").alias("row_id"),
+                                               (F.col("label") % classes).cast("int").alias("label")))
 
 
 def _classes_sql(classes):

@@ -51,9 +51,12 @@ def label_five(spark: SparkSession, sf_dir: str) -> DataFrame:
 LABEL_FIVE_SQL = "(SELECT vec_id AS row_id, CAST(label % 5 AS INTEGER) AS label FROM embeddings)"
 
 
-def with_label(long: DataFrame, labels: DataFrame) -> DataFrame:
-    """Attach the label to every LONG row (equi-join on the sample key)."""
-    return long.join(labels, "row_id", "inner")
+def labelled_long(spark: SparkSession, sf_dir: str, labels: DataFrame) -> DataFrame:
+    """``matrix_long`` with the columns of ``labels(row_id, ...)``: joined by sample first, then exploded."""
+    e = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
+    return (e.join(labels, "row_id", "inner")
+            .select("row_id", F.posexplode("embedding").alias("feature", "v"), *[c for c in labels.columns if c != "row_id"])
+            .withColumn("value", F.col("v").cast("double")).drop("v"))
 
 
 # ------------------------------------------------------------ clinical
