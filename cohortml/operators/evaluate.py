@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortml.functions import bounded
 from cohortml.functions.ordered import running_totals
 
 
@@ -370,7 +371,7 @@ def vote_weight_search(preds: DataFrame, trials: DataFrame, model="model", key="
     The trial table is small (trials x models); the join keeps one row per
     (trial, prediction), then every trial is aggregated in the same job.
     """
-    j = preds.join(F.broadcast(trials), model, "inner")
+    j = preds.join(bounded(trials, 1_000_000), model, "inner")
     ens = j.groupBy("trial", key).agg(F.first(label).alias(label),
                                       (F.sum(F.col("weight") * F.col(prob)) / F.sum("weight")).alias(prob))
     return score_on_test(ens, ["trial"], label, prob)

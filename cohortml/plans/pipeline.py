@@ -11,12 +11,15 @@ LONG (``posexplode``) and grouped aggregates.
 
 from __future__ import annotations
 
+import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortml.functions import bounded
 from cohortml.operators import evaluate as E
 from cohortml.operators import models as MD
 from cohortml.operators import select as S
@@ -234,17 +237,26 @@ def cross_validate(train: DataFrame, cfg: PipelineConfig, cv: int = 10, scoring=
     return out
 
 
+def _metric_rows(spark, name: str, rows) -> DataFrame:
+    """``(name_i, val_score, test metrics)`` per fold and their mean row."""
+    rows = [(f"{name}_{i}", *[float(x) for x in r]) for i, r in rows]
+    mean = np.array([r[1:] for r in rows], dtype=float).mean(axis=0)
+    rows.append((f"{name}_mean", *[float(x) for x in mean]))
+    return spark.createDataFrame(rows, "name string, val_score double, test_acc double, test_f1 double, "
+                                       "test_mcc double, test_auc double")
+
+
 def search_family(train: DataFrame, test: DataFrame, family: str, n_trials: int = 100, cv: int = 10,
                   scoring="accuracy", direction: str = "maximize", base: dict | None = None,
-                  seed: int = 42, tune_components: int | None = None):
+                  seed: int = 42, tune_components: int | None = None, fixed: dict | None = None):
     """Seeded random trials; the best trial's fold models and a metric table
-    ``(name, val_score, test_acc, test_f1, test_mcc, test_auc)`` with a ``<family>_mean`` row."""
+    ``(name, val_score, test_acc, test_f1, test_mcc, test_auc)`` with a ``<family>_mean`` row.
+    ``fixed``: parameters that are not drawn."""
     best = None
     for t in range(int(n_trials)):
-        params = MD.draw_params(family, t, seed)
+        params = MD.draw_params(family, t, seed) | (fixed or {})
         kw = dict(base or {})
         if tune_components and kw.get("learner"):
-            import random
             kw["learner"] = dict(kw["learner"], n_components=random.Random(f"{seed}:nc:{family}:{t}")
                                  .randint(2, int(tune_components)))
         cfg = build_pipeline(family=family, params=params, **kw)
@@ -254,28 +266,31 @@ def search_family(train: DataFrame, test: DataFrame, family: str, n_trials: int
         if better:
             best = (val, cfg, res)
     _, cfg, res = best
-    rows = [(f"{family}_{i}", v, *tm) for i, (v, tm) in enumerate(zip(res["val_scores"], res["test_metrics"]))]
-    arr = np.array([r[1:] for r in rows], dtype=float)
-    rows.append((f"{family}_mean", *[float(x) for x in arr.mean(axis=0)]))
-    spark = train.sparkSession
-    table = spark.createDataFrame(rows, "name string, val_score double, test_acc double, test_f1 double, "
-                                        "test_mcc double, test_auc double")
-    return table, res["models"], cfg
-
-
-def train_all_families(train: DataFrame, test: DataFrame, families=MD.FAMILIES, **kw):
-    """Every family in order; metric tables unioned, models by family."""
-    tables, models = [], {}
-    for fam in families:
-        t, ms, _ = search_family(train, test, fam, **kw)
-        tables.append(t)
-        models[fam] = ms
-    out = tables[0]
-    for t in tables[1:]:
+    rows = enumerate((v, *tm) for v, tm in zip(res["val_scores"], res["test_metrics"]))
+    return _metric_rows(train.sparkSession, family, rows), res["models"], cfg
+
+
+def train_all_families(train: DataFrame, test: DataFrame, families=MD.FAMILIES, parallel: int = 3,
+                       fixed: dict | None = None, **kw):
+    """Every family; metric tables unioned in the given order, models by family.
+
+    Families are searched side by side in at most ``parallel`` threads, over inputs written once.
+    ``fixed``: per family, parameters that are not drawn."""
+    train = train.select("row_id", "x", "label").checkpoint(eager=True)
+    test = test.select("row_id", "x", "label").checkpoint(eager=True)
+
+    def one(family):
+        return search_family(train, test, family, fixed=(fixed or {}).get(family), **kw)
+
+    with ThreadPoolExecutor(max_workers=max(1, int(parallel))) as pool:
+        found = list(pool.map(one, families))
+    out = found[0][0]
+    for t, _, _ in found[1:]:
         out = out.unionByName(t)
-    return out, models
+    return out, {family: ms for family, (_, ms, _) in zip(families, found)}
 
 
+# ------------------------------------------------------------ ensembles
 def vote_soft_models(models: list[FittedPipeline], test: DataFrame, weights: list[float] | None = None) -> DataFrame:
     """Weighted mean of class-1 probabilities of the given fitted pipelines on ``test``."""
     preds = None
@@ -286,28 +301,81 @@ def vote_soft_models(models: list[FittedPipeline], test: DataFrame, weights: lis
     return E.vote_soft(preds, w)
 
 
-def stack_oof(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], cv: int = 10):
-    """Out-of-fold class-1 probabilities of each base pipeline (train) and the fold-mean (test)."""
+def fold_predictions(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], cv: int = 10):
+    """``(row_id, label, prob, model, fold)`` of the held-out fold and of ``test``, for every base
+    pipeline and fold. Each pipeline is fitted once per fold; the two tables are written once, so
+    whatever reads them later fits nothing again."""
     folded = stratified_kfold(train.select("row_id", "x", "label"), cv).checkpoint(eager=True)
-    tr_parts, te_parts = [], []
+    parts = ([], [])
     for i, cfg in enumerate(cfgs):
         for f in range(int(cv)):
             fp = FittedPipeline(cfg).fit(folded.where(F.col("fold") != f).drop("fold"))
-            tr_parts.append(fp.predict(folded.where(F.col("fold") == f).drop("fold"))
-                            .select("row_id", "label", "prob").withColumn("model", F.lit(i)))
-            te_parts.append(fp.predict(test).select("row_id", "label", "prob").withColumn("model", F.lit(i)))
-    union = lambda ps: ps[0] if len(ps) == 1 else ps[0].unionByName(union(ps[1:]))
+            for out, rows in zip(parts, (folded.where(F.col("fold") == f).drop("fold"), test)):
+                out.append(fp.predict(rows).select("row_id", "label", "prob", F.lit(i).alias("model"), F.lit(f).alias("fold"))
+                           .checkpoint(eager=True))
+
+    def union(ps):
+        out = ps[0]
+        for p in ps[1:]:
+            out = out.unionByName(p)
+        return out
+    return union(parts[0]), union(parts[1])
+
+
+def vote_train(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], n_trials: int = 100, cv: int = 10,
+               scoring: str = "accuracy", direction: str = "maximize", seed: int = 42):
+    """Soft voting with searched weights: ``(metric table named voting, best weights)``.
+
+    A trial draws a weight of 1 to 100 for every base pipeline; its score is the mean over folds of
+    the weighted vote on the held-out rows. The base pipelines are refitted per fold, once for all
+    trials, and the best weights are scored on ``test`` with every fold's models."""
+    if scoring not in SCORERS:
+        raise ValueError(f"unknown scoring {scoring!r}")
+    spark = train.sparkSession
+    val, tst = fold_predictions(train, test, cfgs, cv)
+    drawn = [[random.Random(f"{seed}:vote:{t}:{i}").randint(1, 100) for i in range(len(cfgs))] for t in range(int(n_trials))]
+    weights = spark.createDataFrame([(t, i, float(w)) for t, ws in enumerate(drawn) for i, w in enumerate(ws)],
+                                    "trial int, model int, weight double")
+
+    def vote(preds, table):
+        w = preds.join(bounded(table, 1_000_000), "model")
+        return w.groupBy("trial", "fold", "row_id").agg(
+            F.first("label").alias("label"), (F.sum(F.col("weight") * F.col("prob")) / F.sum("weight")).alias("prob"))
+
+    column = SCORERS[scoring]
+    scores = E.score_on_test(vote(val, weights), ["trial", "fold"]).select("trial", "fold", column).collect()
+    mean = {}
+    for r in scores:  # trials x folds rows
+        mean.setdefault(r["trial"], []).append(r[column])
+    order = max if direction == "maximize" else min
+    best = order(sorted(mean), key=lambda t: float(np.mean(mean[t])))
+    value = {r["fold"]: r[column] for r in scores if r["trial"] == best}
+    metrics = E.score_on_test(vote(tst, weights.where(F.col("trial") == best)), ["fold"]).collect()
+    rows = [(m["fold"], (value[m["fold"]], m["accuracy"], m["f1"], m["mcc"], m["auc"]))
+            for m in sorted(metrics, key=lambda m: m["fold"])]
+    return _metric_rows(spark, "voting", rows), drawn[best]
+
+
+def stack_oof(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], cv: int = 10):
+    """Out-of-fold class-1 probabilities of each base pipeline (train) and the fold-mean (test)."""
+    val, tst = fold_predictions(train, test, cfgs, cv)
     models = list(range(len(cfgs)))
-    return E.stack_oof(union(tr_parts), models), E.stack_oof(union(te_parts), models)
+    return E.stack_oof(val, models).checkpoint(eager=True), E.stack_oof(tst, models).checkpoint(eager=True)
 
 
-def stack_train(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], cv: int = 3,
-                keep_original: bool = False, families=("logistic",), top_n: int = 20, save_features: int = 20,
-                **kw):
-    """Retrain families on the stacked meta table (MI k-best, no scaling or resampling)."""
+def stack_train(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], cv: int = 10,
+                keep_original: bool = False, families=MD.FAMILIES, top_n: int = 20, save_features: int = 20,
+                learner: dict | None = None, tune_components: int | None = None, path: str | None = None, **kw):
+    """Retrain families on the stacked table of the base pipelines (MI k-best, no scaling or resampling).
+
+    ``learner`` and ``tune_components`` go to the search; with ``path`` the stacked table is written
+    there with its train / test tag."""
     if top_n < save_features:
         raise ValueError("top_n must be at least save_features")
-    mtr, mte = stack_oof(train, test, cfgs, cv)
+    mtr, mte = stack_oof(train, test, cfgs[:top_n], cv)
+    if path:
+        from cohortml.sources.files import write_table
+        write_table(mtr.withColumn("is_test", F.lit(0)).unionByName(mte.withColumn("is_test", F.lit(1))), path)
     meta_cols = [c for c in mtr.columns if c.startswith("metafeature_")]
     def pack(m, orig):  # noqa: E306
         x = F.array(*[F.col(c) for c in meta_cols])
@@ -318,19 +386,41 @@ def stack_train(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], c
     tr, te = pack(mtr, train), pack(mte, test)
     k = min(len(meta_cols), save_features)
     base = {"scaler": False, "first_filter": {"function": "mutual_info_classif", "mode": "k_best", "param": k}}
-    return train_all_families(tr, te, families, base=base, cv=cv, **kw)
+    if learner:
+        base["learner"] = learner
+    return train_all_families(tr, te, families, base=base, cv=cv, tune_components=tune_components, **kw)
 
 
 def run_auto(train: DataFrame, test: DataFrame, families=MD.FAMILIES, n_trials: int = 100, cv: int = 10,
-             ensemble: bool = False, stack: bool = False, top_n: int = 5, **kw):
-    """Train every family; optionally soft-vote the top models and stack."""
+             ensemble: bool = False, stack: bool = False, top_n: int = 5, stack_top_n: int = 20,
+             vote_trials: int = 100, path: str | None = None, **kw):
+    """Train every family; optionally vote with the ``top_n`` best models and stack the ``stack_top_n`` best.
+
+    Returns ``metrics`` (with the voting rows), ``models``, and for the options ``vote`` (test
+    probabilities), ``weights``, ``stack`` (metrics) and ``stack_models``. With ``path`` the metric
+    tables, the stacked table, the best models and their manifest are written there."""
     metrics, models = train_all_families(train, test, families, n_trials=n_trials, cv=cv, **kw)
+    metrics = metrics.checkpoint(eager=True)
+    ranked = [(r["name"], models[r["family"]][int(r["index"])])
+              for r in E.top_n_models(metrics, max(top_n, stack_top_n)).collect()]
     out = {"metrics": metrics, "models": models}
+    scoring = {k: kw[k] for k in ("scoring", "direction", "seed") if k in kw}
     if ensemble:
-        top = E.top_n_models(metrics, top_n).collect()
-        chosen = [models[r["family"]][int(r["index"])] for r in top]
-        out["vote"] = vote_soft_models(chosen, test)
+        chosen = [m for _, m in ranked[:top_n]]
+        table, weights = vote_train(train, test, [m.cfg for m in chosen], vote_trials, cv, **scoring)
+        out["weights"], out["vote"] = weights, vote_soft_models(chosen, test, weights)
+        out["metrics"] = metrics.unionByName(table)
     if stack:
-        cfgs = [models[f][0].cfg for f in list(models)[:top_n]]
-        out["stack"] = stack_oof(train, test, cfgs, cv)
+        cfgs = [m.cfg for _, m in ranked[:stack_top_n]]
+        out["stack"], out["stack_models"] = stack_train(
+            train, test, cfgs, cv, families=families, top_n=max(stack_top_n, len(cfgs)),
+            save_features=min(stack_top_n, len(cfgs)), n_trials=n_trials, path=f"{path}/stacked" if path else None,
+            **{k: v for k, v in kw.items() if k in ("scoring", "direction", "seed", "fixed", "parallel")})
+    if path:
+        from cohortml.sources.files import save_model, write_manifest, write_metrics
+        write_metrics([out["metrics"]], f"{path}/metrics")
+        if stack:
+            write_metrics([out["stack"]], f"{path}/stack_metrics")
+        saved = {name: save_model(m, f"{path}/models/{name}") for name, m in ranked[:top_n]}
+        write_manifest(train.sparkSession, saved, f"{path}/manifest")
     return out

@@ -101,3 +101,74 @@ def test_boosting_child_weight_and_gain(spark):
     free = sum(len(t["splits"]) for t in fit_xgboost(df, n_estimators=1, max_depth=4, min_child_weight=0.0).model.trees)
     held = sum(len(t["splits"]) for t in fit_xgboost(df, n_estimators=1, max_depth=4, min_child_weight=6.0).model.trees)
     assert held < free
+
+
+def test_vote_train_prefers_the_better_model(spark):
+    from cohortml.plans import pipeline as P
+    df = vectors(spark, 90)
+    train, test = df.where("row_id < 60"), df.where("row_id >= 60")
+    cfgs = [P.build_pipeline(family="logistic", params={"C": 1.0}),
+            P.build_pipeline(family="logistic", params={"C": 1e-4})]
+    table, weights = P.vote_train(train, test, cfgs, n_trials=8, cv=3, scoring="accuracy")
+    rows = {r["name"]: r for r in table.collect()}
+    assert set(rows) == {"voting_0", "voting_1", "voting_2", "voting_mean"} and len(weights) == 2
+    assert all(1 <= w <= 100 for w in weights)
+    # the weights are those of the trial with the best mean over the held-out folds
+    val, _ = P.fold_predictions(train, test, cfgs, 3)
+    from cohortml.operators import evaluate as E
+    voted = E.vote_soft(val, {0: float(weights[0]), 1: float(weights[1])})
+    assert voted.count() == 60
+    assert rows["voting_mean"]["val_score"] >= 0.5
+
+
+def test_run_auto_ranks_votes_stacks_and_writes(spark, tmp_path):
+    from cohortml.plans import pipeline as P
+    from cohortml.sources import files as FS
+    df = vectors(spark, 90)
+    train, test = df.where("row_id < 60"), df.where("row_id >= 60")
+    out = P.run_auto(train, test, families=("logistic", "knn"), n_trials=1, cv=2, ensemble=True, stack=True, top_n=2,
+                     stack_top_n=2, vote_trials=3, path=str(tmp_path))
+    names = {r["name"] for r in out["metrics"].collect()}
+    assert {"logistic_mean", "knn_0", "voting_0", "voting_mean"} <= names
+    assert spark.read.parquet(f"{tmp_path}/metrics").count() == len(names)
+    meta = spark.read.parquet(f"{tmp_path}/stacked")
+    assert meta.where("is_test = 0").count() == 60 and meta.where("is_test = 1").count() == 30
+    manifest = {r["name"]: r["path"] for r in spark.read.json(f"{tmp_path}/manifest").collect()}
+    assert len(manifest) == 2
+    for name, path in manifest.items():
+        family, i = name.rsplit("_", 1)
+        before = {r["row_id"]: r["prob"] for r in out["models"][family][int(i)].predict(test).collect()}
+        after = {r["row_id"]: r["prob"] for r in FS.load_model(spark, path).predict(test).collect()}
+        assert before == pytest.approx(after)
+
+
+def test_explanations_name_the_selected_features(spark):
+    from cohortml.plans import pipeline as P
+    from cohortml.plans.reports import retrieve_features
+    df = vectors(spark, 80, d=6)
+    names = [f"gene{i}" for i in range(6)]
+    cfg = P.build_pipeline(family="logistic", first_filter={"function": "f_classif", "mode": "k_best", "param": 3})
+    fp = P.FittedPipeline(cfg).fit(df)
+    out = retrieve_features(fp, df, df.limit(0), names)
+    kept = {names[i] for i in fp.keep1}
+    assert {r["feature"] for r in out["shap_mean_abs"].collect()} == kept and "gene1" in kept
+    phi = {r["row_id"]: r["s"] for r in out["shap"].groupBy("row_id").agg({"shap": "sum"})
+           .withColumnRenamed("sum(shap)", "s").collect()}
+    base = out["shap"].first()["base_value"]
+    prob = {r["row_id"]: r["prob"] for r in fp.predict(df).collect()}
+    assert all(1 / (1 + np.exp(-(base + phi[i]))) == pytest.approx(prob[i], abs=1e-6) for i in prob)
+
+
+@pytest.mark.parametrize("learner", [None, {"type": "symbolic", "n_components": 2, "population": 12, "generations": 1}])
+def test_explanations_of_other_models(spark, learner):
+    from cohortml.plans import pipeline as P
+    from cohortml.plans.reports import retrieve_features
+    df = vectors(spark, 40, d=3)
+    fp = P.FittedPipeline(P.build_pipeline(family="rf", params={"n_estimators": 5}, learner=learner)).fit(df)
+    out = retrieve_features(fp, df.where("row_id < 6"), df.limit(0), n_perm=1, n_background=5)
+    sums = {r["row_id"]: (r["s"], r["b"]) for r in out["shap"].groupBy("row_id").agg({"shap": "sum", "base_value": "max"})
+            .withColumnRenamed("sum(shap)", "s").withColumnRenamed("max(base_value)", "b").collect()}
+    prob = {r["row_id"]: r["prob"] for r in fp.predict(df.where("row_id < 6")).collect()}
+    assert all(s + b == pytest.approx(prob[i], abs=1e-9) for i, (s, b) in sums.items()) and len(sums) == 6
+    if learner:
+        assert {r["feature"] for r in out["shap"].collect()} == set(fp.pca.names()) and out["learner"].count() == 2
