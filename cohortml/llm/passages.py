@@ -321,3 +321,18 @@ def cut_repeats(docs: DataFrame, window: int = 35, phrase: int = 8, block_bytes:
     confirmed = sent.groupBy("part").applyInArrow(_answer(WINDOWS), _BACK)
     answers = recurring.unionByName(confirmed)
     return by_block.cogroup(answers.groupBy("block")).applyInArrow(remove, schema)
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+             FROM documents),
+w AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 34), ' ') AS s
+        FROM d, LATERAL (SELECT unnest(range(1, len(ws) - 33)) AS i) u),
+again AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, p
+           FROM w SEMI JOIN again USING (s), LATERAL (SELECT unnest(range(i, i + 35)) AS p) u),
+words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p)
+          GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+  FROM d LEFT JOIN kept USING (doc_id)"""

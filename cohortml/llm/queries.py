@@ -32,4 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.SQL,
+    "op6_entropy_secrets": secret_scan.SQL,
+    "op10_passage_automata": passages.SQL,
 }

@@ -174,3 +174,40 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         else:
             columns.append(F.col("row").getField(f.name).alias(f.name))
     return found.select(*columns)
+
+
+def _sql() -> str:
+    """The same spans in SQL: pieces between and in matches, and the entropy of unnested windows."""
+    def quoted(x):
+        return "'" + x.replace("'", "''") + "'"
+
+    found = " UNION ALL ".join(f"""
+SELECT doc_id, {k} AS kind, i, b[i] AS before, f[i] AS piece
+  FROM (SELECT doc_id, string_split_regex(t, {quoted(p)}) AS b, regexp_extract_all(t, {quoted(p)}) AS f FROM d) x,
+       LATERAL (SELECT unnest(range(1, len(f) + 1)) AS i) u""" for k, p in enumerate([p for _, p in KINDS] + [CANDIDATE]))
+    allowed = " OR ".join(f"regexp_matches(piece, {quoted(p)})" for p in ALLOW)
+    names = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KIND_NAMES)) + " END"
+    joined = f"string_agg({names} || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
+    last = len(KINDS)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({found}),
+s AS (SELECT doc_id, kind, piece, CAST(sum(length(before) + length(piece)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT)
+             - length(piece) AS start, length(piece) AS size FROM m),
+c AS (SELECT DISTINCT piece FROM s WHERE kind = {last} AND NOT ({allowed})),
+w AS (SELECT piece, i, unnest(string_split(substr(piece, i, {WINDOW}), '')) AS ch
+        FROM c, LATERAL (SELECT unnest(range(1, length(piece) - {WINDOW} + 2)) AS i) u),
+h AS (SELECT piece, i, sum(n * log2(n)) AS low FROM (SELECT piece, i, ch, count(*) AS n FROM w GROUP BY piece, i, ch) q
+       GROUP BY piece, i),
+e AS (SELECT piece FROM (SELECT piece, log2({WINDOW}) - min(low) / {WINDOW} AS bits FROM h GROUP BY piece) q
+       WHERE bits >= CASE WHEN regexp_matches(piece, '{HEX_ONLY}') THEN {LEAST_BITS["hex"]} ELSE {LEAST_BITS["base64"]} END),
+k AS (SELECT doc_id, kind, start, start + size AS stop FROM s
+       WHERE CASE kind WHEN 0 THEN length(regexp_replace(piece, {quoted("^" + ASSIGN)}, '')) >= 6
+                       WHEN {last} THEN piece IN (SELECT piece FROM e) ELSE TRUE END),
+a AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = {i}) AS n_{n}" for i, (n, _) in enumerate(KINDS))},
+             {joined} FILTER (kind < {last}) AS base, {joined} AS spans FROM k GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{n}, 0) AS n_{n}" for n, _ in KINDS)}, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
+
+
+SQL = _sql()
