@@ -114,6 +114,7 @@ def fit_svc(df: DataFrame, C: float = 1.0, kernel: str = "linear", n_components:
         extra["rff"] = random_fourier(nf, int(n_components), 1.0 / nf)
         extra["rff_args"] = [nf, int(n_components), 1.0 / nf]
         d = extra["rff"](d, "x")
+    d = d.checkpoint(eager=True)  # several fits read the rows (and their random features)
     fold = F.floor(hash_uniform("platt", "row_id") * F.lit(int(calibration_folds)))
 
     def fit(rows):
