@@ -22,6 +22,7 @@ import math
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortml.functions.hashing import hash_uniform
 
@@ -72,10 +73,9 @@ class BoostedTrees:
     def __init__(self, cuts, trees, base, depth):
         self.cuts, self.trees, self.base, self.depth = cuts, trees, base, depth
 
-    def margins(self):
-        """An Arrow-batched function from binned rows to margins: trees as arrays, all rows of a batch
-        at once. (As column expressions, some tens of trees outgrow the generated code.)"""
-        import pandas as pd
+    def _margins(self):
+        """From batches of binned rows to their margins: trees as arrays, all rows of a batch at once.
+        (As column expressions, some tens of trees outgrow the generated code.)"""
         size = 2 ** (self.depth + 1) - 1
         feature, cut, value = (np.zeros((len(self.trees), size), t) for t in (np.int64, np.int64, float))
         feature -= 1
@@ -86,24 +86,27 @@ class BoostedTrees:
                 value[t, node] = v
         base, depth = self.base, self.depth
 
-        @F.pandas_udf("double")
-        def margin(bins: pd.Series) -> pd.Series:
-            x = np.array(bins.tolist(), dtype=np.int64).reshape(len(bins), -1)
-            out, rows = np.full(len(x), base), np.arange(len(x))
-            for f, c, v in zip(feature, cut, value):
-                node = np.zeros(len(x), np.int64)
-                for _ in range(depth):
-                    split = f[node] >= 0
-                    right = x[rows, np.maximum(f[node], 0)] > c[node]
-                    node = np.where(split, 2 * node + 1 + right, node)
-                out += v[node]
-            return pd.Series(out)
-        return margin
+        def run(batches):
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                x = np.array(pdf["b"].tolist(), dtype=np.int64).reshape(len(pdf), -1)
+                out, rows = np.full(len(x), base), np.arange(len(x))
+                for f, c, v in zip(feature, cut, value):
+                    node = np.zeros(len(x), np.int64)
+                    for _ in range(depth):
+                        right = x[rows, np.maximum(f[node], 0)] > c[node]
+                        node = np.where(f[node] >= 0, 2 * node + 1 + right, node)
+                    out += v[node]
+                yield pdf.drop(columns="b").assign(m=out)
+        return run
 
     def predict(self, df: DataFrame, vec: str = "x", key: str = "row_id", label: str = "label") -> DataFrame:
         d = df.select(key, label, _bins(df, self.cuts, vec).alias("b"))
-        prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margins()(F.col("b"))))
-        return d.select(key, label, prob.alias("prob")).withColumn("pred", (F.col("prob") > 0.5).cast("int"))
+        schema = T.StructType([*d.drop("b").schema.fields, T.StructField("m", T.DoubleType())])
+        prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m")))
+        return (d.mapInPandas(self._margins(), schema).select(key, label, prob.alias("prob"))
+                .withColumn("pred", (F.col("prob") > 0.5).cast("int")))
 
 
 def fit_xgboost(df: DataFrame, n_estimators: int = 100, max_depth: int = 3, learning_rate: float = 0.1,
