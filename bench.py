@@ -37,6 +37,10 @@ HEADLINE = [
     "knn_join",
     "rs_smote",
     "fam_logistic",
+    "fam_rf",
+    "fam_knn",
+    "embed_hsic",
+    "cross_validate",
 ]
 
 
