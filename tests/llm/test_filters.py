@@ -65,6 +65,22 @@ def test_frequent_lines_deplete(spark):
         assert clean[i] == "\n".join(want)
 
 
+def test_boilerplate_pages_are_distinct_documents(spark):
+    """100 pages of 95 % boilerplate at the production limits; merged copies unite their lines."""
+    rng = random.Random(2)
+    shared = [words(rng, 19, 5000) for _ in range(10)]
+    rows = [(i, "\n".join([*shared, words(rng, 10, 5000)]), "en", "a") for i in range(100)]
+    rows += [(1000 + i, words(rng, 60, 5000), "en", "a") for i in range(50)]
+    out = {r.doc_id: r for r in quality.quality(frame(spark, rows)).collect()}
+    assert all(out[i].lost_words == 190 and not out[i].kept for i in range(100))
+    assert all(out[1000 + i].lost_words == 0 and out[1000 + i].kept for i in range(50))
+    # the same windows in other lines: one document, with the lines of both
+    text = words(rng, 40, 5000).split()
+    both = [(1, " ".join(text), "en", "b"), (2, " ".join(text[:20]) + "\n" + " ".join(text[20:]), "en", "b")]
+    found = quality.features(frame(spark, both))
+    assert [r.n_docs for r in quality.frequent_lines(found, 0.01, 0).collect()] == [1, 1, 1]
+
+
 def test_rows_with_null_host_and_id(spark, messy):
     kept = quality.keep_good(messy).collect()
     want = [r for r in messy_rows() if not counts(r[1])[-1]]
