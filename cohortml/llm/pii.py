@@ -101,14 +101,28 @@ def _card(s, move):
     return _refill(s, new + luhn(new))
 
 
+#: Calling codes begin with a code of one or two digits of this table; all others have three. No code begins with 0.
+_CODES = frozenset("0 1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                   "81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def _phone(s, move):
+    """The calling code stays, told by its digits alone; numbers written without one are North American.
+
+    A first zero stays a zero and no other becomes one, so a trunk zero, ``+44 (0)20``, is no part of the number.
+    """
     d = _digits(s)
     if not 7 <= len(d) <= 15:
         return None
-    # the country code stays: it is part of the format
-    code = len(_digits(re.match(r"\+\d{1,3}(?=[ .(-])", s).group(0))) if re.match(r"\+\d{1,3}(?=[ .(-])", s) else 0
-    n = len(d) - code
-    return _refill(s, d[:code] + str(move(f"phone{d[:code]}", 10 ** n, int(d[code:]))).zfill(n))
+    code = next((d[:k] for k in (1, 2) if d[:k] in _CODES), d[:3]) if s[0] == "+" else ""
+    at = len(code)
+    if code and re.match(rf"\+{code}[ .-]?\(0\)", s):
+        at += 1
+    zero = d[at] == "0"
+    n = len(d) - at - zero
+    low = 0 if zero else 10 ** (n - 1)
+    kind = f"phone{code or 1}{'.0' if zero else ''}"
+    return _refill(s, d[:at + zero] + str(low + move(kind, 10 ** n - low, int(d[at + zero:]) - low)).zfill(n))
 
 
 def _address(s, move):
@@ -160,7 +174,8 @@ def _date(s, move):
     """A day is permuted within its century, and with the days before or after the twelfth.
 
     So a day and a month never change places: ``02/28/1987`` can only be read in one way, and its
-    pseudonym too.
+    pseudonym too. Days and months under 10 stay under 10, so ``3/7/1987`` and ``03/07/1987`` keep
+    their digits and have the same pseudonym.
     """
     a, sep, b, _, c = re.split(r"([-/.])", s)
     first = len(a) == 4
@@ -177,15 +192,17 @@ def _date(s, move):
 
     if not valid():
         return None
-    begin, low, days = y // 100 * 100, (13 if d > 12 else 1), (19 if d > 12 else 12)
-    value, kind = ((y - begin) * 12 + m - 1) * days + d - low, f"date{begin}.{low}"
+    begin = y // 100 * 100
+    low, days = (13, 19) if d > 12 else (10, 3) if d > 9 else (1, 9)
+    early, months = (10, 3) if m > 9 else (1, 9)
+    value, kind = ((y - begin) * months + m - early) * days + d - low, f"date{begin}.{low}.{early}"
     while True:  # walks on over days that do not exist
-        value = move(kind, 1200 * days, value)
-        y, m, d = begin + value // days // 12, value // days % 12 + 1, value % days + low
+        value = move(kind, 100 * months * days, value)
+        y, m, d = begin + value // days // months, value // days % months + early, value % days + low
         if valid():
             break
-    parts = (f"{y:04d}", f"{m:02d}", f"{d:02d}")
-    return sep.join(parts if first else (parts[1], parts[2], parts[0]) if swapped else parts[::-1])
+    parts = (y, m, d) if first else (m, d, y) if swapped else (d, m, y)
+    return sep.join(str(v).zfill(len(old)) for v, old in zip(parts, (a, b, c), strict=True))
 
 
 def _email(s, move):
@@ -211,10 +228,12 @@ KINDS = (
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), _email),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), _iban),
     ("card", "", re.compile(r"(?<![\d.-])(?:[0-9]{13,19}|[0-9]{4}(?:([ -])[0-9]{4})(?:\1[0-9]{4}){2}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![\d-])"), _card),
-    ("phone", "", re.compile(r"\+[0-9]{1,3}[ .-]?\([0-9]{1,4}\)(?:[ .-]?[0-9]{2,4}(?![0-9])){1,4}|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}(?![0-9])){2,5}|\+[0-9]{8,15}(?![0-9])"
+    ("phone", "", re.compile(r"\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+                             r"|\+[0-9]{1,3}[ .-]?\([0-9]{1,4}\)(?:(?:[ .-]?[0-9]{2,4}(?![0-9])){1,4}|[ .-]?[0-9]{5,10}(?![0-9]))"
+                             r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}(?![0-9])){2,5}|\+[0-9]{1,3}[ .-](?:[0-9]{1,5}[ .-][0-9]{5,8}|[0-9]{6,12})(?![0-9])|\+[0-9]{8,15}(?![0-9])"
                              r"|(?<![\w(])\([0-9]{3}\) ?[0-9]{3}[-. ][0-9]{4}(?![0-9])|(?<![\w.-])[0-9]{3}([-.])[0-9]{3}\1[0-9]{4}(?![\d-])"), _phone),
     ("ssn", "-", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), _ssn),
-    ("date", "", re.compile(r"(?<![\w.-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([/.-])[0-9]{2}\2[0-9]{4})(?![\w-])"), _date),
+    ("date", "", re.compile(r"(?<![\w.-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([/.-])[0-9]{1,2}\2[0-9]{4})(?![\w-])"), _date),
     ("address", ".", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])"), _address),
 )
 _DIGIT = re.compile("[0-9]")

@@ -180,6 +180,43 @@ def test_findings_stay_valid_and_linked():
         assert TEXT[i:j] not in new.replace("bad 000-12-3456", "") and len(value) >= 7
 
 
+def test_spellings_of_one_value_are_linked():
+    f = pii.Feistel(b"key")
+
+    def check(kind, spellings, value):
+        got = []
+        for s in spellings:
+            text = f"at {s}, then"
+            found = pii.find(text, f.forward)
+            assert [(i, j, k) for i, j, k, _ in found] == [(3, 3 + len(s), kind)], s
+            new = pii.substitute(text, found)
+            assert re.sub("[0-9]", "", new) == re.sub("[0-9]", "", text) or kind == "date"
+            assert pii.substitute(new, pii.find(new, f.backward)) == text
+            got.append(value(found[0][3]))
+        assert len(set(got)) == 1 and value(spellings[0]) not in got, got
+        return got[0]
+
+    for n in range(20):
+        a, b, c = f"{200 + 37 * n}", f"{n * 53 % 1000:03d}", f"{n * 677 % 10000:04d}"
+        number = check("phone", [f"+1 {a} {b} {c}", f"+1{a}{b}{c}", f"+1 ({a}) {b}-{c}", f"+1-{a}-{b}-{c}", f"+1.{a}.{b}.{c}",
+                                 f"+1 {a}{b}{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}"],
+                       lambda s: re.sub("[^0-9]", "", s)[-10:])
+        assert number[0] != "0"
+        for code in ("44", "353"):
+            check("phone", [f"+{code} {a} {b} {c}", f"+{code}{a}{b}{c}", f"+{code}-{a}-{b}-{c}", f"+{code} (0){a} {b} {c}",
+                            f"+{code} ({a}) {b}{c}", f"+{code} {a}{b}{c}"],
+                  lambda s: re.sub("[^0-9]", "", s.replace("(0)", "")))
+    check("phone", ["+1 555 123 4567", "+15551234567"], lambda s: re.sub("[^0-9]", "", s))
+
+    def day(s):
+        p = [int(x) for x in re.split("[-/.]", s)]
+        return p if len(str(p[0])) == 4 else p[::-1]
+    for y, m, d in ((1987, 7, 3), (2003, 11, 9), (1960, 2, 11), (1999, 12, 12)):
+        check("date", [f"{d}/{m}/{y}", f"{d:02d}/{m:02d}/{y}", f"{d}.{m}.{y}", f"{d:02d}.{m}.{y}", f"{d}-{m:02d}-{y}", f"{y}-{m}-{d}",
+                       f"{y}-{m:02d}-{d:02d}"], lambda s: tuple(day(s)))
+    check("date", ["2/28/1987", "02/28/1987"], lambda s: tuple(map(int, s.split("/"))))
+
+
 def test_pseudonymise_round_trip(spark, messy, nothing):
     rng = random.Random(8)
     rows = messy_rows() + [(7000 + i, f"{words(rng, 3)} {rng.randrange(256)}.{rng.randrange(256)}.7.9 and "
