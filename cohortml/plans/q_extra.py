@@ -9,7 +9,7 @@ from cohortml.operators.hsic import hsic_importances
 from cohortml.operators.symbolic import learn_symbolic
 from cohortml.plans import pipeline as P
 from cohortml.plans.q_models import split_vectors
-from cohortml.plans.reports import retrieve_features, visual_report
+from cohortml.plans.reports import one_table, retrieve_features, visual_report
 from cohortml.queries import register
 
 
@@ -32,14 +32,14 @@ def q_embed_hsic_regression(spark, sf):
 @register("learn_symbolic")
 def q_learn_symbolic(spark, sf):
     tr, te = split_vectors(spark, sf)
-    sym = learn_symbolic(tr, n_components=3, population=30, generations=3, seed=42)
+    sym = learn_symbolic(tr, n_components=3, seed=42)
     return sym.transform(te).select("row_id", "label", F.posexplode("x").alias("component", "value"))
 
 
 @register("symbolic_report")
 def q_symbolic_report(spark, sf):
     tr, _ = split_vectors(spark, sf)
-    sym = learn_symbolic(tr, n_components=3, population=30, generations=3, seed=42)
+    sym = learn_symbolic(tr, n_components=3, seed=42)
     return sym.report(spark, [f"emb_{i}" for i in range(64)])
 
 
@@ -54,13 +54,13 @@ def _fitted(spark, sf):
 @register("retrieve_features")
 def q_retrieve_features(spark, sf):
     fp, tr, te = _fitted(spark, sf)
-    return retrieve_features(fp, tr, te)["shap_mean_abs"]
+    return one_table(retrieve_features(fp, tr, te))
 
 
 @register("visual_report")
 def q_visual_report(spark, sf):
     fp, tr, te = _fitted(spark, sf)
-    return visual_report(fp, tr, te)["roc"]
+    return one_table(visual_report(fp, tr, te))
 
 
 @register("shap_permutation")
@@ -68,4 +68,4 @@ def q_shap_permutation(spark, sf):
     from cohortml.operators.explain import permutation_attributions
     tr, te = split_vectors(spark, sf)
     fp = P.FittedPipeline(P.build_pipeline(family="gdbt", params={"n_estimators": 10, "max_depth": 3})).fit(tr)
-    return permutation_attributions(fp.predict, te, tr, n_perm=1, n_background=5)
+    return permutation_attributions(fp.predict, te, tr)

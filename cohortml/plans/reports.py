@@ -65,3 +65,12 @@ def visual_report(fp: FittedPipeline, train: DataFrame, test: DataFrame) -> dict
         "histogram": E.probability_histogram(preds),
         "ks": E.m_ks(preds),
     }
+
+
+def one_table(tables: dict) -> DataFrame:
+    """All rows of all tables, with the table's name as ``report`` and null for columns it does not have."""
+    parts = [df.select(F.lit(name).alias("report"), "*") for name, df in tables.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
