@@ -23,7 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": lambda s, d: sp_codec.encode_decode(documents(s, d)),
     "op4_exact_dedup": lambda s, d: exact_dedup.exact_dedup(documents(s, d)),
     "op10_passage_automata": lambda s, d: passages.cut_repeats(documents(s, d)),
-    "op5_fuzzy_lines": lambda s, d: line_dedup.line_dedup(documents(s, d)),
+    "op5_fuzzy_lines": lambda s, d: line_dedup.line_dedup(documents(s, d), radius=24, bands=24),
     "op6_entropy_secrets": lambda s, d: secret_scan.secret_spans(documents(s, d)),
     "op7_feistel_pseudonyms": lambda s, d: pii.pseudonymise(documents(s, d), PII_KEY),
     "op8_token_counts": lambda s, d: token_counts.token_counts(documents(s, d)),

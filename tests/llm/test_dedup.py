@@ -206,6 +206,42 @@ def test_line_dedup(spark, nothing):
     assert line_dedup.line_dedup(nothing).count() == 0
 
 
+def test_line_dedup_recall_against_edit_similarity(spark, tmp_path):
+    """The registered query on pairs of edit similarity 0.8 and up, by words to a line and kind of change."""
+    from cohortml.llm.queries import QUERIES
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9)))
+    vocabulary = [word() for _ in range(2000)]
+    rows, pairs = [], []
+    for n in (5, 10, 15, 20, 30, 40, 60):
+        for kind in ("one word", "tenth of words", "typos"):
+            made = 0
+            while made < 40:
+                w = [rng.choice(vocabulary) for _ in range(n)]
+                v = list(w)
+                if kind == "typos":
+                    for _ in range(max(1, n // 10)):
+                        i = rng.randrange(n)
+                        v[i] = v[i][:1] + rng.choice("xyz") + v[i][2:]
+                else:
+                    for i in rng.sample(range(n), 1 if kind == "one word" else max(1, n // 10)):
+                        v[i] = word()
+                x, y = " ".join(w), " ".join(v)
+                # a tenth of the words of a longer line is always less than a fifth of its letters
+                if x != y and (n > 10 or levenshtein(x, y) <= 0.2 * max(len(x), len(y))):
+                    rows.append((len(rows), x + "\n" + y))
+                    pairs.append((n, kind))
+                    made += 1
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_removed for r in QUERIES["op5_fuzzy_lines"](spark, str(tmp_path)).collect()}
+    assert set(got) == set(range(len(rows))) and max(got.values()) <= 1
+    recall = defaultdict(float)
+    for i, p in enumerate(pairs):
+        recall[p] += got[i] / 40
+    print(dict(recall))
+    assert min(recall.values()) >= 0.9 and sum(recall.values()) / len(recall) >= 0.98, dict(recall)
+
+
 def test_line_dedup_of_messy_rows(messy):
     out = line_dedup.line_dedup(messy).collect()
     assert len(out) == sum(bool(WORDS.search(r[1] or "")) for r in messy_rows())
