@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 import types
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,3 +107,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     roots = cur.groupBy("a").agg(F.min("b").alias("root"))
     return (roots.select(F.col("a").alias("node"), "root")
             .union(roots.select(F.col("root").alias("node"), "root").distinct()))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet at ``path`` and read again; what was written survives lost executors."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,12 +1,14 @@
-"""Registered queries of the corpus operators: each runs over the whole ``documents`` table."""
+"""Registered queries of the corpus operators: each runs over the whole of its table."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortml.llm import exact_dedup, line_dedup, packing, passages, pii, quality, secret_scan, simhash, sp_codec, token_counts
+from cohortml.llm import (centroids, exact_dedup, line_dedup, packing, passages, pii, quality, secret_scan, simhash,
+                          sp_codec, token_counts, whitening)
 
 
 #: The key of the registered query only; a user passes a secret of their own.
@@ -17,6 +19,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+
+
+def _whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(embeddings(spark, sf_dir))
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_bk_trees": lambda s, d: simhash.simhash_dedup(documents(s, d), 3, 3),
     "op2_mixture_packing": lambda s, d: packing.pack(documents(s, d)),
@@ -28,6 +39,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_feistel_pseudonyms": lambda s, d: pii.pseudonymise(documents(s, d), PII_KEY),
     "op8_token_counts": lambda s, d: token_counts.token_counts(documents(s, d)),
     "op9_line_quality": lambda s, d: quality.quality(documents(s, d)),
+    "op12_shallot_centroids": lambda s, d: centroids.cluster(embeddings(s, d)),
+    "op13_jacobi_davidson_whitening": _whitened,
 }
 
 ORACLES: dict[str, str] = {
