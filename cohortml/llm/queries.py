@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortml.llm import (centroids, exact_dedup, line_dedup, packing, passages, pii, quality, secret_scan, simhash,
-                          sp_codec, token_counts, whitening)
+                          sp_codec, template, token_counts, whitening)
 
 
 #: The key of the registered query only; a user passes a secret of their own.
@@ -39,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_feistel_pseudonyms": lambda s, d: pii.pseudonymise(documents(s, d), PII_KEY),
     "op8_token_counts": lambda s, d: token_counts.token_counts(documents(s, d)),
     "op9_line_quality": lambda s, d: quality.quality(documents(s, d)),
+    "op11_template_extraction": lambda s, d: template.extract_main_text(s.read.parquet(f"{d.rstrip('/')}/pages.parquet")),
     "op12_shallot_centroids": lambda s, d: centroids.cluster(embeddings(s, d)),
     "op13_jacobi_davidson_whitening": _whitened,
 }
