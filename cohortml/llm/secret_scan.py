@@ -1,11 +1,16 @@
 """Secret scan: entropy of sliding windows per character class, by incremental counts, in SQL.
 
 Three fixed patterns give the base spans. Beside them, every maximal run of secret-like characters
-is a candidate string: its class is ``hex`` or ``base64``, and a window slides over it. The counts
-of the window's characters are kept in one short string (one character per symbol of the class,
+is a candidate string: its class is ``hex``, ``letters`` or ``base64``, and a window slides over it. The counts
+of the window's characters are kept in one short string (one character per symbol,
 standing for its count); a step moves one count down and one up and changes the sum of
-``c * log2(c)`` by two table values, so the work per step does not depend on the window. A candidate
-whose best window reaches its class's entropy and that the allow-list does not cover is a span.
+``c * log2(c)`` by two table values, so the work per step does not depend on the window or on the
+length of the run.
+
+The allow-list works on places, not on runs. Marks and placeholder words split a run into parts; the
+marks, the placeholders and the parts that are words or short numbers are covered. A window counts if at
+least half of it is uncovered, so a key beside a placeholder or inside a path is found while slugs, paths and
+dates are not. A candidate whose best counting window reaches the entropy of its class is a span.
 Everything is an expression over one row: no shuffle, no Python.
 """
 
@@ -22,26 +27,44 @@ from cohortml.llm.common import text_of
 ASSIGN = r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?"""
 VALUE = r"[A-Za-z0-9+/_.=-]+"
 KINDS = (("assign", ASSIGN + VALUE), ("access", r"AKIA[A-Z0-9]{16,}"), ("hex", r"[0-9a-f]{24,}"))
-#: Candidate strings of the method, and the symbols whose counts a window keeps.
+#: Candidate strings of the method, and their symbols, whose counts a window keeps.
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
-SYMBOLS = {"hex": "0123456789abcdefABCDEF",
-           "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="}
+SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 HEX_ONLY = "^[0-9a-fA-F]+$"
+LETTERS_ONLY = "^[A-Za-z+/_=-]+$"
 #: Least bits per character of the best window, per class.
-LEAST_BITS = {"hex": 2.9, "base64": 3.6}
+LEAST_BITS = {"hex": 2.9, "letters": 3.85, "base64": 3.6}
 WINDOW = 20
-#: Candidates that are no secrets: digits alone, UUIDs, placeholders, and words or short numbers
-#: with marks between them (paths, slugs, dates, words run together).
-ALLOW = (r"^[0-9]+$",
-         r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-         r"^[+/_=-]*(?:[A-Za-z]+|[0-9]{1,4})(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,4}))*[+/_=-]*$",
-         r"(?i)example|placeholder|changeme|your_")
+#: A window counts if at least this many of its characters are not covered by the allow-list.
+LEAST_OPEN = WINDOW // 2
+#: Candidates that are no secrets as a whole: digits alone and UUIDs.
+ALLOW = (r"^[0-9]+$", r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$")
+#: Words that mark a placeholder; they cover their own characters alone.
+PLACEHOLDERS = ("example", "placeholder", "changeme", "your")
+#: Marks between the parts of a candidate, and parts that are words (up to 15 letters) or short numbers.
+MARK = "[+/_=-]"
+PLAIN_PART = "^([A-Za-z]{0,15}|[0-9]{1,4})$"
 
 #: c * log2(c) in millionths, for c up to the window: integers, so that sums are exact.
 _WEIGHT = [0] + [round(c * math.log2(c) * 1_000_000) for c in range(1, WINDOW + 1)]
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int,piece:string>>"
+#: Arrays are walked in blocks of this size, so that appending to a result never copies more than a block.
+_BLOCK = 256
+#: Characters of a block of text.
+_CUT = 2048
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """``items`` (at least one) in slices of ``_BLOCK``."""
+    return _let(items, lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / _BLOCK).cast("int")),
+                                             lambda i: F.slice(a, i * _BLOCK + 1, F.lit(_BLOCK))))
 
 
 def _spans(found: Column, text: Column, pattern: str, kind: int) -> Column:
@@ -50,45 +73,74 @@ def _spans(found: Column, text: Column, pattern: str, kind: int) -> Column:
     The text between matches is what ``split`` leaves; a match begins where the parts before it end.
     """
     none = F.array().cast(_SPANS)
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("before"), found.alias("piece"))
+    parts = F.filter(F.zip_with(F.transform(F.split(text, pattern, -1), F.length), found, lambda gap, piece: F.struct(
+        gap.alias("gap"), F.length(piece).alias("size"), piece.alias("piece"))), lambda x: x["piece"].isNotNull())
 
-    def step(acc, x):
-        at = acc["at"] + F.length(x["before"])
-        end = at + F.length(x["piece"])
-        span = F.struct(at.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), x["piece"].alias("piece"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def span(acc, x):
+        at = acc["at"] + x["gap"]
+        return F.struct((at + x["size"]).alias("at"), F.concat(acc["out"], F.array(F.struct(
+            at.alias("start"), F.lit(kind).alias("kind"), (at + x["size"]).alias("end"), x["piece"].alias("piece")))).alias("out"))
+
+    def walk(blocks):
+        begins = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                             lambda acc, b: F.struct(
+                                 F.aggregate(b, acc["at"], lambda n, x: n + x["gap"] + x["size"]).alias("at"),
+                                 F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, begins, lambda b, at: F.aggregate(
+            b, F.struct(at.alias("at"), none.alias("out")), span, lambda acc: acc["out"])))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(F.size(found) == 0, none).otherwise(
-        F.aggregate(F.filter(parts, lambda x: x["piece"].isNotNull()), start, step, lambda a: a["out"]))
+    return F.when(F.size(found) == 0, none).otherwise(_let(_blocks(parts), walk))
 
 
-def _bits(piece: Column, kind: str) -> Column:
-    """The largest entropy, in bits per character, of the windows of ``piece`` (class ``kind``)."""
-    symbols, weight = F.lit(SYMBOLS[kind]), F.array(*[F.lit(w) for w in _WEIGHT])
+def _covered(piece: Column) -> Column:
+    """One character per character of ``piece``: 1 if the allow-list covers it, else 0."""
+    masked = piece
+    for word in PLACEHOLDERS:
+        masked = F.regexp_replace(masked, F.lit(f"(?i){word}"), F.lit("=" * len(word)))
+    return F.array_join(F.transform(F.split(masked, MARK, -1), lambda part: F.repeat(
+        F.when(F.regexp(part, F.lit(PLAIN_PART)), F.lit("1")).otherwise(F.lit("0")), F.length(part))), "1")
+
+
+def _reaches(piece: Column, covered: Column, bits: Column) -> Column:
+    """Whether a counting window of ``piece`` has at least ``bits`` bits per character.
+
+    Characters enter and leave through one array, so no step looks for its place in the string; once a
+    window suffices the rest is passed over.
+    """
+    alphabet, weight = F.lit(SYMBOLS), F.array(*[F.lit(w) for w in _WEIGHT])
     zero = ord("0")
+    most = F.floor((F.lit(math.log2(WINDOW)) - bits) * (WINDOW * 1_000_000))
 
-    def move(counts, total, symbol, by):
-        """One count up or down: the new counts and sum."""
-        place = F.instr(symbols, symbol)
-        count = F.ascii(F.substring(counts, place, F.lit(1))) - F.lit(zero)
-        return (F.overlay(counts, F.char(count + F.lit(zero + by)), place, F.lit(1)),
-                total + (F.get(weight, count + F.lit(by)) - F.get(weight, count)))
+    def move(state, place, by, opened):
+        """The state after one character (its place in the alphabet) came in or left."""
+        return _let(F.ascii(F.substring(state["counts"], place, F.lit(1))) - F.lit(zero), lambda count: F.struct(
+            F.overlay(state["counts"], F.char(count + F.lit(zero + by)), place, F.lit(1)).alias("counts"),
+            (state["total"] + (F.get(weight, count + F.lit(by)) - F.get(weight, count))).alias("total"),
+            (state["open"] + F.lit(by) * opened).alias("open"), state["size"].alias("size"), state["most"].alias("most")))
 
-    def enter(acc, i):
-        counts, total = move(acc["counts"], acc["total"], F.substring(piece, i, F.lit(1)), 1)
-        return F.struct(counts.alias("counts"), total.alias("total"), total.alias("low"))
+    def come(state, x):
+        return _let(move(state, x["c"], 1, x["m"]), lambda now: F.struct(
+            now["counts"].alias("counts"), now["total"].alias("total"), now["open"].alias("open"), (now["size"] + 1).alias("size"),
+            now["most"].alias("most"), ((now["size"] + 1 >= WINDOW) & (now["open"] >= LEAST_OPEN) & (now["total"] <= now["most"])).alias("done")))
 
-    def slide(acc, i):
-        counts, total = move(acc["counts"], acc["total"], F.substring(piece, i - F.lit(WINDOW), F.lit(1)), -1)
-        counts, total = move(counts, total, F.substring(piece, i, F.lit(1)), 1)
-        return F.struct(counts.alias("counts"), total.alias("total"), F.least(acc["low"], total).alias("low"))
+    def step(acc, x):
+        return (F.when(acc["done"], acc).when(x["c_out"].isNull(), come(acc, x))
+                .otherwise(_let(move(acc, x["c_out"], -1, x["m_out"]), lambda left: come(left, x))))
+
+    def walk(piece_marks):
+        chars = F.transform(F.split(piece_marks["piece"], ""), lambda c: F.instr(alphabet, c))
+        marks = F.transform(F.split(piece_marks["marks"], ""), lambda m: (m == "0").cast("int"))
+        gap = F.array_repeat(F.lit(None).cast("int"), WINDOW)
+        steps = _let(F.struct(chars.alias("c"), marks.alias("m")), lambda a: F.arrays_zip(
+            a["c"].alias("c"), a["m"].alias("m"),
+            F.slice(F.concat(gap, a["c"]), F.lit(1), F.size(a["c"])).alias("c_out"),
+            F.slice(F.concat(gap, a["m"]), F.lit(1), F.size(a["c"])).alias("m_out")))
+        start = F.struct(F.lit("0" * len(SYMBOLS)).alias("counts"), F.lit(0).alias("total"), F.lit(0).alias("open"),
+                         F.lit(0).alias("size"), piece_marks["most"].alias("most"), F.lit(False).alias("done"))
+        enough = F.length(F.replace(piece_marks["marks"], F.lit("1"), F.lit(""))) >= LEAST_OPEN
+        return F.when(enough, F.aggregate(steps, start, step, lambda a: a["done"])).otherwise(F.lit(False))
 
-    empty = F.struct(F.lit("0" * len(SYMBOLS[kind])).alias("counts"), F.lit(0).alias("total"), F.lit(0).alias("low"))
-    full = F.aggregate(F.sequence(F.lit(1), F.lit(WINDOW)), empty, enter)
-    low = F.when(F.length(piece) == WINDOW, full["low"]).otherwise(
-        F.aggregate(F.sequence(F.lit(WINDOW + 1), F.length(piece)), full, slide, lambda a: a["low"]))
-    return F.lit(math.log2(WINDOW)) - low / F.lit(WINDOW * 1_000_000.0)
+    return _let(F.struct(piece.alias("piece"), covered.alias("marks"), most.alias("most")), walk)
 
 
 KIND_NAMES = [k for k, _ in KINDS] + ["entropy"]
@@ -113,10 +165,10 @@ def scan(docs: DataFrame) -> DataFrame:
         allowed = F.lit(False)
         for pattern in ALLOW:
             allowed = allowed | F.regexp(piece, F.lit(pattern))
-        hexes = F.regexp(piece, F.lit(HEX_ONLY))
-        enough = F.when(hexes, _bits(piece, "hex") >= LEAST_BITS["hex"]).otherwise(
-            _bits(piece, "base64") >= LEAST_BITS["base64"])
-        return F.when(allowed, F.lit(False)).otherwise(enough)
+        bits = (F.when(F.regexp(piece, F.lit(HEX_ONLY)), LEAST_BITS["hex"])
+                .when(F.regexp(piece, F.lit(LETTERS_ONLY)), LEAST_BITS["letters"]).otherwise(LEAST_BITS["base64"]))
+        found = _reaches(piece, _covered(piece), bits)
+        return F.when(allowed, F.lit(False)).otherwise(found)
 
     assign = F.filter("assign", lambda x: F.length(F.regexp_replace(x["piece"], F.lit(f"^{ASSIGN}"), F.lit(""))) >= 6)
     return found.select("row", "text", F.array_sort(F.concat(
@@ -153,16 +205,30 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     A text without spans stays as it is, a null text null; ``n_chars``, if there is such a column,
     follows the text.
     """
-    def step(acc, x):
-        begin = F.greatest(acc["at"], x["start"])
-        part = F.substring(F.col("text"), acc["at"] + 1, begin - acc["at"])
-        more = F.when(x["end"] <= acc["at"], F.lit("")).when(x["start"] < acc["at"], F.lit("")).otherwise(
-            F.concat(part, F.lit(mark)))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], more).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("spans", start, step, lambda a: F.concat(
-        a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
+    def part(cut, begin, end):
+        """The text from ``begin`` to ``end`` out of its blocks: only those it touches are looked at."""
+        return F.when(end <= begin, F.lit("")).otherwise(F.array_join(F.transform(
+            F.sequence(F.floor(begin / _CUT).cast("int"), F.floor((end - 1) / _CUT).cast("int")),
+            lambda i: F.substring(F.get(cut, i), F.greatest(begin - i * _CUT, F.lit(0)) + 1,
+                                  F.least(end, (i + 1) * _CUT) - F.greatest(begin, i * _CUT))), ""))
+
+    def step(cut):
+        def one(acc, x):
+            more = F.when((x["end"] <= acc["at"]) | (x["start"] < acc["at"]), F.lit("")).otherwise(
+                F.concat(part(cut, acc["at"], x["start"]), F.lit(mark)))
+            return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], more).alias("out"))
+        return one
+
+    def block(cut):
+        def one(acc, spans):
+            return _let(F.aggregate(spans, F.struct(acc["at"].alias("at"), F.lit("").alias("out")), step(cut)), lambda done: F.struct(
+                done["at"].alias("at"), F.concat(acc["out"], F.array(done["out"])).alias("out")))
+        return one
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    clean = _let(F.regexp_extract_all("text", F.lit(f"(?s)(.{{1,{_CUT}}})"), F.lit(1)), lambda cut: F.aggregate(
+        _blocks(F.col("spans")), start, block(cut),
+        lambda a: F.concat(F.array_join(a["out"], ""), part(cut, a["at"], F.length("text")))))
     found = scan(docs).select("row", F.when(F.size("spans") == 0, F.col("row.text")).otherwise(clean).alias("clean"))
     columns = []
     for f in docs.schema.fields:
@@ -186,6 +252,13 @@ SELECT doc_id, {k} AS kind, i, b[i] AS before, f[i] AS piece
   FROM (SELECT doc_id, string_split_regex(t, {quoted(p)}) AS b, regexp_extract_all(t, {quoted(p)}) AS f FROM d) x,
        LATERAL (SELECT unnest(range(1, len(f) + 1)) AS i) u""" for k, p in enumerate([p for _, p in KINDS] + [CANDIDATE]))
     allowed = " OR ".join(f"regexp_matches(piece, {quoted(p)})" for p in ALLOW)
+    masked = "piece"
+    for word in PLACEHOLDERS:
+        masked = f"regexp_replace({masked}, '(?i){word}', '{'=' * len(word)}', 'g')"
+    covered = (f"array_to_string(list_transform(string_split_regex({masked}, '{MARK}'), "
+               f"lambda x: repeat(CASE WHEN regexp_matches(x, '{PLAIN_PART}') THEN '1' ELSE '0' END, length(x))), '1')")
+    least = (f"CASE WHEN regexp_matches(piece, '{HEX_ONLY}') THEN {LEAST_BITS['hex']} "
+             f"WHEN regexp_matches(piece, '{LETTERS_ONLY}') THEN {LEAST_BITS['letters']} ELSE {LEAST_BITS['base64']} END")
     names = "CASE kind " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(KIND_NAMES)) + " END"
     joined = f"string_agg({names} || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
     last = len(KINDS)
@@ -194,13 +267,14 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 m AS ({found}),
 s AS (SELECT doc_id, kind, piece, CAST(sum(length(before) + length(piece)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT)
              - length(piece) AS start, length(piece) AS size FROM m),
-c AS (SELECT DISTINCT piece FROM s WHERE kind = {last} AND NOT ({allowed})),
+c AS (SELECT DISTINCT piece, {covered} AS marks FROM s WHERE kind = {last} AND NOT ({allowed})),
 w AS (SELECT piece, i, unnest(string_split(substr(piece, i, {WINDOW}), '')) AS ch
-        FROM c, LATERAL (SELECT unnest(range(1, length(piece) - {WINDOW} + 2)) AS i) u),
+        FROM c, LATERAL (SELECT unnest(range(1, length(piece) - {WINDOW} + 2)) AS i) u
+       WHERE length(replace(substr(marks, i, {WINDOW}), '1', '')) >= {LEAST_OPEN}),
 h AS (SELECT piece, i, sum(n * log2(n)) AS low FROM (SELECT piece, i, ch, count(*) AS n FROM w GROUP BY piece, i, ch) q
        GROUP BY piece, i),
 e AS (SELECT piece FROM (SELECT piece, log2({WINDOW}) - min(low) / {WINDOW} AS bits FROM h GROUP BY piece) q
-       WHERE bits >= CASE WHEN regexp_matches(piece, '{HEX_ONLY}') THEN {LEAST_BITS["hex"]} ELSE {LEAST_BITS["base64"]} END),
+       WHERE bits >= {least}),
 k AS (SELECT doc_id, kind, start, start + size AS stop FROM s
        WHERE CASE kind WHEN 0 THEN length(regexp_replace(piece, {quoted("^" + ASSIGN)}, '')) >= 6
                        WHEN {last} THEN piece IN (SELECT piece FROM e) ELSE TRUE END),
