@@ -1,16 +1,14 @@
 """Second-order gradient boosting with L1/L2 leaf penalties and a split penalty.
 
 Spark's ``GBTClassifier`` has no alpha / lambda / gamma, so trees are grown
-here, level by level, as Spark aggregations:
+here, level by level (see :mod:`cohortml.operators.trees`):
 
 * features are cut into quantile bins once (``percentile_approx`` per
-  feature over the LONG layout);
-* per level, rows are exploded to ``(node, feature, bin, g, h)`` and summed
-  by ``groupBy(node, feature, bin)``; the histogram (nodes x features x bins)
-  is small and the split search on it runs on the driver;
-* rows move to child nodes through a column expression; leaf values are
-  ``-lr * S(G, alpha) / (H + lambda)`` with ``S`` the soft threshold;
-* the margin table is checkpointed after every tree.
+  feature over the LONG layout) and every row keeps one byte per feature;
+* per level, sums of g and h per (node, feature, bin) are added up in the tasks and searched for the
+  best cut on the executors; one row per node reaches the driver. Wide tables take their features in blocks;
+* leaf values are ``-lr * S(G, alpha) / (H + lambda)`` with ``S`` the soft threshold;
+* the margins are written with the rows every ``WRITE_EVERY`` trees; in between a pass adds the newer trees itself.
 
 g = p - y, h = p (1 - p); gain = 1/2 [S(G_L)^2/(H_L+l) + S(G_R)^2/(H_R+l) - S(G)^2/(H+l)] - gamma.
 """
@@ -20,92 +18,55 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortml.functions.hashing import hash_uniform
+from cohortml.operators import trees as TR
 
 #: Defaults of ``n_bins`` (quantile bins per feature) and ``min_child_weight`` (least Hessian sum of a child).
 N_BINS = 32
 MIN_CHILD_WEIGHT = 1.0
+WRITE_EVERY = 16
 
 
 def _soft(g, alpha):
     return np.sign(g) * np.maximum(np.abs(g) - alpha, 0.0)
 
 
-def _bins(df: DataFrame, cuts: list[list[float]], vec: str = "x") -> Column:
-    cut_arr = F.array(*[F.array(*[F.lit(float(c)) for c in cs]) for cs in cuts])
-    return F.transform(vec, lambda v, i: F.size(F.filter(F.element_at(cut_arr, i + 1), lambda c: c < v)))
-
-
-def _map(d: dict, cast: str) -> Column:
-    if not d:
-        return F.create_map().cast(f"map<int,{cast}>")
-    return F.create_map(*[x for k, v in d.items() for x in (F.lit(int(k)), F.lit(v).cast(cast))])
-
-
-def _next_node(tree: dict, node: Column, bins: Column) -> Column:
-    """One level down: a split node moves to 2n+1 (bin <= threshold) or 2n+2; a leaf stays."""
-    feat = F.element_at(_map({k: v[0] for k, v in tree["splits"].items()}, "int"), node)
-    thr = F.element_at(_map({k: v[1] for k, v in tree["splits"].items()}, "int"), node)
-    right = (F.element_at(bins, feat + F.lit(1)) > thr).cast("int")
-    return F.when(feat.isNull(), node).otherwise(F.lit(2) * node + F.lit(1) + right)
-
-
-def _leaf_value(tree: dict, node: Column) -> Column:
-    return F.coalesce(F.element_at(_map(tree["leaves"], "double"), node), F.lit(0.0))
-
-
-def route(df: DataFrame, trees: list[dict], depth: int, bins: str = "b") -> DataFrame:
-    """Add ``_n0.._nT``: the leaf of every row in every tree, one projection per level
-    (each level refers to the node columns of the level above, so expressions stay small)."""
-    names = [f"_n{t}" for t in range(len(trees))]
-    df = df.select("*", *[F.lit(0).alias(n) for n in names])
-    for _ in range(int(depth)):
-        df = df.select(*[c for c in df.columns if c not in names],
-                       *[_next_node(t, F.col(n), F.col(bins)).alias(n) for t, n in zip(trees, names)])
-    return df
+def _margins(codes: np.ndarray, start, trees: list[dict], depth: int) -> np.ndarray:
+    """``start`` plus the leaf values of ``trees`` for rows of bins."""
+    feature, cut = TR.as_arrays(trees, depth)
+    value = np.zeros(feature.shape)
+    for t, tree in enumerate(trees):
+        for node, v in tree["leaves"].items():
+            value[t, node] = v
+    out = np.array(start, np.float64) * np.ones(len(codes))
+    for f, c, v in zip(feature, cut, value):
+        out += v[TR.route(codes, f, c, depth)]
+    return out
 
 
 class BoostedTrees:
     def __init__(self, cuts, trees, base, depth):
         self.cuts, self.trees, self.base, self.depth = cuts, trees, base, depth
 
-    def _margins(self):
-        """From batches of binned rows to their margins: trees as arrays, all rows of a batch at once.
-        (As column expressions, some tens of trees outgrow the generated code.)"""
-        size = 2 ** (self.depth + 1) - 1
-        feature, cut, value = (np.zeros((len(self.trees), size), t) for t in (np.int64, np.int64, float))
-        feature -= 1
-        for t, tree in enumerate(self.trees):
-            for node, (f, b) in tree["splits"].items():
-                feature[t, node], cut[t, node] = f, b
-            for node, v in tree["leaves"].items():
-                value[t, node] = v
-        base, depth = self.base, self.depth
+    def predict(self, df: DataFrame, vec: str = "x", key: str = "row_id", label: str = "label") -> DataFrame:
+        cuts, trees, base, depth = self.cuts, self.trees, self.base, self.depth
+        d = df.select(key, label, vec)
+        schema = T.StructType([d.schema[key], d.schema[label], T.StructField("m", T.DoubleType())])
 
         def run(batches):
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                x = np.array(pdf["b"].tolist(), dtype=np.int64).reshape(len(pdf), -1)
-                out, rows = np.full(len(x), base), np.arange(len(x))
-                for f, c, v in zip(feature, cut, value):
-                    node = np.zeros(len(x), np.int64)
-                    for _ in range(depth):
-                        right = x[rows, np.maximum(f[node], 0)] > c[node]
-                        node = np.where(f[node] >= 0, 2 * node + 1 + right, node)
-                    out += v[node]
-                yield pdf.drop(columns="b").assign(m=out)
-        return run
+            import pyarrow as pa
+            for b in batches:
+                if b.num_rows:
+                    codes = TR.binned(TR.list_matrix(b.column(2)), cuts)
+                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_margins(codes, base, trees, depth))],
+                                                     names=[key, label, "m"])
 
-    def predict(self, df: DataFrame, vec: str = "x", key: str = "row_id", label: str = "label") -> DataFrame:
-        d = df.select(key, label, _bins(df, self.cuts, vec).alias("b"))
-        schema = T.StructType([*d.drop("b").schema.fields, T.StructField("m", T.DoubleType())])
         prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m")))
-        return (d.mapInPandas(self._margins(), schema).select(key, label, prob.alias("prob"))
+        return (d.mapInArrow(run, schema).select(key, label, prob.alias("prob"))
                 .withColumn("pred", (F.col("prob") > 0.5).cast("int")))
 
 
@@ -113,70 +74,109 @@ def fit_xgboost(df: DataFrame, n_estimators: int = 100, max_depth: int = 3, lear
                 reg_alpha: float = 0.0, reg_lambda: float = 1.0, subsample: float = 1.0, gamma: float = 0.0,
                 seed: int = 42, n_bins: int = N_BINS, min_child_weight: float = MIN_CHILD_WEIGHT, **_):
     from cohortml.operators.models import FittedModel
-    d0 = df.select("row_id", "x", F.col("label").cast("double").alias("y"))
-    qs = [i / n_bins for i in range(1, n_bins)]
-    cut_rows = (d0.select(F.posexplode("x").alias("f", "v")).groupBy("f")
-                .agg(F.percentile_approx("v", qs, 10000).alias("c")).collect())  # one row per feature
-    cuts = [[] for _ in cut_rows]
-    for r in cut_rows:
-        cuts[r["f"]] = sorted(set(float(c) for c in r["c"]))
+    max_depth = int(max_depth)
+    d0 = df.select("row_id", "x", F.col("label").cast("double").alias("y")).checkpoint(eager=True)
+    cuts = TR.quantile_cuts(d0, "x", n_bins)
     p0 = float(d0.agg(F.avg("y")).first()[0])
     p0 = min(max(p0, 1e-6), 1 - 1e-6)
     base = math.log(p0 / (1 - p0))
-    rows = d0.select("row_id", "y", _bins(d0, cuts).alias("b"), F.lit(base).alias("m")).checkpoint(eager=True)
-    trees = []
+    stored = T.StructType([d0.schema["row_id"], T.StructField("y", T.DoubleType()), T.StructField("codes", T.BinaryType()),
+                           T.StructField("m", T.DoubleType())])
+
+    def code(batches):
+        import pyarrow as pa
+        for b in batches:
+            if b.num_rows:
+                codes = TR.binned(TR.list_matrix(b.column(1)), cuts)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([c.tobytes() for c in codes], pa.binary()),
+                                                  pa.array(np.full(len(codes), base))], names=stored.names)
+
+    def add(newer):
+        def run(batches):
+            import pyarrow as pa
+            for b in batches:
+                if b.num_rows:
+                    m = _margins(TR.byte_matrix(b.column(2)), np.asarray(b.column(3)), newer, max_depth)
+                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(m)], names=stored.names)
+        return run
+
+    floor = max(min_child_weight, 1e-12)
+
+    def gain(left, total, _tree):
+        gl, hl, gt, ht = left[..., 0], left[..., 1], total[..., 0], total[..., 1]
+        gr, hr = gt - gl, ht - hl
+        found = 0.5 * (_soft(gl, reg_alpha) ** 2 / (hl + reg_lambda) + _soft(gr, reg_alpha) ** 2 / (hr + reg_lambda)
+                       - _soft(gt, reg_alpha) ** 2 / (ht + reg_lambda)) - gamma
+        return np.where((hl >= floor) & (hr >= floor), found, -np.inf)
+
+    def leaf(stats):
+        return float(-learning_rate * _soft(stats[0], reg_alpha) / (stats[1] + reg_lambda))
+
+    rows = d0.mapInArrow(code, stored).checkpoint(eager=True)
+    trees: list[dict] = []
+    written = 0
     for t in range(int(n_estimators)):
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m")))
-        cur = rows.withColumn("g", p - F.col("y")).withColumn("h", p * (F.lit(1.0) - p))
-        if subsample < 1.0:
-            cur = cur.where(hash_uniform(f"{seed}:{t}", "row_id") < F.lit(float(subsample)))
+        if len(trees) - written >= WRITE_EVERY:
+            rows = rows.mapInArrow(add(trees[written:]), stored).checkpoint(eager=True)
+            written = len(trees)
+        cur = rows if subsample >= 1.0 else rows.where(hash_uniform(f"{seed}:{t}", "row_id") < F.lit(float(subsample)))
         tree = {"splits": {}, "leaves": {}, "gains": {}}
-        cur = cur.withColumn("node", F.lit(0))
-        for level in range(int(max_depth)):
-            hist = (cur.select("node", "g", "h", F.posexplode("b").alias("f", "bin"))
-                    .groupBy("node", "f", "bin").agg(F.sum("g").alias("G"), F.sum("h").alias("H")).collect())
-            by_node: dict = {}
-            for r in hist:  # nodes x features x bins: bounded by the tree size and the width
-                by_node.setdefault(r["node"], {}).setdefault(r["f"], {})[r["bin"]] = (r["G"], r["H"])
-            new_splits = {}
-            for nid, feats in by_node.items():
-                best = None
-                for f, bins in feats.items():
-                    nb = max(bins) + 1
-                    G = np.zeros(nb)
-                    H = np.zeros(nb)
-                    for bi, (g, h) in bins.items():
-                        G[bi], H[bi] = g, h
-                    gl, hl = np.cumsum(G)[:-1], np.cumsum(H)[:-1]
-                    gt, ht = G.sum(), H.sum()
-                    gr, hr = gt - gl, ht - hl
-                    ok = (hl >= max(min_child_weight, 1e-12)) & (hr >= max(min_child_weight, 1e-12))
-                    if not ok.any():
-                        continue
-                    gain = 0.5 * (_soft(gl, reg_alpha) ** 2 / (hl + reg_lambda)
-                                  + _soft(gr, reg_alpha) ** 2 / (hr + reg_lambda)
-                                  - _soft(gt, reg_alpha) ** 2 / (ht + reg_lambda)) - gamma
-                    gain = np.where(ok, gain, -np.inf)
-                    j = int(np.argmax(gain))
-                    if gain[j] > 0 and (best is None or gain[j] > best[0]):
-                        best = (float(gain[j]), int(f), j)
-                if best is not None:
-                    new_splits[nid] = (best[1], best[2])
-                    tree["gains"][nid] = best[0] + gamma
-            if not new_splits:
+        stats = {}
+        nodes = [0]
+        for level in range(max_depth):
+            best: dict = {}
+            block = max(1, TR.MOST_CELLS // (len(nodes) * n_bins * 2))
+            for first in range(0, len(cuts), block):
+                some = range(first, min(len(cuts), first + block))
+                for (_, node), s in TR.best_splits(cur, _histograms(tree, nodes, some, n_bins, trees[written:], max_depth, level),
+                                                   n_bins, 2, gain).items():
+                    if node not in best or s[0] > best[node][0]:
+                        best[node] = s
+            nodes = []
+            for node, (found, feature, at, left, total) in best.items():
+                stats.setdefault(node, total)
+                if not found > 0:
+                    continue
+                tree["splits"][node] = (int(feature), int(at))
+                tree["gains"][node] = float(found) + gamma
+                for child, s in zip(TR.children(node), (left, total - left)):
+                    stats[child] = s
+                    nodes.append(child)
+            if not nodes:
                 break
-            tree["splits"].update(new_splits)
-            step = {"splits": new_splits}
-            cur = cur.withColumn("node", _next_node(step, F.col("node"), F.col("b")))
-        leaf = cur.groupBy("node").agg(F.sum("g").alias("G"), F.sum("h").alias("H")).collect()
-        for r in leaf:
-            tree["leaves"][r["node"]] = float(-learning_rate * _soft(r["G"], reg_alpha) / (r["H"] + reg_lambda))
+        tree["leaves"] = {node: leaf(s) for node, s in stats.items() if node not in tree["splits"]}
         trees.append(tree)
-        routed = route(rows, [tree], int(max_depth))
-        rows = (routed.withColumn("m", F.col("m") + _leaf_value(tree, F.col("_n0"))).drop("_n0")
-                .checkpoint(eager=True))
-    model = BoostedTrees(cuts, trees, base, int(max_depth))
-    return FittedModel("xgboost", model, {"n_estimators": n_estimators, "max_depth": max_depth})
+    return FittedModel("xgboost", BoostedTrees(cuts, trees, base, max_depth), {"n_estimators": n_estimators, "max_depth": max_depth})
+
+
+def _histograms(tree, nodes, features, n_bins, newer, depth, level):
+    """Sums of g and h per (open node, feature, bin) of a task's rows."""
+    feature, cut = TR.as_arrays([tree], level)
+    slots = np.full(2 ** (level + 1) - 1, -1, np.int64)
+    slots[nodes] = np.arange(len(nodes))
+    width, first = len(features), features.start
+
+    def run(batches):
+        g_cells = np.zeros(len(nodes) * width * n_bins)
+        h_cells = np.zeros_like(g_cells)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            codes = TR.byte_matrix(b.column(2))
+            p = 1.0 / (1.0 + np.exp(-_margins(codes, np.asarray(b.column(3)), newer, depth)))
+            at = slots[TR.route(codes, feature[0], cut[0], level)]
+            mine = np.flatnonzero(at >= 0)
+            if not len(mine):
+                continue
+            g, h = (p - np.asarray(b.column(1)))[mine], (p * (1.0 - p))[mine]
+            where = ((at[mine, None] * width + np.arange(width)) * n_bins + codes[mine, first:first + width]).ravel()
+            g_cells += np.bincount(where, weights=np.repeat(g, width), minlength=len(g_cells))
+            h_cells += np.bincount(where, weights=np.repeat(h, width), minlength=len(h_cells))
+        cells = np.stack([g_cells, h_cells], axis=-1).reshape(len(nodes) * width, n_bins * 2)
+        used = np.flatnonzero(cells.any(axis=1))
+        if len(used):
+            yield np.zeros(len(used), np.int64), np.array(nodes)[used // width], used % width + first, cells[used]
+    return run
 
 
 def split_gain_importance(model: BoostedTrees, n_features: int) -> list[float]:

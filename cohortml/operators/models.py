@@ -57,7 +57,7 @@ class FittedModel:
             return p.withColumn("pred", (F.col("prob") > 0.5).cast("int"))
         if self.family == "ada":
             return _ada_predict(self, df, vec, key, label)
-        if self.family == "xgboost":
+        if self.family in ("xgboost", "rf", "et"):
             return self.model.predict(df, vec, key, label)
         if self.family == "svc":
             scored = self.model.transform(self.margin_features(df, vec))
@@ -138,26 +138,20 @@ def fit_svc(df: DataFrame, C: float = 1.0, kernel: str = "linear", n_components:
     return FittedModel("svc", model, {"C": C, "kernel": kernel}, extra)
 
 
-def fit_rf(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, min_samples_leaf: int = 5,
+def fit_rf(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, min_samples_split: int = 5, min_samples_leaf: int = 5,
            max_samples: float = 1.0, seed: int = 42, **_) -> FittedModel:
-    d = with_weights(df)
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                                numTrees=int(n_estimators), maxDepth=int(max_depth),
-                                minInstancesPerNode=int(min_samples_leaf), subsamplingRate=float(max_samples),
-                                seed=int(seed))
-    return FittedModel("rf", rf.fit(to_ml(d)), {"n_estimators": n_estimators, "max_depth": max_depth})
+    """Every tree on a class-balanced bootstrap of ``max_samples`` times the smallest class, from each class."""
+    from cohortml.operators.forest import grow_forest
+    m = grow_forest(df, n_estimators, max_depth, min_samples_split, min_samples_leaf, max_samples, seed=int(seed))
+    return FittedModel("rf", m, {"n_estimators": n_estimators, "max_depth": max_depth})
 
 
-def fit_et(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, min_samples_leaf: int = 5,
+def fit_et(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, min_samples_split: int = 5, min_samples_leaf: int = 5,
            seed: int = 42, **_) -> FittedModel:
-    """Extremely randomised trees, approximated: no bootstrap, sqrt feature subsets per node."""
-    d = with_weights(df)
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                                numTrees=int(n_estimators), maxDepth=int(max_depth),
-                                minInstancesPerNode=int(min_samples_leaf), bootstrap=False,
-                                featureSubsetStrategy="sqrt", seed=int(seed))
-    m = rf.fit(to_ml(d))
-    return FittedModel("rf", m, {"n_estimators": n_estimators, "max_depth": max_depth})
+    """Extremely randomised trees: all rows, one uniform cut per node and feature, balanced class weights."""
+    from cohortml.operators.forest import grow_forest
+    m = grow_forest(df, n_estimators, max_depth, min_samples_split, min_samples_leaf, bootstrap=False, random_cuts=True, seed=int(seed))
+    return FittedModel("et", m, {"n_estimators": n_estimators, "max_depth": max_depth})
 
 
 def fit_mlp(df: DataFrame, hidden=(8,), learning_rate: float = 0.03, batch_size: int = 32, seed: int = 42,
@@ -264,7 +258,7 @@ def draw_params(family: str, trial: int, seed: int = 42) -> dict:
         return {"C": _log_uniform(u(), 1e-3, 1.0), "l1_ratio": u()}
     if family in ("rf", "et"):
         p = {"n_estimators": _step(u(), 50, 200, 10), "max_depth": _step(u(), 2, 6),
-             "min_samples_leaf": _step(u(), 5, 20)}
+             "min_samples_split": _step(u(), 5, 20), "min_samples_leaf": _step(u(), 5, 20)}
         if family == "rf":
             p["max_samples"] = 0.5 + 0.5 * u()
         return p
@@ -337,7 +331,9 @@ def embed_l1_svc(df: DataFrame, C: float = 1.0, steps: int = 500, tol: float = 1
 
 
 def embed_rf(df: DataFrame, n_estimators: int = 100, max_depth: int = 4, seed: int = 42) -> list[float]:
-    return [float(v) for v in fit_rf(df, n_estimators, max_depth, seed=seed).model.featureImportances.toArray()]
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=int(n_estimators),
+                                maxDepth=int(max_depth), minInstancesPerNode=5, seed=int(seed))
+    return [float(v) for v in rf.fit(to_ml(with_weights(df))).featureImportances.toArray()]
 
 
 def embed_gbt(df: DataFrame, n_estimators: int = 50, seed: int = 42, **kw) -> list[float]:

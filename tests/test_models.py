@@ -22,7 +22,7 @@ def separable(spark):
 
 
 @pytest.mark.parametrize("family,params", [
-    ("logistic", {"C": 1.0, "l1_ratio": 0.5}), ("svc", {"C": 1.0}), ("rf", {"n_estimators": 20}),
+    ("logistic", {"C": 1.0, "l1_ratio": 0.5}), ("svc", {"C": 1.0}), ("rf", {"n_estimators": 20}), ("et", {"n_estimators": 20}),
     ("gdbt", {"n_estimators": 10}), ("knn", {"k": 5}), ("ada", {"n_estimators": 5, "learning_rate": 0.5}),
     ("xgboost", {"n_estimators": 5, "learning_rate": 0.3}), ("mlp", {"hidden": (4,), "learning_rate": 0.1}),
 ])
