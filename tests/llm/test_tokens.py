@@ -142,3 +142,41 @@ def test_windows_meet_their_targets(spark):
 
 def test_packing_is_the_same_again(spark, messy):
     assert plain(packing.pack(messy)) == plain(packing.pack(messy))
+
+
+def test_windows_of_one_long_document_take_linear_time():
+    import time
+    mixer = packing.Mixer({"a": 1.0}, 2048)
+    ids = bytes(4 * 20_000_000)
+    begin = time.time()
+    mixer.add("a", 1, 0, ids, 20_000_000)
+    n = 0
+    while mixer.total >= 2048:
+        n += sum(len(p[3]) >> 2 for p in mixer.fill(2048))
+    assert time.time() - begin < 10 and n + mixer.total == 20_000_000
+
+
+def test_default_targets_are_token_shares(spark):
+    rows = [(i, "a " * 300, "en", "dense") for i in range(20)] + [(100 + i, "zqxj" * 150, "en", "sparse") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    shares = packing.mixture(packing.tokenised(df, "byte_bpe_50k.json", 1, "source"))
+    counts = {r.doc_id: r.n_tokens + 1 for r in token_counts.token_counts(df).collect()}
+    total = sum(counts.values())
+    assert abs(shares["dense"] - sum(n for i, n in counts.items() if i < 100) / total) < 1e-12
+    assert abs(sum(shares.values()) - 1) < 1e-12
+
+
+def test_ids_of_any_marks_are_the_library_s():
+    """Words that tiktoken merges, words that the library takes, white space of all kinds, special strings."""
+    import random
+    from cohortml.llm.bpe import PieceEncoder
+    from cohortml.llm.common import vocabulary_path
+    rng = random.Random(1)
+    signs = "abzAZ019,.;!?'\"-_/()[]{}<>@#$%^&*+=~`|\\\u00e9\u00df\u00c0\u024f\u00d7\u00f7\u00f1\u4e2d\U0001f642\n\t  "
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(300))) for _ in range(2000)]
+    texts += ["", " ", " a", "a ", "a  b", "x" * 5000, "it's they'll", "a <|endoftext|> b"]
+    encoder = PieceEncoder(vocabulary_path("byte_bpe_50k.json"))
+    assert encoder.merger is not None
+    for i in range(0, len(texts), 300):
+        for text, got in zip(texts[i:i + 300], encoder.encode(texts[i:i + 300])):
+            assert got == pack_ids(encoder.library.encode(text, add_special_tokens=False).ids)
