@@ -2,11 +2,13 @@
 
 Lines are normalised (lower case, one space between words) and hashed; for every host the number of
 distinct documents that hold a line is counted; lines in more documents than the host's limit are
-removed; a document that loses too much is depleted and rejected. Copies of a document count as one
-document: documents are told apart by the 24 smallest hashes of their 5-word windows, all of which
-have to agree. Exact copies agree always and near copies, of which a share ``s`` of the windows is
-common, with probability ``s ** 24``, so that a much copied text is left to deduplication and does
-not make its own lines look like boilerplate; pages of 95 % boilerplate mostly stay apart. A line
+removed; a document that loses too much is depleted and rejected. Documents are distinct if their whole
+normalised texts differ (by a 64-bit hash), so exact copies count once and near copies each.
+
+With ``same="sketch"`` near copies count once too: documents are then told apart by the 24 smallest hashes of
+their 5-word windows, all of which have to agree. Near copies, of which a share ``s`` of the windows is
+common, agree with probability ``s ** 24``, so a much copied text does not make its own lines look like
+boilerplate, at the price that pages with very few words of their own count as copies of each other. A line
 counts for a group of copies if any of them holds it.
 """
 
@@ -39,12 +41,14 @@ def _covered(places: Column, width: int) -> Column:
         (acc["n"] + i + width - F.greatest(acc["end"], i)).alias("n"), (i + width).alias("end")), lambda a: a["n"])
 
 
-def features(docs: DataFrame, host: str = "source", width: int = 5) -> DataFrame:
-    """One row per row of ``docs`` with its counts, its line hashes and its sketch; no shuffle.
+def features(docs: DataFrame, host: str = "source", width: int = 5, same: str = "text") -> DataFrame:
+    """One row per row of ``docs`` with its counts, its line hashes and the ``document`` it is; no shuffle.
 
-    ``lines`` is ``array(struct(h, w))``: hash and number of words of every line with a word;
+    ``same``: rows are one document if they have equal normalised ``text``, or an equal ``sketch``. ``lines`` is ``array(struct(h, w))``: hash and number of words of every line with a word;
     ``text_key`` is a hash of the text.
     """
+    if same not in ("text", "sketch"):
+        raise ValueError(f"same is text or sketch, not {same!r}")
     t = docs.select("doc_id", F.col(host).cast("string").alias("host"), text_of().alias("text"))
     t = t.withColumn("parts", _lines(F.col("text")))
     t = t.select(
@@ -66,10 +70,12 @@ def features(docs: DataFrame, host: str = "source", width: int = 5) -> DataFrame
                      | F.coalesce(F.get("sorted", k + 1)["s"] == x["s"], F.lit(False)))
     repeat = F.when(F.size("sorted") == 0, F.lit(0)).otherwise(
         _covered(F.array_sort(F.transform(again, lambda x: x["i"])), width))
+    whole = F.xxhash64(F.lower(F.array_join("words", " ")))
+    sketch = F.when(F.size("windows") == 0, whole).otherwise(
+        F.xxhash64(F.slice(F.sort_array(F.array_distinct("windows")), 1, MINIMA)))
     return t.select(
         "doc_id", "host", "lines", F.xxhash64("text").alias("text_key"),
-        F.when(F.size("windows") == 0, F.xxhash64("text")).otherwise(
-            F.xxhash64(F.slice(F.sort_array(F.array_distinct("windows")), 1, MINIMA))).alias("sketch"),
+        (whole if same == "text" else sketch).alias("document"),
         F.col("n").cast("long").alias("n_words"),
         F.length(F.translate("text", SEPARATORS, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -83,12 +89,12 @@ def frequent_lines(found: DataFrame, share: float = 0.01, least: int = 50) -> Da
     """``(host, h, n_docs)``: lines in more than ``share`` of a host's distinct documents and more
     than ``least`` of them. A null host is a host of its own.
 
-    Lines are combined by (host, sketch, hash) first, which unites the lines of copies, and by (host,
+    Lines are combined by (host, document, hash) first, which unites the lines of copies, and by (host,
     hash) next, both with partial aggregates, so neither a much copied text nor a very common line
     gathers in one task.
     """
-    per_host = found.select("host", "sketch").distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    held = found.select("host", "sketch", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    per_host = found.select("host", "document").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    held = found.select("host", "document", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
     lines = (held.distinct().groupBy("host", "h").agg(F.count("*").alias("n_docs")).where(F.col("n_docs") > least))
     limit = per_host.select(F.col("host").alias("_host"), (F.col("docs") * F.lit(share)).alias("limit"))
     return (lines.join(limit, F.col("host").eqNullSafe(F.col("_host")))
@@ -97,11 +103,12 @@ def frequent_lines(found: DataFrame, share: float = 0.01, least: int = 50) -> Da
 
 def judge(found: DataFrame, share: float = 0.01, least: int = 50, min_words: int = 10, max_repeat: int = 20,
           min_left: float = 0.3) -> DataFrame:
-    """``found`` (materialised features with a ``tag``) with ``base_failed, lost_words, kept``."""
+    """``found`` (materialised features with a ``tag``) with ``base_failed, lost_words, kept`` and ``bad``, the
+    hashes of the row's frequent lines (null: none)."""
     frequent = frequent_lines(found, share, least).select(F.col("host").alias("_host"), F.col("h").alias("_h"))
     each = found.select("tag", "host", F.explode("lines").alias("x")).select("tag", "host", "x.h", "x.w")
     lost = (each.join(frequent, (F.col("h") == F.col("_h")) & F.col("host").eqNullSafe(F.col("_host")))
-            .groupBy("tag").agg(F.sum("w").alias("lost_words")))
+            .groupBy("tag").agg(F.sum("w").alias("lost_words"), F.collect_set("h").alias("bad")))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     left = F.col("n_words") - F.col("lost_words")
     depleted = (F.col("lost_words") > 0) & ((left < min_words) | (left < F.lit(min_left) * F.col("n_words")))
@@ -109,12 +116,12 @@ def judge(found: DataFrame, share: float = 0.01, least: int = 50, min_words: int
             .withColumn("base_failed", failed).withColumn("kept", ~failed & ~depleted))
 
 
-def _found(docs: DataFrame, host: str) -> DataFrame:
+def _found(docs: DataFrame, host: str, same: str) -> DataFrame:
     """The features, written once, with a ``tag`` per row."""
-    return materialise(features(docs, host).withColumn("tag", F.monotonically_increasing_id()))
+    return materialise(features(docs, host, same=same).withColumn("tag", F.monotonically_increasing_id()))
 
 
-def quality(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+def quality(docs: DataFrame, host: str = "source", same: str = "text", **limits) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, the counts, ``base_failed, kept, lost_words``.
 
     ``kept`` is false for texts under ``min_words`` words, with more than ``max_repeat`` percent of
@@ -122,32 +129,57 @@ def quality(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
     the words left without the frequent lines of their host. Null and empty texts have no words and
     fail. Repeated rows are judged each; an empty table gives an empty one.
     """
-    return judge(_found(docs, host), **limits).select("doc_id", *COUNTS, "base_failed", "kept", "lost_words")
+    return judge(_found(docs, host, same), **limits).select("doc_id", *COUNTS, "base_failed", "kept", "lost_words")
 
 
-def keep_good(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns and texts as they are."""
-    bad = judge(_found(docs, host), **limits).where(~F.col("kept"))
-    bad = bad.select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_key").alias("_key")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.col(host).cast("string").alias("host"),
+def _without(text: Column, bad: Column) -> Column:
+    """``text`` without the lines whose hash is in ``bad``."""
+    def good(line):
+        words = F.filter(F.split(line, f"{SPACE}+"), lambda w: w != "")
+        return (F.size(words) == 0) | ~F.array_contains(bad, F.xxhash64(F.lower(F.array_join(words, " "))))
+
+    return F.array_join(F.filter(F.split(text, "\n"), good), "\n")
+
+
+def clean(docs: DataFrame, host: str = "source", same: str = "text", reject: bool = True, remove: bool = True, **limits) -> DataFrame:
+    """``docs`` without the rejected rows and, in the texts that stay, without the frequent lines of their host.
+
+    ``reject`` or ``remove`` alone does one of both. Columns stay as they are; ``n_chars``, if there is one,
+    follows a changed text. Null and empty texts are rejected (null texts stay null without ``reject``). Rows equal in id,
+    host and text are judged alike; an empty table gives an empty one. The lines to remove come with the row's verdict, so a
+    text is searched for its own frequent lines alone.
+    """
+    judged = judge(_found(docs, host, same), **limits).where(~F.col("kept") | F.col("bad").isNotNull())
+    verdict = (judged.select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_key").alias("_key"),
+                             (~F.col("kept")).alias("_rejected"), F.array_sort("bad").alias("_bad"))
+               .dropDuplicates(["_id", "_host", "_key"]))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.col(host).cast("string").alias("host"), text_of().alias("text"),
                        F.xxhash64(text_of()).alias("text_key"))
-    same = ((F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-            & F.col("host").eqNullSafe(F.col("_host")))
-    return rows.join(bad, same, "left_anti").select("row.*")
+    same_row = ((F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+                & F.col("host").eqNullSafe(F.col("_host")))
+    rows = rows.join(verdict, same_row, "left")
+    if reject:
+        rows = rows.where(~F.coalesce("_rejected", F.lit(False)))
+    if not remove:
+        return rows.select("row.*")
+    changed = F.col("_bad").isNotNull() & F.col("row.text").isNotNull()
+    rows = rows.withColumn("_clean", F.when(changed, _without(F.col("text"), F.col("_bad"))).otherwise(F.col("row.text")))
+    columns = []
+    for f in docs.schema.fields:
+        value = F.col("row").getField(f.name)
+        if f.name == "text":
+            value = F.col("_clean")
+        elif f.name == "n_chars":
+            value = F.when(changed, F.length("_clean").cast(f.dataType)).otherwise(value)
+        columns.append(value.alias(f.name))
+    return rows.select(*columns)
 
 
-def remove_lines(docs: DataFrame, host: str = "source", share: float = 0.01, least: int = 50) -> DataFrame:
-    """``docs`` with the frequent lines of each host taken out of the texts (null texts stay null)."""
-    found = materialise(features(docs, host))
-    frequent = frequent_lines(found, share, least).groupBy("host").agg(F.collect_set("h").alias("bad"))
-    t = docs.select(F.struct("*").alias("row"), F.col(host).cast("string").alias("host"), F.col("text").alias("text"))
-    t = t.join(frequent.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")), "left")
+def keep_good(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns and texts as they are (null, repeated and no rows: see :func:`clean`)."""
+    return clean(docs, host, remove=False, **limits)
 
-    def good(line):
-        words = F.filter(F.split(line, f"{SPACE}+"), lambda w: w != "")
-        return (F.size(words) == 0) | ~F.array_contains("bad", F.xxhash64(F.lower(F.array_join(words, " "))))
 
-    clean = F.when(F.col("bad").isNull(), F.col("text")).otherwise(
-        F.array_join(F.filter(F.split("text", "\n"), good), "\n"))
-    return t.select(*[clean.alias("text") if f.name == "text" else F.col("row").getField(f.name).alias(f.name)
-                      for f in docs.schema.fields])
+def remove_lines(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
+    """All rows of ``docs`` with the frequent lines of each host taken out of the texts (null, repeated and no rows: see :func:`clean`)."""
+    return clean(docs, host, reject=False, **limits)

@@ -52,19 +52,59 @@ def corpus(rng):
 def test_frequent_lines_deplete(spark):
     rows, line = corpus(random.Random(1))
     df = frame(spark, rows)
-    out = {r.doc_id: r for r in quality.quality(df, least=20).collect()}
+    out = {r.doc_id: r for r in quality.quality(df, least=20, same="sketch").collect()}
     assert sorted(i for i, r in out.items() if not r.kept) == list(range(200, 210))
     assert all(out[i].lost_words == 20 for i in range(110)) and all(out[200 + i].lost_words == 40 for i in range(10))
     # copies of one text don't make its own lines frequent; another host has its own counts
     assert all(out[i].lost_words == 0 for i in [*range(300, 330), *range(400, 430), 500, 501, 502])
-    kept = quality.keep_good(df, least=20)
+    kept = quality.keep_good(df, least=20, same="sketch")
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(i for i in out if not 200 <= i < 210)
-    clean = {r.doc_id: r.text for r in quality.remove_lines(df, least=20).collect()}
+    clean = {r.doc_id: r.text for r in quality.remove_lines(df, least=20, same="sketch").collect()}
     for i, t, _, host in rows:
         want = [x for x in t.split("\n") if host == "b" or x.lower() != line.lower()]
         assert clean[i] == "\n".join(want)
 
 
+def verdicts(rows, share=0.01, least=50):
+    """By brute force: doc_id to (lost words, kept, clean text), documents counted by their whole normalised text."""
+    def normal(x):
+        return " ".join(x.lower().split())
+
+    documents, holders = {}, {}
+    for _, t, _, host in rows:
+        t = t or ""
+        documents.setdefault(host, set()).add(normal(t))
+        for x in t.split("\n"):
+            if x.split():
+                holders.setdefault((host, normal(x)), set()).add(normal(t))
+    bad = {k for k, d in holders.items() if len(d) > least and len(d) > share * len(documents[k[0]])}
+    out = {}
+    for i, t, _, host in rows:
+        t = t or ""
+        lost = sum(len(x.split()) for x in t.split("\n") if (host, normal(x)) in bad)
+        left = len(t.split()) - lost
+        kept = not counts(t)[-1] and not (lost and (left < 10 or left < 0.3 * len(t.split())))
+        out[i] = (lost, kept, "\n".join(x for x in t.split("\n") if (host, normal(x)) not in bad))
+    return out
+
+
+def test_verdict_equals_brute_force(spark):
+    """Near copies are documents of their own, exact copies are not; whatever the case and spacing of a line."""
+    rng = random.Random(9)
+    rows, line = corpus(random.Random(1))
+    rows += [(900 + i, words(rng, 40, 5000) + "\n  " + line.upper().replace(" ", "  "), "en", "c") for i in range(60)]
+    rows += [(1000 + i, words(rng, 8) + "\n\n" + line, "en", None) for i in range(60)]
+    want = verdicts(rows, least=25)
+    df = frame(spark, rows)
+    got = {r.doc_id: (r.lost_words, r.kept) for r in quality.quality(df, least=25).collect()}
+    assert got == {i: v[:2] for i, v in want.items()}
+    assert any(lost for lost, _ in got.values()) and not got[205][1] and not got[1001][1]
+    kept = {r.doc_id: (r.text, r.n_chars) for r in quality.clean(df, least=25).collect()}
+    assert kept == {i: (t, len(t)) for i, (_, k, t) in want.items() if k}
+    everything = quality.remove_lines(df, least=25)
+    assert everything.columns == df.columns and {r.doc_id: r.text for r in everything.collect()} == {i: t for i, (_, _, t) in want.items()}
+
+
 def test_boilerplate_pages_are_distinct_documents(spark):
     """100 pages of 95 % boilerplate at the production limits; merged copies unite their lines."""
     rng = random.Random(2)
@@ -77,7 +117,7 @@ def test_boilerplate_pages_are_distinct_documents(spark):
     # the same windows in other lines: one document, with the lines of both
     text = words(rng, 40, 5000).split()
     both = [(1, " ".join(text), "en", "b"), (2, " ".join(text[:20]) + "\n" + " ".join(text[20:]), "en", "b")]
-    found = quality.features(frame(spark, both))
+    found = quality.features(frame(spark, both), same="sketch")
     assert [r.n_docs for r in quality.frequent_lines(found, 0.01, 0).collect()] == [1, 1, 1]
 
 
