@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortml.llm.common import remove_path
 from cohortml.llm.exact_dedup import drop_exact_copies
 from cohortml.llm.packing import pack
-from cohortml.llm.quality import keep_good
+from cohortml.llm.quality import clean
 from cohortml.llm.secret_scan import redact
 from cohortml.llm.simhash import drop_near_copies
 from cohortml.session import ensure_checkpoint_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules; texts stay as they are."""
-    return keep_good(docs)
+    """Documents that pass the rules, without the lines that are too frequent on their host. Null and empty texts go."""
+    return clean(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
