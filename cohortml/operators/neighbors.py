@@ -3,20 +3,23 @@
 Vectors are ``array<double>`` columns. The reference side is split into
 Voronoi cells around ``P`` pivots (reference rows drawn in hash order; ``P``
 is bounded, and so is what is broadcast: ``P x d`` pivot coordinates plus
-``P x P`` pivot distances). A query is paired only with the cells that can
+``P x P`` pivot distances). Once a cell has more than ``ROWS_PER_LEAF`` rows, cells are split again
+around pivots of their own (up to ``P`` each, a table that travels with the cell's rows and
+queries in chunks), so that the parts stay small while the rows grow. A query is paired only with the parts that can
 hold one of its ``k`` nearest neighbours:
 
 * an upper bound ``r_q`` of the k-th neighbour distance is the k-th
-  smallest distance to the pivots (pivots are reference rows; one more when
+  smallest distance to the pivots, then to the pivots of the query's own cell (pivots are reference rows; one more when
   the query itself may be a pivot);
-* a cell ``c`` is skipped when a lower bound of the distance from ``q`` to
+* a part ``c`` is skipped when a lower bound of the distance from ``q`` to
   any of its rows exceeds ``r_q``: ``d(q, p_c) - radius_c`` (triangle
-  inequality) or the distance to the bisecting hyperplane between ``q``'s own
-  pivot and ``p_c`` (every row of ``c`` lies beyond it).
+  inequality) or the distance to the bisecting hyperplane between the pivot closest to ``q``
+  and ``p_c`` (every row of ``c`` lies beyond it).
 
-The candidate pairs are scored with JVM array expressions; the top ``k`` is
-kept first per (query, cell) and then per query. Ties go to the smaller
-reference key. The result is exact.
+Pairs are scored with NumPy in groups of at most ``QUERY_CHUNK`` queries and about ``ROW_CHUNK`` rows, portions
+of bounded size at a time; the top ``k`` is
+kept first per group and then per query. Ties go to the smaller
+reference key. The result is exact, whatever the number of levels.
 """
 
 from __future__ import annotations
@@ -33,6 +36,11 @@ from cohortml.functions.hashing import hash_int, hash_uniform
 
 MAX_PIVOTS = 1024
 ROWS_PER_CELL = 64
+#: Rows of a cell over which cells are split again, and the rows aimed at per part then.
+ROWS_PER_LEAF = 2048
+ROWS_PER_PART = 256
+#: Rows of a cell that meet its pivots, or queries of a part, in one group.
+ROW_CHUNK = 4096
 
 
 def sq_dist(a: Column, b: Column) -> Column:
@@ -74,71 +82,150 @@ def _assign_cells(ref: DataFrame, vec: str, pivots_b) -> DataFrame:
     return ref.mapInPandas(fn, out_schema)
 
 
-def _candidate_cells(query: DataFrame, vec: str, pivots_b, radii_b, k_bound: int) -> DataFrame:
-    """Explode each query row into the cells that may hold one of its neighbours."""
-    out_schema = Tp.StructType(query.schema.fields + [Tp.StructField("cell", Tp.IntegerType())])
+def _kth(d: np.ndarray, k: int) -> np.ndarray:
+    """The k-th smallest value of every row, infinite where there are fewer."""
+    return np.partition(d, k - 1, axis=1)[:, k - 1] if k <= d.shape[1] else np.full(len(d), np.inf)
+
+
+def _reachable(dq: np.ndarray, between: np.ndarray, radius: np.ndarray, rq: np.ndarray) -> np.ndarray:
+    """Which parts (columns: distances to their pivots) may hold a row within ``rq`` of a query."""
+    i = np.arange(len(dq))
+    own = dq.argmin(axis=1)
+    sep = between[own]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = np.where(sep > 0, (dq ** 2 - dq[i, own][:, None] ** 2) / (2.0 * sep), 0.0)
+    low = np.maximum(np.maximum(plane, dq - radius[None, :]), 0.0)
+    slack = rq * 1e-9 + 1e-12  # bounds are only used to skip; err on keeping parts
+    return (low <= (rq + slack)[:, None]) & (radius > -np.inf)[None, :]
+
+
+def _vectors(column) -> np.ndarray:
+    return np.array(column.tolist(), dtype=float).reshape(len(column), -1)
+
+
+def _own_cell(query: DataFrame, vec: str, pivots_b, k_bound: int) -> DataFrame:
+    """``cell``: the cell of the closest pivot; ``_rq``: the k-th smallest distance to a pivot."""
+    schema = Tp.StructType(query.schema.fields + [Tp.StructField("cell", Tp.IntegerType()), Tp.StructField("_rq", Tp.DoubleType())])
 
     def fn(batches):
-        piv = pivots_b.value
-        radius = radii_b.value
-        dpp = _pivot_distances(piv, piv)
         for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.array(pdf[vec].tolist(), dtype=float).reshape(len(pdf), -1)
-            dq = _pivot_distances(x, piv)
-            own = dq.argmin(axis=1)
-            if k_bound <= dq.shape[1]:
-                rq = np.partition(dq, k_bound - 1, axis=1)[:, k_bound - 1]
-            else:
-                rq = np.full(len(pdf), np.inf)
-            d_own = dq[np.arange(len(pdf)), own]
-            sep = dpp[own]  # (rows, P) distances between own pivot and the others
-            with np.errstate(divide="ignore", invalid="ignore"):
-                lb_plane = np.where(sep > 0, (dq ** 2 - d_own[:, None] ** 2) / (2.0 * sep), 0.0)
-            lb_ball = dq - radius[None, :]
-            lb = np.maximum(np.maximum(lb_plane, lb_ball), 0.0)
-            slack = rq * 1e-9 + 1e-12  # bounds are only used to skip; err on keeping cells
-            keep = (lb <= (rq + slack)[:, None]) & (radius > -np.inf)[None, :]
-            keep[np.arange(len(pdf)), own] = True
-            rows, cells = np.nonzero(keep)
-            out = pdf.iloc[rows].copy()
-            out["cell"] = cells.astype("int32")
-            yield out
-    return query.mapInPandas(fn, out_schema)
+            if len(pdf):
+                dq = _pivot_distances(_vectors(pdf[vec]), pivots_b.value)
+                yield pdf.assign(cell=dq.argmin(axis=1).astype("int32"), _rq=_kth(dq, k_bound))
+    return query.mapInPandas(fn, schema)
 
 
+def _candidate_cells(query: DataFrame, vec: str, pivots_b, radii_b) -> DataFrame:
+    """Each query (with its ``_rq``) once per cell that may hold one of its neighbours."""
+    schema = Tp.StructType(query.schema.fields + [Tp.StructField("cell", Tp.IntegerType())])
+
+    def fn(batches):
+        piv = pivots_b.value
+        between = _pivot_distances(piv, piv)
+        for pdf in batches:
+            if len(pdf):
+                keep = _reachable(_pivot_distances(_vectors(pdf[vec]), piv), between, radii_b.value, pdf["_rq"].to_numpy())
+                rows, cells = np.nonzero(keep)
+                yield pdf.iloc[rows].assign(cell=cells.astype("int32"))
+    return query.mapInPandas(fn, schema)
+
+
+# ------------------------------------------------------------ the second level
+def _by_chunk(rows: DataFrame, key: str, pivots: DataFrame):
+    """Rows of a cell in chunks of about ``ROW_CHUNK``, cogrouped with a copy of the cell's pivots each."""
+    sizes = rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(ROW_CHUNK))).cast("int").alias("_chunks"))
+    sizes = F.broadcast(sizes)  # one row per cell: at most MAX_PIVOTS
+    dealt = rows.join(sizes, "cell").withColumn("_chunk", F.pmod(hash_int("chunk", key), F.col("_chunks").cast("long"))).drop("_chunks")
+    copies = pivots.join(sizes, "cell").withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_chunks").cast("long") - 1))).drop("_chunks")
+    return dealt.groupBy("cell", "_chunk").cogroup(copies.groupBy("cell", "_chunk"))
+
+
+def _split_cells(cells: DataFrame, pivots: np.ndarray, sizes: dict):
+    """``(rows with their part ``sub``, pivots (cell, sub, _pv, radius))``; parts are numbered within the cell."""
+    spark = cells.sparkSession
+    share = spark.createDataFrame([(int(c), min(MAX_PIVOTS, math.ceil(n / ROWS_PER_PART)) / n) for c, n in sizes.items()],
+                                  "cell int, share double")
+    first = spark.createDataFrame([(int(c), [float(v) for v in pivots[c]], None) for c in sizes], "cell int, _pv array<double>, _k string")
+    # the cell's own pivot is one; rows equal to it are not drawn again, so no reference row is counted twice
+    drawn = (cells.where("dpiv > 0").join(F.broadcast(share), "cell").where(hash_uniform("sub", "nn_key") < F.col("share"))
+             .select("cell", F.col("_rx").cast("array<double>").alias("_pv"), F.col("nn_key").cast("string").alias("_k")))
+    table = first.unionByName(drawn).withColumn(
+        "sub", F.row_number().over(Window.partitionBy("cell").orderBy("_k"))).drop("_k").checkpoint(eager=True)
+    schema = Tp.StructType([f for f in cells.schema.fields if f.name != "dpiv"]
+                           + [Tp.StructField("sub", Tp.IntegerType()), Tp.StructField("dsub", Tp.DoubleType())])
+
+    def assign(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame({f.name: [] for f in schema.fields})
+        d = _pivot_distances(_vectors(rows["_rx"]), _vectors(near["_pv"]))
+        at = d.argmin(axis=1)
+        return rows.assign(sub=near["sub"].to_numpy()[at].astype("int32"), dsub=d[np.arange(len(d)), at])[[f.name for f in schema.fields]]
+
+    parts = _by_chunk(cells, "nn_key", table).applyInPandas(assign, schema).checkpoint(eager=True)
+    radius = parts.groupBy("cell", "sub").agg(F.max("dsub").alias("radius"))
+    return parts, table.join(radius, ["cell", "sub"], "left").checkpoint(eager=True)
+
+
+def _tighten(query: DataFrame, key: str, vec: str, table: DataFrame, k_bound: int) -> DataFrame:
+    """``_rq`` no larger than the k-th smallest distance to a pivot of the query's own cell."""
+    schema = Tp.StructType([f for f in query.schema.fields if f.name != "cell"])
+
+    def fn(q: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if len(q) and len(near):
+            q = q.assign(_rq=np.minimum(q["_rq"].to_numpy(), _kth(_pivot_distances(_vectors(q[vec]), _vectors(near["_pv"])), k_bound)))
+        return q[[f.name for f in schema.fields]]
+
+    return _by_chunk(query, key, table.select("cell", "_pv")).applyInPandas(fn, schema)
+
+
+def _candidate_parts(cand: DataFrame, key: str, vec: str, table: DataFrame) -> DataFrame:
+    """Each (query, cell) once per part of the cell that may hold a neighbour."""
+    schema = Tp.StructType([cand.schema[key], cand.schema[vec], cand.schema["cell"], Tp.StructField("sub", Tp.IntegerType())])
+    names = [f.name for f in schema.fields]
+
+    def fn(q: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(near):
+            return pd.DataFrame({n: [] for n in names})
+        piv = _vectors(near["_pv"])
+        radius = near["radius"].to_numpy(dtype=float, na_value=-np.inf)  # a part without rows is never a candidate
+        radius = np.where(np.isnan(radius), -np.inf, radius)
+        between = _pivot_distances(piv, piv)
+        rows, at = np.nonzero(_reachable(_pivot_distances(_vectors(q[vec]), piv), between, radius, q["_rq"].to_numpy()))
+        return q.iloc[rows].assign(sub=near["sub"].to_numpy()[at].astype("int32"))[names]
+
+    return _by_chunk(cand, key, table).applyInPandas(fn, schema)
+
+
+# ------------------------------------------------------------ scoring
 QUERY_CHUNK = 256
+#: Numbers that a portion of pairwise differences holds.
+PORTION = 1 << 22
 
 
-def _cell_topk(k: int, key: str, vec: str, ref_cols: list[str], exclude_self: bool):
-    """Per (cell, query chunk): exact distances of the chunk's queries to the cell's rows
-    (NumPy, at most QUERY_CHUNK x cell size pairs) and the k nearest per query."""
+def _topk(k: int, key: str, vec: str, ref_cols: list[str], exclude_self: bool):
+    """Per (part, query chunk, row chunk): exact distances and the k nearest rows of every query."""
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         cols = [key, "nn_key", "_d2", *ref_cols]
         if not len(q) or not len(r):
             return pd.DataFrame({c: [] for c in cols})
-        xq = np.array(q[vec].tolist(), dtype=float).reshape(len(q), -1)
-        xr = np.array(r["_rx"].tolist(), dtype=float).reshape(len(r), -1)
-        d2 = ((xq[:, None, :] - xr[None, :, :]) ** 2).sum(-1)
-        qk = q[key].to_numpy()
-        rk = r["nn_key"].to_numpy()
-        if exclude_self:
-            d2 = np.where(qk[:, None] == rk[None, :], np.inf, d2)
-        kk = min(k, len(r))
-        # order by (distance, reference key): lexsort per query row
-        out_q, out_r, out_d = [], [], []
-        for i in range(len(q)):
-            idx = np.lexsort((rk, d2[i]))[:kk]
-            idx = idx[np.isfinite(d2[i, idx])]
-            out_q.append(np.full(len(idx), i))
-            out_r.append(idx)
-            out_d.append(d2[i, idx])
-        qi, ri, dd = np.concatenate(out_q), np.concatenate(out_r), np.concatenate(out_d)
-        res = pd.DataFrame({key: qk[qi], "nn_key": rk[ri], "_d2": dd})
-        for c in ref_cols:
-            res[c] = r[c].to_numpy()[ri] if len(ri) else r[c].to_numpy()[:0]
-        return res
+        xq, xr = _vectors(q[vec]), _vectors(r["_rx"])
+        qk, rk = q[key].to_numpy(), r["nn_key"].to_numpy()
+        place = np.argsort(np.argsort(rk, kind="stable"), kind="stable")  # ties go to the smaller key
+        step = max(1, PORTION // max(1, xr.size))
+        found = []
+        for i in range(0, len(xq), step):
+            d2 = ((xq[i:i + step, None, :] - xr[None, :, :]) ** 2).sum(-1)
+            if exclude_self:
+                d2 = np.where(qk[i:i + step, None] == rk[None, :], np.inf, d2)
+            rows, at = np.nonzero((d2 <= _kth(d2, min(k, d2.shape[1]))[:, None]) & np.isfinite(d2))
+            order = np.lexsort((place[at], d2[rows, at], rows))
+            rows, at = rows[order], at[order]
+            begin = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else np.zeros(0, int)
+            rank = np.arange(len(rows)) - np.repeat(begin, np.diff(np.append(begin, len(rows))))
+            best = rank < k
+            found.append((rows[best] + i, at[best], d2[rows[best], at[best]]))
+        qi, ri, dd = (np.concatenate(x) for x in zip(*found))
+        return pd.DataFrame({key: qk[qi], "nn_key": rk[ri], "_d2": dd, **{c: r[c].to_numpy()[ri] for c in ref_cols}})
     return fn
 
 
@@ -150,11 +237,10 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, key: str = "row_id", vec:
     ``ref_cols`` come from the reference side. With ``exclude_self`` a query
     row never matches the reference row with the same key.
 
-    Candidate (query, cell) pairs come from the pivot bounds; queries of a
-    cell are dealt into chunks of at most ``QUERY_CHUNK`` rows by key hash,
-    the cell's rows are sent to each of its chunks, and every (cell, chunk)
-    group is scored with NumPy. The final top-k per query runs over at most
-    k rows per candidate cell.
+    Candidate (query, part) pairs come from the pivot bounds, over one or two levels of cells; queries of a
+    part are dealt into chunks of about ``QUERY_CHUNK`` and its rows into chunks of about ``ROW_CHUNK`` by key hash, and
+    every pair of chunks is scored by itself. The final top-k per query runs over at most
+    k rows per candidate chunk.
     """
     spark = query.sparkSession
     r = ref.select(F.col(key).alias("nn_key"), F.col(vec).alias("_rx"), *ref_cols)
@@ -174,24 +260,36 @@ def knn_join(query: DataFrame, ref: DataFrame, k: int, key: str = "row_id", vec:
     pivots_b = spark.sparkContext.broadcast(pivots)
     cells = _assign_cells(r, "_rx", pivots_b)
     radii = np.full(len(pivots), -np.inf)  # an empty cell keeps -inf and is never a candidate
-    for row in cells.groupBy("cell").agg(F.max("dpiv").alias("rad")).collect():  # one row per pivot
-        radii[row["cell"]] = row["rad"]
+    sizes = {}
+    for row in cells.groupBy("cell").agg(F.max("dpiv").alias("rad"), F.count(F.lit(1)).alias("n")).collect():  # one row per pivot
+        radii[row["cell"]], sizes[row["cell"]] = row["rad"], row["n"]
     radii_b = spark.sparkContext.broadcast(radii)
-    cand = _candidate_cells(query.select(key, vec), vec, pivots_b, radii_b,
-                            int(k) + (1 if exclude_self else 0))
-    per_cell = cand.groupBy("cell").agg(F.count(F.lit(1)).alias("_nq"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_nq") / F.lit(QUERY_CHUNK))).cast("int")
-    cand = (cand.join(per_cell, "cell", "inner")
-            .withColumn("_qc", F.pmod(hash_int("qc", key), n_chunks.cast("long")).cast("int")).drop("_nq"))
-    chunks = per_cell.select("cell", F.explode(F.sequence(F.lit(0), n_chunks - F.lit(1))).alias("_qc"))
-    refs = cells.drop("dpiv").join(chunks, "cell", "inner")
+    asked = _own_cell(query.select(key, vec), vec, pivots_b, keep)
+    if max(sizes.values(), default=0) > ROWS_PER_LEAF:
+        cells = cells.checkpoint(eager=True)
+        parts, table = _split_cells(cells, pivots, sizes)
+        cand = _candidate_cells(_tighten(asked, key, vec, table, keep), vec, pivots_b, radii_b)
+        cand = _candidate_parts(cand.select(key, vec, "_rq", "cell"), key, vec, table)
+        part = ["cell", "sub"]
+        refs = parts.drop("dsub")
+    else:
+        cand = _candidate_cells(asked.drop("cell"), vec, pivots_b, radii_b).drop("_rq")
+        part, refs = ["cell"], cells.drop("dpiv")
+
+    def chunks(rows, most, name):
+        return rows.groupBy(*part).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(float(most)))).cast("long").alias(name))
+
+    plan = chunks(cand, QUERY_CHUNK, "_nq").join(chunks(refs, ROW_CHUNK, "_nr"), part)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    cand = (cand.join(plan, part).withColumn("_qc", F.pmod(hash_int("qc", key), F.col("_nq"))).withColumn("_rc", every("_nr")).drop("_nq", "_nr"))
+    refs = (refs.join(plan, part).withColumn("_rc", F.pmod(hash_int("rc", "nn_key"), F.col("_nr"))).withColumn("_qc", every("_nq")).drop("_nq", "_nr"))
     out_fields = [query.schema[key], Tp.StructField("nn_key", ref.schema[key].dataType),
                   Tp.StructField("_d2", Tp.DoubleType())] + [r.schema[c] for c in ref_cols]
-    top_cell = (cand.groupBy("cell", "_qc")
-                .cogroup(refs.groupBy("cell", "_qc"))
-                .applyInPandas(_cell_topk(int(k), key, vec, ref_cols, exclude_self), Tp.StructType(out_fields)))
-    w = Window.partitionBy(key).orderBy("_d2", "nn_key")  # at most k rows per candidate cell
-    top = top_cell.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
+    group = [*part, "_qc", "_rc"]
+    top_part = (cand.groupBy(*group).cogroup(refs.groupBy(*group))
+                .applyInPandas(_topk(int(k), key, vec, ref_cols, exclude_self), Tp.StructType(out_fields)))
+    w = Window.partitionBy(key).orderBy("_d2", "nn_key")  # at most k rows per candidate chunk
+    top = top_part.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k)
     return top.select(key, "nn_key", F.sqrt("_d2").alias("dist"), "nn_rank", *ref_cols)
 
 

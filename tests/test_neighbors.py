@@ -67,3 +67,44 @@ def test_knn_with_hot_exact_duplicates(spark):
     for i in list(range(0, n, 11)) + [0, 1, 5]:
         exp = sorted(range(n), key=lambda j: (d2[i, j], j))[:3]
         assert got[got.row_id == i].sort_values("nn_rank").nn_key.tolist() == exp
+
+
+def _exact(got, x, k, ids):
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    np.fill_diagonal(d2, np.inf)
+    found = {i: g.sort_values("nn_rank").nn_key.tolist() for i, g in got.groupby("row_id")}
+    for i in ids:
+        assert found[i] == sorted(range(len(x)), key=lambda j: (d2[i, j], j))[:k]
+
+
+def test_two_levels_are_exact(spark, monkeypatch):
+    """Cells split again, rows and queries in several chunks; one cluster and one repeated vector are hot."""
+    monkeypatch.setattr(N, "ROWS_PER_LEAF", 40)
+    monkeypatch.setattr(N, "ROWS_PER_PART", 10)
+    monkeypatch.setattr(N, "ROW_CHUNK", 32)
+    monkeypatch.setattr(N, "QUERY_CHUNK", 16)
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(420, 3)), 1)  # rounded: distances tie
+    x[:140] = x[0] + np.round(rng.normal(scale=0.05, size=(140, 3)), 2)
+    x[140:200] = x[150]
+    df = spark.createDataFrame([(i, [float(v) for v in r], 0) for i, r in enumerate(x)], "row_id long, x array<double>, label int").repartition(5)
+    got = N.knn_join(df, df, 4, exclude_self=True, n_pivots=6).toPandas()
+    assert len(got) == 4 * len(x)
+    _exact(got, x, 4, range(0, len(x), 5))
+
+
+def test_parts_stay_small_while_rows_grow(spark, monkeypatch):
+    monkeypatch.setattr(N, "ROWS_PER_PART", 16)
+    largest = []
+    for n in (1000, 4000):
+        rng = np.random.default_rng(n)
+        df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(n, 3)))], "nn_key long, _rx array<double>")
+        pivots = N.choose_pivots(df, "nn_key", "_rx", 5)
+        cells = N._assign_cells(df, "_rx", spark.sparkContext.broadcast(pivots)).checkpoint()
+        sizes = {r[0]: r[1] for r in cells.groupBy("cell").count().collect()}
+        parts, table = N._split_cells(cells, pivots, sizes)
+        counts = [r[0] for r in parts.groupBy("cell", "sub").count().select("count").collect()]
+        assert sum(counts) == n and len(counts) <= table.count()
+        assert max(sizes.values()) > n / 10
+        largest.append(max(counts))
+    assert max(largest) < 16 * 8 and largest[1] < 2 * largest[0]
