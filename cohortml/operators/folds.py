@@ -45,12 +45,13 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "row_id",
 
 def stratified_kfold(df: DataFrame, k: int = 10, label: str = "label", key: str = "row_id",
                      seed=SEED, name: str = "fold") -> DataFrame:
-    """Add ``fold`` in ``0..k-1``; class counts per fold differ by at most one."""
+    """Add ``fold`` in ``0..k-1``; class counts per fold differ by at most one. ``key`` identifies a row."""
     if int(k) != k or k < 2:
         raise ValueError("k must be an integer >= 2")
-    p = _class_positions(df, label, key, seed)
-    return (p.withColumn(name, ((F.col("_rn") - F.lit(1)) % F.lit(int(k))).cast("int"))
-            .drop("_rn", "_n_c"))
+    # keys and labels alone are ranked; the other columns meet their row's fold in one equi-join
+    ranked = row_numbers(df.select(key, label).withColumn("_h", hash_int(seed, key)), [label], ["_h", key], name="_rn")
+    fold = ((F.col("_rn") - F.lit(1)) % F.lit(int(k))).cast("int").alias(name)
+    return df.join(ranked.select(key, fold), key)
 
 
 def explode_training_folds(df: DataFrame, k: int, fold: str = "fold", name: str = "train_fold") -> DataFrame:

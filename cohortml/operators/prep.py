@@ -73,19 +73,21 @@ def exact_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float,
     return agg.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias(name))
 
 
-def median_value(df: DataFrame, col: str) -> Column:
-    """Exact median of a column as a scalar subquery."""
-    return exact_quantile(df.select(col), [], col, 0.5, "m").select("m").scalar()
-
-
 # ------------------------------------------------------------ imputation
 def impute_median(df: DataFrame, cols: Sequence[str], fit: DataFrame | None = None) -> DataFrame:
-    """Fill nulls with the exact median of the fitting rows (default: ``df`` itself)."""
+    """Fill nulls with the exact medians of the fitting rows (default: ``df`` itself).
+
+    All columns are one job: their values are unpivoted, counted and positioned by ``(column, value)``. A column
+    without values keeps its nulls."""
     fit = fit if fit is not None else df
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), median_value(fit, c)))
-    return out
+    if not cols:
+        return df
+    long = fit.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
+    medians = exact_quantile(long.select("s.c", "s.v"), ["c"], "v", 0.5, "m")
+    # one row per column: a scalar subquery
+    found = medians.agg(F.map_from_entries(F.collect_list(F.struct("c", "m"))).alias("m")).scalar()
+    out = df.withColumn("_medians", found)
+    return out.withColumns({c: F.coalesce(F.col(c), F.try_element_at("_medians", F.lit(c))) for c in cols}).drop("_medians")
 
 
 def mode_value(df: DataFrame, col: str) -> Column:

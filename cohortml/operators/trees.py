@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortml.functions.arrays import list_matrix
+
 #: Cells (trees x nodes x features x bins x statistics) that a task adds up at a time.
 MOST_CELLS = 4_000_000
 NO_SPLIT = -1
@@ -65,11 +67,6 @@ def binned(x: np.ndarray, cuts: list) -> np.ndarray:
     return out
 
 
-def list_matrix(column, dtype=np.float64) -> np.ndarray:
-    """An Arrow column of equally long arrays as a matrix."""
-    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype).reshape(len(column), -1)
-
-
 def byte_matrix(column) -> np.ndarray:
     """An Arrow column of equally long binary values as a matrix of bytes."""
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)

@@ -11,20 +11,25 @@ LONG (``posexplode``) and grouped aggregates.
 
 from __future__ import annotations
 
+import copy
+import json
 import random
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortml.functions import bounded
+from cohortml.functions.arrays import fold_sum, list_matrix
 from cohortml.operators import evaluate as E
 from cohortml.operators import models as MD
 from cohortml.operators import select as S
 from cohortml.operators import univariate as U
-from cohortml.operators.folds import stratified_kfold
+from cohortml.operators.folds import explode_training_folds, stratified_kfold
 
 
 # ------------------------------------------------------------ layout helpers
@@ -86,27 +91,24 @@ class FittedPipeline:
     def fit(self, train: DataFrame) -> "FittedPipeline":
         d = train.select("row_id", "x", "label")
         if self.cfg.scaler:
-            stats = (to_long(d).groupBy("feature").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s"))
-                     .collect())  # one row per feature
-            nf = len(stats)
-            mean, scale = np.zeros(nf), np.ones(nf)
-            for r in stats:
-                mean[r["feature"]] = r["m"]
-                scale[r["feature"]] = r["s"] if r["s"] else 1.0
-            self.mean, self.scale = mean, scale
+            means, scales = fold_scalers(d.withColumn("fold", F.lit(0)), 0)
+            self.mean, self.scale = means[0], scales[0]
             d = self._scale(d)
         if self.cfg.first_filter:
-            ff = self.cfg.first_filter
-            fn = ff.get("function", "mutual_info_classif")
-            sc = U.score(to_long(d), fn)
-            own = fn in U.OWN_FUNCTIONS
-            sel = S.apply_mode(sc, ff.get("mode", "percentile"), ff.get("param", 1), fn, own)
-            rows = sel.select("feature", "score", "pvalue", "selected").collect()  # one row per feature
-            self.scores1 = sorted(rows, key=lambda r: r["feature"])
-            self.keep1 = [r["feature"] for r in self.scores1 if r["selected"]]
-            if not self.keep1:
-                raise ValueError("the univariate filter kept no feature")
+            self._first_filter(filter_features(to_long(d), self.cfg.first_filter).collect())  # one row per feature
             d = take_indices(d, self.keep1)
+        self.fit_model(self.fit_rest(d))
+        return self
+
+    def _first_filter(self, rows) -> None:
+        """``rows``: ``feature, score, pvalue, selected`` of every feature."""
+        self.scores1 = sorted(rows, key=lambda r: r["feature"])
+        self.keep1 = [r["feature"] for r in self.scores1 if r["selected"]]
+        if not self.keep1:
+            raise ValueError("the univariate filter kept no feature")
+
+    def fit_rest(self, d: DataFrame) -> DataFrame:
+        """Fit the stages after the univariate filter on filtered rows; the rows that the classifier is fitted on."""
         if self.cfg.second_filter:
             sf = self.cfg.second_filter
             kw = {k: v for k, v in sf.items() if k not in ("method", "threshold")}
@@ -139,9 +141,18 @@ class FittedPipeline:
             rs = self.cfg.resampler
             options = {k: v for k, v in rs.items() if k != "type"} if isinstance(rs, dict) else {}
             d = resample(d, rs["type"] if isinstance(rs, dict) else rs, **options)
+        return d
+
+    def fit_model(self, d: DataFrame) -> "FittedPipeline":
         self.model = MD.fit_family(self.cfg.family, d, **self.cfg.params)
         return self
 
+    def with_classifier(self, cfg: PipelineConfig) -> "FittedPipeline":
+        """The same fitted stages under a configuration that differs in the classifier alone."""
+        out = copy.copy(self)
+        out.cfg, out.model = cfg, None
+        return out
+
     def _scale(self, d: DataFrame) -> DataFrame:
         m, s = _lit_array(self.mean), _lit_array(self.scale)
         return d.withColumn("x", F.transform("x", lambda v, i: (v - F.element_at(m, i + 1)) / F.element_at(s, i + 1)))
@@ -219,22 +230,147 @@ def _scorer(scoring):
     return lambda preds: E.score_on_test(preds).select(col).first()[0]
 
 
+def fold_scalers(folded: DataFrame, cv: int) -> tuple[np.ndarray, np.ndarray]:
+    """Means and population deviations (zero: one) of the training part of every fold, ``max(cv, 1) x features``.
+
+    Two passes over all rows, whatever the number of folds: sums per fold, then squares around each fold's own
+    mean. A training part adds up the folds other than its own (all terms are positive, so nothing cancels). With ``cv`` of 0
+    the one part is all rows.
+    """
+    parts = max(int(cv), 1)
+
+    def sums(centre):
+        def part(batch):
+            x, fold = list_matrix(batch.column(0)), np.asarray(batch.column(1))
+            x = x if centre is None else (x - centre[fold]) ** 2
+            return np.concatenate([[(fold == f).sum(), *x[fold == f].sum(axis=0)] for f in range(parts)])
+        return part
+
+    rows = folded.select("x", "fold")
+    first = fold_sum(rows, sums(None))
+    if first is None:
+        raise ValueError("no rows to fit on")
+    n, total = np.split(first.reshape(parts, -1), [1], axis=1)
+    own = total / np.maximum(n, 1.0)
+    squares = fold_sum(rows, sums(own)).reshape(parts, -1)[:, 1:]
+    means, scales = [], []
+    for f in range(parts):
+        g = [i for i in range(parts) if i != f or not cv]
+        count = max(n[g].sum(), 1.0)
+        mean = total[g].sum(axis=0) / count
+        deviation = np.sqrt((squares[g] + n[g] * (own[g] - mean) ** 2).sum(axis=0) / count)
+        means.append(mean)
+        # a deviation within the rounding of the mean is none
+        scales.append(np.where(deviation <= 8 * np.finfo(float).eps * np.abs(mean), 1.0, deviation))
+    return np.array(means), np.array(scales)
+
+
+def filter_features(long: DataFrame, options: dict, group=()) -> DataFrame:
+    """``(group..., feature, score, pvalue, selected)`` of the univariate filter, all groups in one job."""
+    fn = options.get("function", "mutual_info_classif")
+    scores = U.score(long, fn, keys=(*group, "feature"))
+    return (S.apply_mode(scores, options.get("mode", "percentile"), options.get("param", 1), fn, fn in U.OWN_FUNCTIONS, group)
+            .select(*group, "feature", "score", "pvalue", "selected"))
+
+
+class FoldInputs:
+    """The rows of all folds, written once, and the fitted stages before the classifier, per configuration of these.
+
+    Scaler and univariate filter of all folds are fused: one grouped job keyed by ``(fold, feature)``
+    each. The later stages are fitted per fold. What a classifier needs of a fold (its training rows
+    after all stages, the held-out rows and the test rows) is written, so that trials which differ in the
+    classifier read it and fit nothing else again.
+    """
+
+    def __init__(self, train: DataFrame, cv: int, test: DataFrame | None = None):
+        self.cv = int(cv)
+        self.folded = stratified_kfold(train.select("row_id", "x", "label"), cv).checkpoint(eager=True)
+        self.test = None if test is None else test.select("row_id", "x", "label").checkpoint(eager=True)
+        self._ready, self._locks, self._lock = {}, {}, threading.Lock()
+
+    def stages(self, cfg: PipelineConfig) -> list[tuple]:
+        """Per fold ``(fitted stages, training rows, held-out rows, test rows)``."""
+        key = json.dumps([cfg.scaler, cfg.first_filter, cfg.second_filter, cfg.learner, cfg.resampler], sort_keys=True, default=str)
+        with self._lock:
+            lock = self._locks.setdefault(key, threading.Lock())
+        with lock:
+            if key not in self._ready:
+                self._ready[key] = self._fit(cfg)
+            return self._ready[key]
+
+    def _fit(self, cfg: PipelineConfig) -> list[tuple]:
+        fitted = [FittedPipeline(cfg) for _ in range(self.cv)]
+        if cfg.scaler:
+            for fp, m, s in zip(fitted, *fold_scalers(self.folded, self.cv)):
+                fp.mean, fp.scale = m, s
+        parts = [self.folded.where(F.col("fold") != f).drop("fold") for f in range(self.cv)]
+        if cfg.first_filter:
+            for f, rows in self._filtered(cfg, fitted).items():
+                fitted[f]._first_filter(rows)
+        out = []
+        for f, fp in enumerate(fitted):
+            d = parts[f] if fp.mean is None else fp._scale(parts[f])
+            d = d if fp.keep1 is None else take_indices(d, fp.keep1)
+            d = fp.fit_rest(d).checkpoint(eager=True)
+            held = fp.transform(self.folded.where(F.col("fold") == f)).checkpoint(eager=True)
+            out.append((fp, d, held, None if self.test is None else fp.transform(self.test).checkpoint(eager=True)))
+        return out
+
+    def _filtered(self, cfg: PipelineConfig, fitted: list[FittedPipeline]) -> dict:
+        """Scores of all folds' training parts from one grouped job (folds x features rows)."""
+        copies = explode_training_folds(self.folded, self.cv)
+        if cfg.scaler:
+            means, scales = np.array([fp.mean for fp in fitted]), np.array([fp.scale for fp in fitted])
+
+            @F.pandas_udf("array<double>")
+            def scaled(x: pd.Series, fold: pd.Series) -> pd.Series:
+                if not len(x):
+                    return pd.Series([], dtype=object)
+                f = fold.to_numpy()
+                return pd.Series(list((np.stack(x.to_list()) - means[f]) / scales[f]))
+
+            copies = copies.withColumn("x", scaled("x", "train_fold"))
+        long = copies.select("train_fold", "row_id", "label", F.posexplode("x").alias("feature", "value"))
+        found: dict = {}
+        for r in filter_features(long, cfg.first_filter, ("train_fold",)).collect():
+            found.setdefault(r["train_fold"], []).append(r)
+        return found
+
+    def evaluate(self, cfg: PipelineConfig, scoring="accuracy") -> dict:
+        """Fit the classifier on every fold; all folds' predictions are scored in one grouped job each."""
+        models, held, tested = [], [], []
+        for f, (stages, rows, val, test) in enumerate(self.stages(cfg)):
+            fp = stages.with_classifier(cfg).fit_model(rows)
+            models.append(fp)
+            held.append(fp.model.predict(val).select("row_id", "label", "prob", "pred", F.lit(f).alias("fold")))
+            if test is not None:
+                tested.append(fp.model.predict(test).select("row_id", "label", "prob", "pred", F.lit(f).alias("fold")))
+        out = {"val_scores": [], "models": models, "test_metrics": []}
+        if callable(scoring):
+            out["val_scores"] = [float(scoring(p)) for p in held]
+        else:
+            _scorer(scoring)
+            found = {r["fold"]: r[SCORERS[scoring]] for r in E.score_on_test(_union(held), ["fold"]).collect()}
+            out["val_scores"] = [float(found[f]) for f in range(self.cv)]
+        if tested:
+            found = {r["fold"]: r for r in E.score_on_test(_union(tested), ["fold"]).collect()}
+            out["test_metrics"] = [tuple(found[f][c] for c in ("accuracy", "f1", "mcc", "auc")) for f in range(self.cv)]
+        return out
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def cross_validate(train: DataFrame, cfg: PipelineConfig, cv: int = 10, scoring="accuracy",
                    test: DataFrame | None = None) -> dict:
     """Stratified k-fold: fit on k-1 folds, score the held-out fold; every fold model is kept
     (and, with ``test``, scored on the test set)."""
-    score = _scorer(scoring)
-    folded = stratified_kfold(train.select("row_id", "x", "label"), cv).checkpoint(eager=True)
-    out = {"val_scores": [], "models": [], "test_metrics": []}
-    for f in range(int(cv)):
-        fp = FittedPipeline(cfg).fit(folded.where(F.col("fold") != f).drop("fold"))
-        val = fp.predict(folded.where(F.col("fold") == f).drop("fold"))
-        out["val_scores"].append(float(score(val)))
-        out["models"].append(fp)
-        if test is not None:
-            m = E.score_on_test(fp.predict(test)).first()
-            out["test_metrics"].append((m["accuracy"], m["f1"], m["mcc"], m["auc"]))
-    return out
+    _scorer(scoring)
+    return FoldInputs(train, cv, test).evaluate(cfg, scoring)
 
 
 def _metric_rows(spark, name: str, rows) -> DataFrame:
@@ -248,46 +384,96 @@ def _metric_rows(spark, name: str, rows) -> DataFrame:
 
 def search_family(train: DataFrame, test: DataFrame, family: str, n_trials: int = 100, cv: int = 10,
                   scoring="accuracy", direction: str = "maximize", base: dict | None = None,
-                  seed: int = 42, tune_components: int | None = None, fixed: dict | None = None):
+                  seed: int = 42, tune_components: int | None = None, fixed: dict | None = None,
+                  inputs: FoldInputs | None = None, parallel_trials: int = 2, path: str | None = None):
     """Seeded random trials; the best trial's fold models and a metric table
     ``(name, val_score, test_acc, test_f1, test_mcc, test_auc)`` with a ``<family>_mean`` row.
-    ``fixed``: parameters that are not drawn."""
-    best = None
-    for t in range(int(n_trials)):
-        params = MD.draw_params(family, t, seed) | (fixed or {})
+
+    Trials are work items of a pool of ``parallel_trials`` threads (in the scheduler pool of the family, which
+    matters under FAIR scheduling) over ``inputs``, the folds written once, which families can share. ``fixed``:
+    parameters that are not drawn. With ``path`` every finished trial is added to a table there, and
+    trials that the table has are not run again; only the best one is then fitted once more if need be. Of
+    equal trials the first one is best, whatever the order in which they end.
+    """
+    spark = train.sparkSession
+    inputs = inputs or FoldInputs(train, cv, test)
+    if int(n_trials) < 1:
+        raise ValueError("n_trials must be at least 1")
+
+    def config(t):
         kw = dict(base or {})
         if tune_components and kw.get("learner"):
             kw["learner"] = dict(kw["learner"], n_components=random.Random(f"{seed}:nc:{family}:{t}")
                                  .randint(2, int(tune_components)))
-        cfg = build_pipeline(family=family, params=params, **kw)
-        res = cross_validate(train, cfg, cv, scoring, test)
-        val = float(np.mean(res["val_scores"]))
-        better = best is None or (val > best[0] if direction == "maximize" else val < best[0])
-        if better:
-            best = (val, cfg, res)
-    _, cfg, res = best
+        return build_pipeline(family=family, params=MD.draw_params(family, t, seed) | (fixed or {}), **kw)
+
+    table = f"{path}/trials/{family}" if path else None
+    done = _finished_trials(spark, table, inputs.cv) if table else {}
+    best, lock = [], threading.Lock()
+
+    def consider(t, res):
+        value = float(np.mean(res["val_scores"]))
+        rank = (-value if direction == "maximize" else value, t)
+        with lock:
+            if not best or rank < best[0]:
+                best[:] = [rank, t, res]
+
+    def trial(t):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", family)
+        res = inputs.evaluate(config(t), scoring)
+        if table:
+            rows = [(t, f, float(v), *map(float, m)) for f, (v, m) in enumerate(zip(res["val_scores"], res["test_metrics"]))]
+            with lock:
+                spark.createDataFrame(rows, TRIAL_SCHEMA).coalesce(1).write.mode("append").parquet(table)
+        consider(t, res)
+
+    for t, res in done.items():
+        if t < int(n_trials):
+            consider(t, res)
+    with ThreadPoolExecutor(max_workers=max(1, int(parallel_trials))) as pool:
+        list(pool.map(trial, [t for t in range(int(n_trials)) if t not in done]))
+    _, t, res = best
+    cfg = config(t)
+    if not res["models"]:
+        res = inputs.evaluate(cfg, scoring)
     rows = enumerate((v, *tm) for v, tm in zip(res["val_scores"], res["test_metrics"]))
-    return _metric_rows(train.sparkSession, family, rows), res["models"], cfg
+    return _metric_rows(spark, family, rows), res["models"], cfg
+
+
+TRIAL_SCHEMA = "trial int, fold int, val_score double, test_acc double, test_f1 double, test_mcc double, test_auc double"
+
+
+def _finished_trials(spark, table: str, cv: int) -> dict:
+    """Trials whose folds are all in the table, without their models."""
+    from pyspark.errors import AnalysisException
+    try:
+        rows = spark.read.schema(TRIAL_SCHEMA).parquet(table).collect()  # trials x folds rows
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    found: dict = {}
+    for r in rows:
+        found.setdefault(r["trial"], {})[r["fold"]] = r
+    return {t: {"val_scores": [by[f]["val_score"] for f in range(cv)], "models": [],
+                "test_metrics": [tuple(by[f][c] for c in ("test_acc", "test_f1", "test_mcc", "test_auc")) for f in range(cv)]}
+            for t, by in found.items() if set(by) == set(range(cv))}
 
 
 def train_all_families(train: DataFrame, test: DataFrame, families=MD.FAMILIES, parallel: int = 3,
-                       fixed: dict | None = None, **kw):
+                       fixed: dict | None = None, cv: int = 10, **kw):
     """Every family; metric tables unioned in the given order, models by family.
 
-    Families are searched side by side in at most ``parallel`` threads, over inputs written once.
-    ``fixed``: per family, parameters that are not drawn."""
-    train = train.select("row_id", "x", "label").checkpoint(eager=True)
-    test = test.select("row_id", "x", "label").checkpoint(eager=True)
+    Families are searched side by side in at most ``parallel`` threads, over folds and fitted stages written once
+    for all of them. ``fixed``: per family, parameters that are not drawn."""
+    inputs = FoldInputs(train, cv, test)
 
     def one(family):
-        return search_family(train, test, family, fixed=(fixed or {}).get(family), **kw)
+        return search_family(train, test, family, cv=cv, fixed=(fixed or {}).get(family), inputs=inputs, **kw)
 
     with ThreadPoolExecutor(max_workers=max(1, int(parallel))) as pool:
         found = list(pool.map(one, families))
-    out = found[0][0]
-    for t, _, _ in found[1:]:
-        out = out.unionByName(t)
-    return out, {family: ms for family, (_, ms, _) in zip(families, found)}
+    return _union([t for t, _, _ in found]), {family: ms for family, (_, ms, _) in zip(families, found)}
 
 
 # ------------------------------------------------------------ ensembles
@@ -305,21 +491,14 @@ def fold_predictions(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfi
     """``(row_id, label, prob, model, fold)`` of the held-out fold and of ``test``, for every base
     pipeline and fold. Each pipeline is fitted once per fold; the two tables are written once, so
     whatever reads them later fits nothing again."""
-    folded = stratified_kfold(train.select("row_id", "x", "label"), cv).checkpoint(eager=True)
-    parts = ([], [])
+    inputs, parts = FoldInputs(train, cv, test), ([], [])
     for i, cfg in enumerate(cfgs):
-        for f in range(int(cv)):
-            fp = FittedPipeline(cfg).fit(folded.where(F.col("fold") != f).drop("fold"))
-            for out, rows in zip(parts, (folded.where(F.col("fold") == f).drop("fold"), test)):
-                out.append(fp.predict(rows).select("row_id", "label", "prob", F.lit(i).alias("model"), F.lit(f).alias("fold"))
+        for f, (stages, rows, *sides) in enumerate(inputs.stages(cfg)):
+            model = stages.with_classifier(cfg).fit_model(rows).model
+            for out, side in zip(parts, sides):
+                out.append(model.predict(side).select("row_id", "label", "prob", F.lit(i).alias("model"), F.lit(f).alias("fold"))
                            .checkpoint(eager=True))
-
-    def union(ps):
-        out = ps[0]
-        for p in ps[1:]:
-            out = out.unionByName(p)
-        return out
-    return union(parts[0]), union(parts[1])
+    return _union(parts[0]), _union(parts[1])
 
 
 def vote_train(train: DataFrame, test: DataFrame, cfgs: list[PipelineConfig], n_trials: int = 100, cv: int = 10,
@@ -398,8 +577,9 @@ def run_auto(train: DataFrame, test: DataFrame, families=MD.FAMILIES, n_trials:
 
     Returns ``metrics`` (with the voting rows), ``models``, and for the options ``vote`` (test
     probabilities), ``weights``, ``stack`` (metrics) and ``stack_models``. With ``path`` the metric
-    tables, the stacked table, the best models and their manifest are written there."""
-    metrics, models = train_all_families(train, test, families, n_trials=n_trials, cv=cv, **kw)
+    tables, the table of trials, the stacked table, the fold models of all families and a manifest of the best ones are
+    written there; a call that was cut short goes on from the table of trials."""
+    metrics, models = train_all_families(train, test, families, n_trials=n_trials, cv=cv, path=path, **kw)
     metrics = metrics.checkpoint(eager=True)
     ranked = [(r["name"], models[r["family"]][int(r["index"])])
               for r in E.top_n_models(metrics, max(top_n, stack_top_n)).collect()]
@@ -421,6 +601,7 @@ def run_auto(train: DataFrame, test: DataFrame, families=MD.FAMILIES, n_trials:
         write_metrics([out["metrics"]], f"{path}/metrics")
         if stack:
             write_metrics([out["stack"]], f"{path}/stack_metrics")
-        saved = {name: save_model(m, f"{path}/models/{name}") for name, m in ranked[:top_n]}
-        write_manifest(train.sparkSession, saved, f"{path}/manifest")
+        saved = {f"{family}_{f}": save_model(m, f"{path}/models/{family}_{f}") for family, ms in models.items() for f, m in enumerate(ms)}
+        chosen = [name for name, _ in ranked[:top_n]]
+        write_manifest(train.sparkSession, {name: saved[name] for name in chosen}, f"{path}/manifest")
     return out

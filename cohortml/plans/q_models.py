@@ -89,31 +89,28 @@ def q_pca_loadings(spark, sf):
 
 @register("learn_kpca")
 def q_learn_kpca(spark, sf):
-    from cohortml.operators.project import fit_pca
+    from cohortml.operators.project import fit_kernel_pca
     tr, _ = split_vectors(spark, sf)
-    return fit_pca(tr, 2, kernel="kpca").transform(tr).select("row_id", "label", "x")
+    return fit_kernel_pca(tr, 5, "rbf").transform(tr).select("row_id", "label", F.posexplode("x").alias("component", "value"))
 
 
 @register("kpca_coords")
 def q_kpca_coords(spark, sf):
-    from cohortml.operators.project import fit_pca
+    from cohortml.operators.project import fit_kernel_pca
     tr, te = split_vectors(spark, sf)
-    p = fit_pca(tr, 2, kernel="kpca")
+    p = fit_kernel_pca(tr, 2, "rbf")
     return p.transform(te).select("row_id", "label", F.col("x")[0].alias("c1"), F.col("x")[1].alias("c2"))
 
 
 @register("projection_report")
 def q_projection_report(spark, sf):
-    from cohortml.operators.project import fit_pca
+    """Both projections of the features that pass a univariate and an embedded filter."""
+    from cohortml.plans.reports import projection_report
     tr, te = split_vectors(spark, sf)
-    both = tr.unionByName(te)
-    fp = P.FittedPipeline(P.build_pipeline(family="logistic", scaler=True)).fit(tr)
-    scaled = fp.transform(both)
-    pca = fit_pca(scaled, 2).transform(scaled).select("row_id", "label", F.lit("pca").alias("method"), "x")
-    kp = fit_pca(scaled, 2, kernel="kpca").transform(scaled).select("row_id", "label", F.lit("kpca").alias("method"),
-                                                                     "x")
-    return pca.unionByName(kp).select("row_id", "label", "method", F.col("x")[0].alias("c1"),
-                                      F.col("x")[1].alias("c2"))
+    fp = P.FittedPipeline(P.build_pipeline(
+        family="logistic", params={"C": 0.5}, first_filter={"function": "kruskal", "mode": "k_best", "param": 20},
+        second_filter={"method": "l1_logistic", "threshold": "mean"})).fit(tr)
+    return projection_report(tr.unionByName(te), fp.selected(64))
 
 
 FULL = dict(family="logistic", params={"C": 0.5, "l1_ratio": 0.5},

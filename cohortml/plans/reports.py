@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortml.functions.arrays import fold_sum, list_matrix
 from cohortml.operators import evaluate as E
 from cohortml.operators import explain as X
+from cohortml.operators.project import fit_kernel_pca, fit_pca
 from cohortml.plans.pipeline import FittedPipeline
 
 
@@ -50,20 +53,44 @@ def retrieve_features(fp: FittedPipeline, train: DataFrame, test: DataFrame, nam
     return out
 
 
+def projection_report(data: DataFrame, features: list[int], kernel: str = "rbf", **options) -> DataFrame:
+    """``row_id, label, method, c1, c2``: two-dimensional PCA and kernel PCA of the listed features.
+
+    The features are scaled to zero mean and unit (population) deviation over ``data`` itself."""
+    d = data.select("row_id", "label", F.array(*[F.element_at("x", int(i) + 1) for i in features]).alias("x"))
+    width = len(features)
+    stats = fold_sum(d.select("x"), lambda b: np.append(list_matrix(b.column(0)).sum(axis=0), b.num_rows))
+    mean = stats[:width] / stats[width]
+    centred = d.withColumn("x", F.transform("x", lambda v, i: v - F.element_at(F.array(*[F.lit(float(m)) for m in mean]), i + 1)))
+    second = fold_sum(centred.select("x"), lambda b: (list_matrix(b.column(0)) ** 2).sum(axis=0)) / stats[width]
+    scale = F.array(*[F.lit(float(s) if s > 0 else 1.0) for s in np.sqrt(second)])
+    scaled = centred.withColumn("x", F.transform("x", lambda v, i: v / F.element_at(scale, i + 1)))
+    parts = [("pca", fit_pca(scaled, 2)), ("kpca", fit_kernel_pca(scaled, 2, kernel, **options))]
+    tables = [p.transform(scaled).select("row_id", "label", F.lit(name).alias("method"), F.get("x", F.lit(0)).alias("c1"),
+                                         F.get("x", F.lit(1)).alias("c2")) for name, p in parts]
+    return tables[0].unionByName(tables[1])
+
+
 def visual_report(fp: FittedPipeline, train: DataFrame, test: DataFrame) -> dict:
-    """The tables behind the evaluation plots, for train and test predictions."""
+    """The tables behind the evaluation plots, for train and test predictions, and the projections of the selected features."""
     preds = (fp.predict(train).withColumn("split", F.lit("train"))
              .unionByName(fp.predict(test).withColumn("split", F.lit("test"))))
+    width = int(train.select(F.size("x")).first()[0])
+    both = train.select("row_id", "x", "label").unionByName(test.select("row_id", "x", "label"))
+    gain = E.gain_curve(preds)
     return {
         "confusion": E.confusion_matrix(preds, ["split"]),
         "report": E.classification_report(preds, ["split"]),
         "roc": E.roc_curve(preds, ["split"]),
         "pr": E.pr_curve(preds, ["split"]),
         "average_precision": E.m_average_precision(preds, ["split"]),
-        "gain": E.gain_curve(preds),
+        "gain": gain.drop("lift"),
+        "lift": gain.drop("gain"),
         "calibration": E.calibration_curve(preds),
         "histogram": E.probability_histogram(preds),
+        "ks_curve": E.ks_curve(preds),
         "ks": E.m_ks(preds),
+        "projection": projection_report(both, fp.selected(width)),
     }
 
 
