@@ -1,9 +1,9 @@
 """Growing of trees, level by level, shared by the forests and the booster.
 
 A pass over the rows adds up histograms inside each task (NumPy, bounded by ``MOST_CELLS`` cells: the trees
-of a level are taken in groups, the features in blocks). The partial sums meet by ``(tree, node, feature)``; prefix sums along
-the bins and the search for the best cut run on the executors, one row per ``(tree, node, feature)``; an aggregate
-keeps the best feature of each node. The driver receives one row per node, whatever the number of features.
+of a level are taken in groups, the features in blocks). The partial sums meet by ``(tree, node, feature)``, where a task adds them up; prefix sums along
+the bins and the search for the best cut run on the executors, which keep the best feature of each node. The driver
+receives one row per node and shuffle partition, whatever the number of features and rows.
 The totals of both children come with the split, so leaves need no pass of their own.
 
 Nodes are numbered as in a heap: the children of ``n`` are ``2 n + 1`` (at most the cut) and ``2 n + 2``.
@@ -91,29 +91,52 @@ def best_splits(rows: DataFrame, histograms: Callable, n_bins: int, n_stats: int
                      pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * np.int32(width)), pa.array(part.ravel()))],
                     names=["tree", "node", "feature", "cells"])
 
-    summed = (rows.mapInArrow(partial, "tree int, node int, feature int, cells array<double>")
-              .groupBy("tree", "node", "feature").agg(F.array(*[F.sum(F.get("cells", F.lit(i))) for i in range(width)]).alias("cells")))
+    def summed(batches):
+        """Keys and cells of the partition's sums: at most ``MOST_CELLS`` of them exist in a pass."""
+        codes, cells, waiting = [], [], 0
+
+        def reduce():
+            distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
+            total = np.zeros((len(distinct), width))
+            np.add.at(total, place, np.concatenate(cells))
+            return distinct, total
+
+        for b in batches:
+            if b.num_rows:
+                tree, node, feature = (np.asarray(b.column(i)).astype(np.int64) for i in range(3))
+                codes.append((tree << 44) | (node << 24) | feature)
+                cells.append(list_matrix(b.column(3)))
+                waiting += b.num_rows
+                if waiting > 1 << 15:
+                    one, two = reduce()
+                    codes, cells, waiting = [one], [two], 0
+        return reduce() if codes else (np.zeros(0, np.int64), np.zeros((0, width)))
 
     def search(batches):
         import pyarrow as pa
-        for b in batches:
-            if not b.num_rows:
-                continue
-            cells = list_matrix(b.column(3)).reshape(-1, n_bins, n_stats)
-            left = np.cumsum(cells, axis=1)
-            total = left[:, -1:, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                found = gain(left[:, :-1, :], total, np.asarray(b.column(0)))
-            found = np.where(np.isnan(found), -np.inf, found)
-            at = found.argmax(axis=1)
-            i = np.arange(len(at))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(found[i, at]), pa.array(at, pa.int32()),
-                 pa.array(left[i, at].tolist(), pa.list_(pa.float64())), pa.array(total[:, 0].tolist(), pa.list_(pa.float64()))],
-                names=["tree", "node", "feature", "gain", "bin", "left", "total"])
-
-    best = (summed.mapInArrow(search, "tree int, node int, feature int, gain double, bin int, left array<double>, total array<double>")
-            .groupBy("tree", "node").agg(F.max_by(F.struct("gain", "feature", "bin", "left", "total"),
-                                                  F.struct(F.col("gain"), -F.col("feature"))).alias("s")))
-    return {(r["tree"], r["node"]): (r["s"]["gain"], r["s"]["feature"], r["s"]["bin"], np.array(r["s"]["left"]), np.array(r["s"]["total"]))
-            for r in best.collect()}
+        code, cells = summed(batches)
+        tree, node, feature = code >> 44, (code >> 24) & 0xFFFFF, code & 0xFFFFFF
+        left = np.cumsum(cells.reshape(-1, n_bins, n_stats), axis=1)
+        total = left[:, -1:, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            found = gain(left[:, :-1, :], total, tree) if len(code) else np.zeros((0, 1))
+        found = np.where(np.isnan(found), -np.inf, found)
+        at = found.argmax(axis=1)
+        gains = found[np.arange(len(at)), at]
+        # the best feature of each node in this partition; ties go to the smaller one
+        order = np.lexsort((feature, -gains, code >> 24))
+        first = order[np.append(True, np.diff(code[order] >> 28) != 0)] if len(order) else order
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip((tree[first], node[first], feature[first], gains[first], at[first], left[first, at[first]].tolist(),
+                                             total[first, 0].tolist()),
+                                            (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64())))],
+            names=["tree", "node", "feature", "gain", "bin", "left", "total"])
+
+    best: dict = {}
+    found = (rows.mapInArrow(partial, "tree int, node int, feature int, cells array<double>").repartition("tree", "node", "feature")
+             .mapInArrow(search, "tree int, node int, feature int, gain double, bin int, left array<double>, total array<double>"))
+    for r in found.collect():
+        node = (r["tree"], r["node"])
+        if node not in best or (r["gain"], -r["feature"]) > (best[node][0], -best[node][1]):
+            best[node] = (r["gain"], r["feature"], r["bin"], np.array(r["left"]), np.array(r["total"]))
+    return best
