@@ -154,13 +154,14 @@ def encoder(tokenizer: str) -> PieceEncoder:
 
 
 def by_bytes(batches, columns, most: int = 4 << 20):
-    """Rows of Arrow batches in lists of about ``most`` characters of the last column (null: empty)."""
+    """Rows of Arrow batches in lists of about ``most`` bytes of the last column, a text (null: empty)."""
+    import pyarrow.compute as pc
     rows, size = [], 0
     for b in batches:
-        for row in zip(*[b.column(c).to_pylist() for c in columns], strict=True):
-            text = row[-1] or ""
-            rows.append(row[:-1] + (text,))
-            size += len(text)
+        sizes = pc.fill_null(pc.binary_length(b.column(columns[-1])), 0).to_pylist()
+        for row, n in zip(zip(*[b.column(c).to_pylist() for c in columns], strict=True), sizes, strict=True):
+            rows.append(row[:-1] + (row[-1] or "",))
+            size += n
             if size >= most:
                 yield rows
                 rows, size = [], 0
