@@ -125,7 +125,7 @@ def best_splits(rows: DataFrame, histograms: Callable, n_bins: int, n_stats: int
         gains = found[np.arange(len(at)), at]
         # the best feature of each node in this partition; ties go to the smaller one
         order = np.lexsort((feature, -gains, code >> 24))
-        first = order[np.append(True, np.diff(code[order] >> 28) != 0)] if len(order) else order
+        first = order[np.append(True, np.diff(code[order] >> 24) != 0)] if len(order) else order
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip((tree[first], node[first], feature[first], gains[first], at[first], left[first, at[first]].tolist(),
                                              total[first, 0].tolist()),
