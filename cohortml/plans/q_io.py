@@ -91,14 +91,24 @@ def q_model_save_load(spark, sf):
     return out
 
 
-@register("model_manifest")
+@register("model_manifest", sql="""
+SELECT name, name AS path, CAST((SELECT sum(round(0.2 * c)) FROM (SELECT count(*) AS c FROM embeddings GROUP BY label < 3) q)
+       AS BIGINT) AS predicted
+  FROM (VALUES ('knn_0'), ('logistic_0'), ('logistic_1')) t(name)""")
 def q_model_manifest(spark, sf):
-    top = E.top_n_models(E.metric_table(T.scored_models(spark, sf)), 5).collect()
+    """Fold models written, listed in a manifest with paths below its folder, and loaded from there."""
+    from cohortml.plans import pipeline as P
+    from cohortml.plans.q_models import split_vectors
+    tr, te = split_vectors(spark, sf)
     root = FS.scratch_path(spark, "models")
-    mapping = {r["name"]: f"{root}/{r['family']}/{r['index']}" for r in top}
+    for name, params in (("logistic_0", {"C": 0.5}), ("logistic_1", {"C": 0.1}), ("knn_0", {"k": 5})):
+        fp = P.FittedPipeline(P.build_pipeline(family=name.split("_")[0], params=params)).fit(tr)
+        FS.save_model(fp, f"{root}/{name}")
     path = FS.scratch_path(spark, "manifest")
-    FS.write_manifest(spark, mapping, path)
-    return spark.read.schema("name string, path string").json(path)
+    FS.write_manifest(spark, {name: name for name in ("logistic_0", "logistic_1", "knn_0")}, path)
+    listed = spark.read.schema("name string, path string").json(path).collect()
+    return spark.createDataFrame([(r["name"], r["path"], FS.load_model(spark, f"{root}/{r['path']}").predict(te).count()) for r in listed],
+                                 "name string, path string, predicted long")
 
 
 @register("concat_rows", sql=f"""
