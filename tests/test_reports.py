@@ -42,5 +42,6 @@ def test_all_tables_are_returned(spark):
     def names(query):
         return {r["report"] for r in E.queries()[query](spark, SF_SMALL).select("report").distinct().collect()}
 
-    assert names("visual_report") == {"confusion", "report", "roc", "pr", "average_precision", "gain", "calibration", "histogram", "ks"}
+    assert names("visual_report") == {"confusion", "report", "roc", "pr", "average_precision", "gain", "lift", "calibration", "histogram",
+                                      "ks_curve", "ks", "projection"}
     assert names("retrieve_features") == {"first_filter", "second_filter", "shap", "shap_mean_abs"}
