@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -84,20 +86,21 @@ def fit_logistic(df: DataFrame, C: float = 1.0, l1_ratio: float = 0.5, max_iter:
 
 
 def random_fourier(n_in: int, n_out: int, gamma: float, seed=42):
-    """z_j = sqrt(2/D) cos(w_j . x + b_j), w ~ N(0, 2 gamma I), b ~ U[0, 2 pi): a column transform."""
-    import numpy as np
+    """z_j = sqrt(2/D) cos(w_j . x + b_j), w ~ N(0, 2 gamma I), b ~ U[0, 2 pi): a column transform, one matrix
+    product per Arrow batch."""
     rng = np.random.default_rng(seed)
     w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_out, n_in))
     b = rng.uniform(0.0, 2 * math.pi, size=n_out)
     scale = math.sqrt(2.0 / n_out)
 
+    @F.pandas_udf("array<double>")
+    def features(x: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        return pd.Series(list(scale * np.cos(np.stack(x.to_list()) @ w.T + b)))
+
     def apply(df: DataFrame, vec: str = "x") -> DataFrame:
-        cols = []
-        for j in range(n_out):
-            dot = F.aggregate(F.zip_with(F.col(vec), F.array(*[F.lit(float(v)) for v in w[j]]), lambda a, c: a * c),
-                              F.lit(float(b[j])), lambda acc, v: acc + v)
-            cols.append(F.lit(scale) * F.cos(dot))
-        return df.withColumn(vec, F.array(*cols))
+        return df.withColumn(vec, features(vec))
     return apply
 
 
@@ -296,11 +299,10 @@ def embed_l1_svc(df: DataFrame, C: float = 1.0, steps: int = 500, tol: float = 1
 
     Each step is one distributed pass: the gradient of the weighted mean
     squared hinge loss is an aggregate over rows; the L1 proximal step
-    (soft threshold) is applied to the small coefficient vector on the driver. The step is the
+    (soft threshold) is applied to the small coefficient vector on the driver, the intercept included. The step is the
     inverse of a bound of the loss's curvature; it ends when no coefficient moves by more than
     ``tol``, and fails if that does not happen within ``steps`` passes.
     """
-    import numpy as np
     d = with_weights(df).select("x", (F.col("label") * 2 - 1).cast("double").alias("y"), "weight").checkpoint(eager=True)
     nf = n_features(df)
     sw = _sum_w(d)
@@ -319,7 +321,7 @@ def embed_l1_svc(df: DataFrame, C: float = 1.0, steps: int = 500, tol: float = 1
         g = (d.select(array_to_vector(F.concat(F.transform("x", lambda v: v * coef), F.array(coef))).alias("g"))
              .select(Summarizer.sum(F.col("g"))).first()[0].toArray())
         new = at - g / curve
-        new[:nf] = np.sign(new[:nf]) * np.maximum(np.abs(new[:nf]) - lam / curve, 0.0)
+        new = np.sign(new) * np.maximum(np.abs(new) - lam / curve, 0.0)
         if float((at - new) @ (new - now)) > 0:
             t = 1.0
         after = (1.0 + (1.0 + 4.0 * t * t) ** 0.5) / 2.0
@@ -344,7 +346,6 @@ def embed_gbt(df: DataFrame, n_estimators: int = 50, seed: int = 42, **kw) -> li
 
 
 def embed_ada(df: DataFrame, n_estimators: int = 20) -> list[float]:
-    import numpy as np
     m = fit_ada(df, n_estimators=n_estimators)
     nf = n_features(df)
     tot = np.zeros(nf)
