@@ -328,7 +328,7 @@ def score_mutual_info_classif(df: DataFrame, keys=("feature",), value="value", l
     values. Positions come from the block-wise running count; each row then
     sends its value to the 2k+1 positions around it, so every neighbourhood
     is a group of at most 2k+1 rows. The count m_i of all rows within the
-    radius comes from running counts over the merged list of values and
+    radius comes from running counts over the merged list of distinct values and
     interval endpoints. Classes with one row are left out; ties keep their
     distance 0 (no jitter is added).
     """
@@ -368,10 +368,15 @@ def score_mutual_info_classif(df: DataFrame, keys=("feature",), value="value", l
         rad = F.when(kc == v, kth(v)).otherwise(rad)
     rows = hood.select(*k, F.col("target").alias("_pos"), "y", xc.alias("x"), "n_c",
                        kc.alias("k_i"), rad.alias("r"))
+    # Rows of a class with the same value and radius have the same m_i: they go on as one row with a
+    # count, and so do equal values, so that a value held by half of all rows is no large peer group.
+    alike = [*k, "y", "x", "n_c", "k_i", "r"]
+    spots = rows.groupBy(*alike).agg(F.count(F.lit(1)).alias("copies"), F.min("_pos").alias("_spot"))
     # m_i = #{j : |x_j - x_i| < r_i}, or #{x_j == x_i} when r_i = 0; self included.
     # Upper end counts values below it, lower end values at or below it
     # (reversed when r = 0); ordering endpoints before (0) or after (2) equal values does that.
-    vals = base.select(*k, F.col("x").alias("pt"), F.lit(1).alias("_o"), F.lit(0).alias("sgn"))
+    vals = (base.groupBy(*k, F.col("x").alias("pt")).agg(F.count(F.lit(1)).alias("held"))
+            .select(*k, "pt", F.lit(1).alias("_o"), F.lit(0).alias("sgn"), "held"))
     r0 = F.col("r") == 0
     # x +/- r can round past the neighbour that defines r; a value within a
     # relative 1e-11 of an endpoint is taken to lie at distance r (excluded).
@@ -380,24 +385,22 @@ def score_mutual_info_classif(df: DataFrame, keys=("feature",), value="value", l
     for sgn, pt in ((1, F.col("x") + F.col("r") - tol), (-1, F.col("x") - F.col("r") + tol)):
         before = ~r0 if sgn == 1 else r0
         pt = F.when(r0, F.col("x")).otherwise(pt)
-        ends.append(rows.select(*k, pt.alias("pt"),
-                                F.when(before, F.lit(0)).otherwise(F.lit(2)).alias("_o"),
-                                F.lit(sgn).alias("sgn"), "y", "_pos", "k_i", "n_c"))
+        ends.append(spots.select(*k, pt.alias("pt"), F.when(before, F.lit(0)).otherwise(F.lit(2)).alias("_o"),
+                                 F.lit(sgn).alias("sgn"), "y", "_spot", "k_i", "n_c", "copies"))
     evs = vals.unionByName(ends[0], allowMissingColumns=True).unionByName(ends[1], allowMissingColumns=True)
-    counted = running_totals(evs, k, ["pt", "_o"],
-                             {"below": F.when(F.col("sgn") == 0, F.lit(1)).otherwise(F.lit(0))},
-                             peers=True)
+    counted = running_totals(evs, k, ["pt", "_o"], {"below": F.coalesce(F.col("held"), F.lit(0))}, peers=True)
     m = (counted.where(F.col("sgn") != 0)
-         .groupBy(*k, "y", "_pos")
+         .groupBy(*k, "y", "_spot")
          .agg(F.sum(F.col("sgn") * F.col("below")).alias("m"),
-              F.first("k_i").alias("k_i"), F.first("n_c").alias("n_c")))
+              F.first("k_i").alias("k_i"), F.first("n_c").alias("n_c"), F.first("copies").alias("copies")))
     if per_row:  # (keys, class, position, k_i, n_c, m), for tests
-        return m.join(rows.select(*k, "y", "_pos", "x", "r"), k + ["y", "_pos"], "inner")
-    agg = m.groupBy(*k).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(digamma_int(F.col("k_i"))).alias("psi_k"),
-        F.avg(digamma_int(F.col("n_c"))).alias("psi_nc"),
-        F.avg(digamma_int(F.col("m"))).alias("psi_m"))
+        found = m.join(spots.select(*k, "y", "_spot", "x", "r"), k + ["y", "_spot"]).drop("_spot", "copies")
+        return found.join(rows.select(*k, "y", "_pos", "x", "r"), k + ["y", "x", "r"], "inner")
+
+    def mean(v):
+        return F.sum(F.col("copies") * digamma_int(F.col(v))) / F.sum("copies")
+
+    agg = m.groupBy(*k).agg(F.sum("copies").alias("n"), mean("k_i").alias("psi_k"), mean("n_c").alias("psi_nc"), mean("m").alias("psi_m"))
     mi = digamma_int(F.col("n")) + F.col("psi_k") - F.col("psi_nc") - F.col("psi_m")
     return agg.select(*k, "n", F.greatest(mi, F.lit(0.0)).alias("score"),
                       F.lit(None).cast("double").alias("pvalue"))

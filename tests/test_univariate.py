@@ -135,3 +135,37 @@ def test_mutual_info_regression_brute(spark):
     pdf = pd.DataFrame({"row_id": np.arange(n), "feature": 0, "value": x, "label": y})
     got = U.score_mutual_info_regression(spark.createDataFrame(pdf)).first()["score"]
     assert abs(got - mi) < 1e-9
+
+
+def test_mutual_information_of_a_half_zero_feature_moves_counts(spark, monkeypatch):
+    """Equal values go on as one row with a count: the merged list is far shorter than the rows, the score the same."""
+    import numpy as np
+    from cohortml.operators import univariate as U
+    rng = np.random.default_rng(8)
+    n = 400
+    y = rng.integers(0, 2, n)
+    v = np.where(rng.random(n) < 0.5, 0.0, rng.normal(size=n) + y)
+    df = spark.createDataFrame([(i, 0, float(a), int(b)) for i, (a, b) in enumerate(zip(v, y))], "row_id long, feature int, value double, label int")
+    sizes = []
+    plain = U.running_totals
+
+    def noted(rows, keys, order, sums, **kw):
+        if kw.get("peers"):
+            sizes.append(rows.count())
+        return plain(rows, keys, order, sums, **kw)
+
+    monkeypatch.setattr(U, "running_totals", noted)
+    got = U.score(df, "mutual_info_classif").first()["score"]
+    distinct = len(set(v))
+    assert sizes and sizes[-1] <= 3 * distinct + 10 < 2 * n
+    # by brute force, ties at distance zero
+    x = v / v.std()
+    psi = lambda k: -0.57721566490153286 + sum(1 / j for j in range(1, int(k)))
+    total = []
+    for i in range(n):
+        same = np.sort(np.abs(np.delete(x[y == y[i]], np.flatnonzero(np.flatnonzero(y == y[i]) == i)) - x[i]))
+        r = same[2]
+        total.append(np.sum(np.abs(x - x[i]) < r * (1 - 1e-11)) if r > 0 else np.sum(x == x[i]))
+    counts = np.array([(y == c).sum() for c in y])
+    want = psi(n) + psi(3) - np.mean([psi(c) for c in counts]) - np.mean([psi(m) for m in total])
+    assert abs(got - max(want, 0.0)) < 1e-6
