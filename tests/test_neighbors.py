@@ -93,6 +93,42 @@ def test_two_levels_are_exact(spark, monkeypatch):
     _exact(got, x, 4, range(0, len(x), 5))
 
 
+def test_candidates_and_blocks_are_exact(spark, monkeypatch):
+    """Few cells in reach: candidates; most cells in reach: pairs of blocks, with ties, copies and an entry without a value."""
+    calls = []
+    for name in ("_topk", "_topk_block"):
+        monkeypatch.setattr(N, name, lambda *a, f=getattr(N, name), n=name: calls.append(n) or f(*a))
+    for d, path in ((2, "_topk"), (24, "_topk_block")):
+        monkeypatch.setattr(N, "ROW_CHUNK", 64 if d == 24 else 4)
+        rng = np.random.default_rng(d)
+        x = np.round(rng.normal(size=(400, d)), 1)
+        x[:60] = x[0]
+        x[60:120] = np.round(x[0] + rng.normal(scale=0.1, size=(60, d)), 1)
+        x += 1e4  # dot products of such rows lose digits
+        rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+        df = spark.createDataFrame(rows, "row_id long, x array<double>").repartition(3)
+        got = N.knn_join(df, df, 4, exclude_self=True, n_pivots=40).toPandas()
+        assert calls.pop() == path and len(got) == 4 * len(x)
+        _exact(got, x, 4, range(0, len(x), 3))
+    odd = spark.createDataFrame([*rows, (400, [None] * d)], "row_id long, x array<double>")
+    assert N.knn_join(df, odd, 4, exclude_self=True, n_pivots=40).orderBy("row_id", "nn_rank").toPandas().equals(
+        got.sort_values(["row_id", "nn_rank"]).reset_index(drop=True))
+
+
+def test_wide_rows_are_not_copied_per_cell(spark, monkeypatch):
+    """Rows sent to groups grow with the number of blocks, not of cells."""
+    sent = []
+    topk = N._topk_block
+    monkeypatch.setattr(N, "_topk_block", lambda *a: sent.append(a) or topk(*a))
+    monkeypatch.setattr(N, "_candidate_cells", lambda *a: (_ for _ in ()).throw(AssertionError("copies per cell")))
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 32))
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "row_id long, x array<double>")
+    got = N.knn_join(df, df, 3, exclude_self=True).toPandas()
+    assert sent
+    _exact(got, x, 3, range(0, 600, 9))
+
+
 def test_parts_stay_small_while_rows_grow(spark, monkeypatch):
     monkeypatch.setattr(N, "ROWS_PER_PART", 16)
     largest = []
