@@ -34,10 +34,8 @@ def q_src_matrix_csv(spark, sf):
     long = T.matrix_long(spark, sf).select(F.concat(F.lit("s"), F.col("row_id").cast("string")).alias("sample"),
                                           F.concat(F.lit("f"), F.col("feature").cast("string")).alias("feature"),
                                           F.abs("value").alias("value"))
-    samples = [r[0] for r in long.select("sample").distinct().orderBy("sample").collect()]
-    wide = long.groupBy("feature").pivot("sample", samples).agg(F.first("value"))
     path = FS.scratch_path(spark, "matrix-csv")
-    FS.write_table(wide, path, fmt="csv")
+    FS.write_matrix_csv(long, path)
     return FS.read_matrix_csv(spark, path)
 
 
