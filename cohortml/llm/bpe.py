@@ -54,7 +54,7 @@ def merger(library, conf):
 class PieceEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, table_bytes: int = 128 << 20, batch_bytes: int = 1 << 20,
+    def __init__(self, path: str, table_bytes: int = 32 << 20, batch_bytes: int = 1 << 20,
                  keep_chars: int = 40):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -153,15 +153,21 @@ def encoder(tokenizer: str) -> PieceEncoder:
     return worker_state(("bpe", tokenizer), lambda: PieceEncoder(vocabulary_path(tokenizer)))
 
 
-def by_bytes(batches, columns, most: int = 4 << 20):
+def by_bytes(batches, columns, most: int = 1 << 20):
     """Rows of Arrow batches in lists of about ``most`` bytes of the last column, a text (null: empty)."""
+    import numpy as np
     import pyarrow.compute as pc
     rows, size = [], 0
     for b in batches:
-        sizes = pc.fill_null(pc.binary_length(b.column(columns[-1])), 0).to_pylist()
-        for row, n in zip(zip(*[b.column(c).to_pylist() for c in columns], strict=True), sizes, strict=True):
-            rows.append(row[:-1] + (row[-1] or "",))
-            size += n
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(columns[-1])), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at, passed = 0, 0
+        while at < b.num_rows:
+            # the row that reaches ``most`` ends a list; only its rows become Python objects
+            end = min(int(np.searchsorted(ends, passed + most - size)) + 1, b.num_rows)
+            part = b.slice(at, end - at)
+            rows += [(*row[:-1], row[-1] or "") for row in zip(*[part.column(c).to_pylist() for c in columns], strict=True)]
+            size += int(ends[end - 1]) - passed
+            at, passed = end, int(ends[end - 1])
             if size >= most:
                 yield rows
                 rows, size = [], 0

@@ -180,3 +180,18 @@ def test_ids_of_any_marks_are_the_library_s():
     for i in range(0, len(texts), 300):
         for text, got in zip(texts[i:i + 300], encoder.encode(texts[i:i + 300])):
             assert got == pack_ids(encoder.library.encode(text, add_special_tokens=False).ids)
+
+
+def test_lists_of_texts_and_the_table_of_words_stay_small():
+    """A worker's Python objects: about a megabyte of texts at once, and few words remembered."""
+    import inspect
+
+    import pyarrow as pa
+
+    from cohortml.llm.bpe import PieceEncoder, by_bytes
+    texts = [None if i % 7 == 0 else "word " * (i % 900) for i in range(2000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(2000)), "text": pa.array(texts)})
+    lists = list(by_bytes([batch.slice(0, 0), batch, batch.slice(0, 30)], ("doc_id", "text")))
+    assert [r for rows in lists for r in rows] == [(i, t or "") for i, t in [*enumerate(texts), *enumerate(texts[:30])]]
+    assert max(sum(len(t) for _, t in rows) for rows in lists) < (1 << 20) + 5 * 900
+    assert inspect.signature(PieceEncoder).parameters["table_bytes"].default <= 32 << 20
