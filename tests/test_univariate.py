@@ -169,3 +169,28 @@ def test_mutual_information_of_a_half_zero_feature_moves_counts(spark, monkeypat
     counts = np.array([(y == c).sum() for c in y])
     want = psi(n) + psi(3) - np.mean([psi(c) for c in counts]) - np.mean([psi(m) for m in total])
     assert abs(got - max(want, 0.0)) < 1e-6
+
+
+def test_neighbours_in_max_norm_are_searched_in_cells(spark, monkeypatch):
+    """Exact with ties, copies, rows of one key and far rows; a row meets few rows beside its own cell's."""
+    monkeypatch.setattr(U, "MI_CELL", 8)
+    rng = np.random.default_rng(5)
+    n, K = 500, 3
+    x, y = rng.normal(size=(2, n))
+    x[:120], y[100:160] = 0.0, 0.25  # ties along one axis and both
+    x[-1] = 400.0
+    ids = np.arange(n)
+    ids[200:204] = 200
+    x[200:204], y[200:204] = x[200], y[200]
+    df = spark.createDataFrame([(f, int(i), float(a), float(b)) for f in (0, 1) for i, a, b in zip(ids, x, y if f else -y)],
+                               "feature int, row_id long, x double, y double").repartition(3)
+    seen = spark.sparkContext.accumulator(0)
+    plain = U._nearest
+    monkeypatch.setattr(U, "_nearest", lambda d, k: seen.add(d.size) or plain(d, k))
+    got = {(r["feature"], r["row_id"]): r["eps"] for r in U._kth_distance(df, ["feature"], "row_id", K).collect()}
+    d = np.maximum(np.abs(x[:, None] - x), np.abs(y[:, None] - y))
+    want = {}
+    for i in set(ids.tolist()):
+        want[i] = np.sort(d[ids == i][:, ids != i].ravel())[K - 1]
+    assert got == {(f, i): e for f in (0, 1) for i, e in want.items()}
+    assert 0 < seen.value < 2 * n * n / 3
