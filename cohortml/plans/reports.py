@@ -75,6 +75,7 @@ def visual_report(fp: FittedPipeline, train: DataFrame, test: DataFrame) -> dict
     """The tables behind the evaluation plots, for train and test predictions, and the projections of the selected features."""
     preds = (fp.predict(train).withColumn("split", F.lit("train"))
              .unionByName(fp.predict(test).withColumn("split", F.lit("test"))))
+    preds = preds.checkpoint(eager=True)  # eleven tables read it
     width = int(train.select(F.size("x")).first()[0])
     both = train.select("row_id", "x", "label").unionByName(test.select("row_id", "x", "label"))
     gain = E.gain_curve(preds)

@@ -26,15 +26,14 @@ def test_scan_prunes_columns(spark):
 
 def test_matrix_file_takes_no_column_per_sample(spark, tmp_path, monkeypatch):
     """More samples than a piece of a line; gaps, nulls and repeated rows; names in order; nothing is pivoted or collected by sample."""
-    from pyspark.sql import DataFrame
-
     from cohortml.sources import files as FS
     monkeypatch.setattr(FS, "FIELDS", 7)
     rows = [(f"s{i}", f"f{j}", None if i == 5 else i + j / 8) for i in range(40) for j in range(3) if (i, j) != (9, 1)]
     df = spark.createDataFrame([*rows, rows[0], rows[0], (None, "f2", 4.0)], "sample string, feature string, value double")
     seen = []
-    plain = DataFrame.collect
-    monkeypatch.setattr(DataFrame, "collect", lambda d: seen.append(plain(d)) or seen[-1])
+    frame = type(df)
+    plain = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda d: seen.append(plain(d)) or seen[-1])
     path = FS.write_matrix_csv(df, f"{tmp_path}/m")
     out = FS.read_matrix_csv(spark, path, log1p=False)
     assert sum(map(len, seen)) <= 2
