@@ -144,3 +144,52 @@ def test_parts_stay_small_while_rows_grow(spark, monkeypatch):
         assert max(sizes.values()) > n / 10
         largest.append(max(counts))
     assert max(largest) < 16 * 8 and largest[1] < 2 * largest[0]
+
+
+def test_many_centroids_equal_plain_rounds(spark, monkeypatch):
+    """More centroids than Spark's KMeans is asked for: rounds over cells end where plain Lloyd rounds end."""
+    from cohortml.operators import kmeans as K
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(0, 1, (900, 3)), rng.normal(6, 2, (500, 3)), rng.pareto(1.5, (200, 3)) * 50])
+    x = np.concatenate([x, x[:300]])  # equal rows
+    monkeypatch.setattr(N, "ROW_CHUNK", 64)  # several groups to a cell
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>").repartition(4)
+    starts, drawn = [], K._drawn
+    monkeypatch.setattr(K, "_drawn", lambda *a: starts.append(drawn(*a)) or starts[-1])
+    got = np.array(sorted(r["mean"] for r in K.cluster_means(df, 150, rounds=6).collect()))
+    c = np.array([r["c"] for s in starts for r in s.orderBy("number").collect()])
+    assert len(c) == 150 == len(np.unique(c, axis=0))
+    assert (c[:, None] == np.unique(x, axis=0)[None]).all(-1).any(1).all()
+    for _ in range(6):
+        at = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+        c = np.array([x[at == i].mean(0) if (at == i).any() else c[i] for i in range(len(c))])
+    at = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+    want = np.array(sorted(x[at == i].mean(0).tolist() for i in np.unique(at)))
+    assert got.shape == want.shape and np.allclose(got, want, atol=1e-9)
+
+
+def test_centroids_over_cells_keep_the_rest(spark, monkeypatch):
+    from cohortml.operators import kmeans as K
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, 2).tolist(), 0) for i in range(300)] + [(1000 + i, rng.normal(3, 1, 2).tolist(), 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "row_id long, x array<double>, label int")
+    calls = []
+    whole = K.cluster_means
+    monkeypatch.setattr(K, "cluster_means", lambda *a: calls.append(a) or whole(*a))
+    monkeypatch.setattr(N, "CENTRES", 10)
+    out = N.rs_centroids(df).toPandas()
+    assert len(calls) == 1 and out.row_id.is_unique
+    assert (out.label == 1).sum() == 20 == (out.label == 0).sum()
+    assert set(out[out.label == 1].row_id) == set(range(1000, 1020)) and (out[out.label == 0].row_id < 0).all()
+    few = spark.createDataFrame([([float(i % 7)],) for i in range(100)], "x array<double>")
+    assert sorted(r["mean"][0] for r in whole(few, 30).collect()) == [float(i) for i in range(7)]
+    # a centre that no row is nearest to stays, and gives no row
+    drawn = K._drawn
+    monkeypatch.setattr(K, "_drawn", lambda *a: drawn(*a).withColumn("c", F.when(F.col("number") == 0, F.array(F.lit(1e6))).otherwise(F.col("c"))))
+    assert len(whole(few, 5, rounds=2).collect()) == 4
+    bad = df.unionByName(spark.createDataFrame([(5000, [None, 1.0], 0)], df.schema))
+    try:
+        N.rs_centroids(bad).collect()
+        raise AssertionError("a null component was taken")
+    except Exception as e:
+        assert "vectors must not be null" in str(e)
