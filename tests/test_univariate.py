@@ -194,3 +194,42 @@ def test_neighbours_in_max_norm_are_searched_in_cells(spark, monkeypatch):
         want[i] = np.sort(d[ids == i][:, ids != i].ravel())[K - 1]
     assert got == {(f, i): e for f in (0, 1) for i, e in want.items()}
     assert 0 < seen.value < 2 * n * n / 3
+
+
+def test_mutual_information_of_values_that_differ_by_rounding(spark):
+    """A neighbour one rounding away gives a radius below the band at its ends; the row itself still counts."""
+    rng = np.random.default_rng(5)
+    n = 120
+    x = rng.choice([0.0, 0.2, 0.4, 0.6, 0.8, 1.0], n)
+    y = (rng.random(n) < x).astype(int)
+    x = np.where(rng.random(n) < 0.1, np.nextafter(x, 2.0), x)
+    x[:8], y[:8] = [0.3] * 3 + [np.nextafter(0.3, 1)] * 5, 1
+    rad = np.zeros(n)
+    for c in (0, 1):
+        m = y == c
+        rad[m] = np.sort(np.abs(x[m][:, None] - x[m][None, :]), axis=1)[:, 3]
+    assert ((rad > 0) & (rad < 1e-15)).sum() >= 3
+    d = np.abs(x[:, None] - x[None, :])
+    counted = ((d == 0) | (d < (rad - 1e-11 * (np.abs(x) + rad))[:, None])).sum(axis=1)
+    df = _df(spark, x, y)
+    got = U.score_mutual_info_classif(df, scale=False, per_row=True).collect()
+    assert sorted((r["x"], r["y"], r["m"]) for r in got) == sorted(zip(x.tolist(), y.tolist(), counted.tolist()))
+    assert U.score_mutual_info_classif(df, scale=False).first()["score"] >= 0.0
+
+
+def test_mutual_information_scales_by_one_deviation(spark, monkeypatch):
+    """A deviation that comes out a rounding apart in every run of its job, as over many tasks, does not part equal values."""
+    rng = np.random.default_rng(6)
+    x = rng.choice([0.0, 0.2, 0.4, 0.6, 0.8, 1.0], 60)
+    df = _df(spark, x, (rng.random(60) < x).astype(int))
+    right = U.score_mutual_info_classif(df, scale=False, per_row=True).collect()
+    plain = U.F.stddev_pop
+
+    @U.F.udf("double")
+    def rounded(v):
+        import os
+        return v * (1.0 + os.urandom(1)[0] * 2.0 ** -52)
+
+    monkeypatch.setattr(U.F, "stddev_pop", lambda c: rounded(plain(c)))
+    got = U.score_mutual_info_classif(df, per_row=True).collect()
+    assert sorted((r["_pos"], r["y"], r["m"]) for r in got) == sorted((r["_pos"], r["y"], r["m"]) for r in right)
