@@ -242,6 +242,25 @@ def test_line_dedup_recall_against_edit_similarity(spark, tmp_path):
     assert min(recall.values()) >= 0.9 and sum(recall.values()) / len(recall) >= 0.98, dict(recall)
 
 
+def test_unlike_lines_with_the_same_short_words_do_not_meet(spark, nothing, monkeypatch):
+    rng = random.Random(13)
+    short = ["the", "of", "to", "in", "that", "is", "it", "and", "with", "for", "on", "as"]
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(5, 11)))
+    lines = [" ".join(rng.choice(short) if rng.random() < 0.5 else word() for _ in range(60)) for _ in range(400)]
+    near = [" ".join([*x.split(" ")[:-1], word()]) for x in lines[:40]]
+    compared, verified = [], line_dedup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.distinct().count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    df = frame(spark, list(enumerate(lines + near)))
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_dedup(df, radius=24, bands=24).collect()}
+    assert {d for d, n in got.items() if n} == set(range(400, 440))
+    assert sum(compared) < 200, compared
+
+
 def test_line_dedup_of_messy_rows(messy):
     out = line_dedup.line_dedup(messy).collect()
     assert len(out) == sum(bool(WORDS.search(r[1] or "")) for r in messy_rows())
